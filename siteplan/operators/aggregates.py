@@ -50,6 +50,10 @@ def _value(col: str, scale: int | None) -> Column:
     return F.col(col).cast(f"decimal(18,{scale})") if scale is not None else F.col(col).cast("double")
 
 
+def _plain(op: str) -> str:
+    return "long" if op == "count" else "double"
+
+
 class Partials:
     """The partial columns a set of named aggregates needs."""
 
@@ -82,39 +86,52 @@ class Partials:
     def names(self) -> list[str]:
         return [f"p{i}" for i in range(len(self.parts))]
 
-    def of_rows(self, copies: Column | None = None) -> list[Column]:
-        """Partial columns of one row that stands for `copies` equal rows."""
-        weight = F.lit(1).cast("long") if copies is None else copies.cast("long")
+    def _type(self, op: str, scale: int | None) -> str | None:
+        if scale is None or op not in ("sum", "square"):
+            return None
+        return f"decimal(38,{2 * scale if op == 'square' else scale})"
+
+    def of_rows(self) -> list[Column]:
+        """Partial columns of one row; compute them before a join, not once per pair."""
         out = []
         for name, (op, cols, scale) in zip(self.names, self.parts):
             if op == "count":
                 known = F.lit(True)
                 for c in cols:
                     known = known & F.col(c).isNotNull()
-                col = F.when(known, weight).otherwise(F.lit(0).cast("long"))
+                col = F.when(known, 1).otherwise(0).cast("long")
             elif op in ("min", "max"):
                 col = F.col(cols[0])
             else:
                 v = _value(cols[0], scale)
-                v = v * v if op == "square" else v
-                # decimal * bigint keeps the scale; the cast keeps one type on both sides of a union
-                col = v if copies is None else v * weight
-                if scale is not None:
-                    col = col.cast(f"decimal(38,{scale * (2 if op == 'square' else 1)})")
+                col = v * v if op == "square" else v
             out.append(col.alias(name))
         return out
 
-    def merged(self, when: Column | None = None, suffix: str = "") -> list[Column]:
-        """Aggregate expressions that merge partial columns, optionally only where `when` holds."""
+    def weighted(self, copies: Column) -> list[Column]:
+        """Partial columns of a row that stands for `copies` equal ones."""
+        out = []
+        for name, (op, _, scale) in zip(self.names, self.parts):
+            col = F.col(name)
+            if op not in ("min", "max"):
+                col = F.when(copies == 1, col).otherwise((col * copies).cast(self._type(op, scale) or _plain(op)))
+            out.append(col.alias(name))
+        return out
+
+    def merged(self, when: Column | None = None, suffix: str = "", source: str = "") -> list[Column]:
+        """Aggregate expressions that merge partial columns, optionally only where `when` holds.
+
+        `source` and `suffix` are name endings of the columns read and written.
+        """
         out = []
         for name, (op, _, scale) in zip(self.names, self.parts):
-            col = F.col(name) if when is None else F.when(when, F.col(name))
+            col = F.col(name + source) if when is None else F.when(when, F.col(name + source))
             if op in ("min", "max"):
                 agg = F.min(col) if op == "min" else F.max(col)
             else:
                 agg = F.sum(col)
-                if scale is not None:
-                    agg = agg.cast(f"decimal(38,{scale * (2 if op == 'square' else 1)})")
+                if self._type(op, scale):
+                    agg = agg.cast(self._type(op, scale))
             out.append(agg.alias(name + suffix))
         return out
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 # A cell with more rows than this is split over several tasks.
 HOT_ROWS = 1_000_000
-# The list of hot keys is broadcast, so its length is bounded: a key counts as hot only
-# above total / HOT_KEYS rows, which at most HOT_KEYS keys can exceed.
+# The list of hot keys is broadcast, so its length is bounded.
 HOT_KEYS = 100_000
 
 
@@ -30,13 +29,28 @@ def with_cells(df: DataFrame, x: str, y: str, size: float, gx: str = "gx", gy: s
     return df.withColumns({gx: cell_index(x, size), gy: cell_index(y, size)})
 
 
+def fan_out(df: DataFrame) -> int:
+    """Partitions for a small table whose rows are about to be multiplied.
+
+    A fixed number, because adaptive execution would merge the still small partitions
+    and leave the multiplied rows to a few tasks.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with too many rows for one task and the number of parts to split each into."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("n_rows"))
-    total = counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar()
-    limit = F.greatest(F.lit(hot_rows).cast("double"), total / F.lit(float(HOT_KEYS)))
-    return counts.where(F.col("n_rows") > limit).select(
-        *on, F.ceil(F.col("n_rows") / limit).cast("int").alias("n_parts")
+    """Keys with too many rows for one task and the number of parts to split each into.
+
+    At most HOT_KEYS keys, the largest ones, so the table may be broadcast; a key beyond
+    them holds less than 1/HOT_KEYS of all rows.
+    """
+    return (
+        df.groupBy(*on)
+        .agg(F.count("*").alias("n_rows"))
+        .where(F.col("n_rows") > hot_rows)
+        .orderBy(F.desc("n_rows"))
+        .limit(HOT_KEYS)
+        .select(*on, F.ceil(F.col("n_rows") / F.lit(float(hot_rows))).cast("int").alias("n_parts"))
     )
 
 

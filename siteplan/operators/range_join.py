@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from siteplan.functions.geo import rect_to_wkt
 from siteplan.operators.aggregates import Agg, Partials
 from siteplan.operators.attach import attach
-from siteplan.operators.grid import HOT_ROWS, cell_blocks, cell_index, cell_join, dyadic, located, with_cells
+from siteplan.operators.grid import HOT_ROWS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located, with_cells
 
 BOUNDS = ("lon1", "lat1", "lon2", "lat2")
-LEVELS = 5
+LEVELS = 4
 
 
 def cell_partials(pts: DataFrame, xy: tuple[str, str], aggs: dict[str, Agg], cell: float) -> DataFrame:
@@ -47,7 +47,7 @@ def range_join(
     aggs: dict[str, Agg],
     strict: bool = True,
     how: str = "left",
-    cell: float = 0.1,
+    cell: float = 0.2,
     bounds: tuple[str, str, str, str] = BOUNDS,
     cells: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
@@ -66,6 +66,7 @@ def range_join(
         located(located(rects.select(*bounds), x1, y1), x2, y2)
         .where((F.col(x1) <= F.col(x2)) & (F.col(y1) <= F.col(y2)))
         .distinct()
+        .repartition(fan_out(rects), *bounds)
         .withColumns(
             {
                 "gx1": cell_index(x1, cell),
@@ -77,7 +78,7 @@ def range_join(
     )
     if cells is None:
         cells = cell_partials(pts, xy, aggs, cell)
-    blocks = cell_blocks(cells.withColumn("n_found", F.lit(1).cast("long")), LEVELS, [*parts.merged(), F.sum("n_found").alias("n_found")])
+    blocks = cell_blocks(cells, LEVELS, parts.merged())
     inner = (
         shapes.where((F.col("gx2") - F.col("gx1") >= 2) & (F.col("gy2") - F.col("gy1") >= 2))
         .withColumn("bx", F.explode(dyadic(F.col("gx1") + 1, F.col("gx2"), LEVELS)))
@@ -90,23 +91,21 @@ def range_join(
             F.col("by.i").alias("iy"),
         )
         .join(blocks, ["kx", "ky", "ix", "iy"])
-        .select(*bounds, *parts.names, "n_found")
+        .select(*bounds, *parts.names)
     )
 
-    wanted = list(dict.fromkeys([x, y, *parts.inputs]))
-    rows = with_cells(located(pts, x, y).select(*wanted), x, y, cell)
-    # the points' columns get a prefix: rectangles and points may share names
-    rows = rows.select("gx", "gy", *[F.col(c).alias(f"pt_{c}") for c in wanted])
-    px, py = F.col(f"pt_{x}"), F.col(f"pt_{y}")
+    rows = with_cells(located(pts, x, y), x, y, cell).select(
+        "gx", "gy", F.col(x).alias("pt_x"), F.col(y).alias("pt_y"), *parts.of_rows()
+    )
+    px, py = F.col("pt_x"), F.col("pt_y")
     if strict:
         inside = (px > F.col(x1)) & (px < F.col(x2)) & (py > F.col(y1)) & (py < F.col(y2))
     else:
         inside = px.between(F.col(x1), F.col(x2)) & py.between(F.col(y1), F.col(y2))
-    pt_parts = Partials({n: Agg(a.kind, tuple(f"pt_{c}" for c in a.cols), a.scale) for n, a in aggs.items()})
     border = (
         cell_join(_border_cells(shapes).select(*bounds, "gx", "gy"), rows, ["gx", "gy"], hot_rows)
         .where(inside)
-        .select(*bounds, *pt_parts.of_rows(F.col("copies")), F.lit(1).cast("long").alias("n_found"))
+        .select(*bounds, *parts.weighted(F.col("copies")))
     )
 
     merged = inner.unionByName(border).groupBy(*bounds).agg(*parts.merged())
