@@ -1 +1,8 @@
 """siteplan: geographic site planning on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -27,7 +27,11 @@ from siteplan.functions.scoring import DECAY_K, decay_penalty
 from siteplan.operators.grid import cell_index, located
 from siteplan.session import scratch_dir
 
-TOP = 256
+TOP = 512
+# Tiles are this many radii wide. Their grid moves from round to round, so that a chain of
+# picks held up at a tile border lies inside a tile in another round.
+TILE_RADII = 4
+SHIFTS = ((0.0, 0.0), (0.5, 0.5), (0.5, 0.0), (0.0, 0.5))
 SALTS = 32
 PICKS_PER_ROUND = 512
 # A list of picks up to this length is broadcast, a longer one is joined by shuffle.
@@ -102,7 +106,7 @@ def greedy_place(
     base = scratch_dir(spark, "placement")
     order = list(order)
     x, y = xy
-    side = 2 * radius
+    side = TILE_RADII * radius
     keys = [f"o{i}" for i in range(len(order))]
     start = located(df, x, y).where(F.col(score).isNotNull() & ~F.isnan(score))
     start.select(
@@ -111,8 +115,6 @@ def greedy_place(
         F.col(x).cast("double").alias("x"),
         F.col(y).cast("double").alias("y"),
         F.col(score).cast("double").alias("score"),
-        cell_index(F.col(x).cast("double"), side).alias("gx"),
-        cell_index(F.col(y).cast("double"), side).alias("gy"),
     ).write.parquet(f"{base}/state-0")
     schema = spark.read.parquet(f"{base}/state-0").schema
     pick_schema = T.StructType([schema[c] for c in [*keys, "id", "x", "y", "score"]])
@@ -128,7 +130,7 @@ def greedy_place(
     while True:
         state = spark.read.schema(schema).parquet(f"{base}/state-{step}")
         new_at = f"{base}/picks-{step}"
-        _round_picks(state, keys, radius, k, side, min(top, 998), pick_schema).write.parquet(new_at)
+        _round_picks(state, keys, radius, k, side, SHIFTS[step % len(SHIFTS)], min(top, 998), pick_schema).write.parquet(new_at)
         new = spark.read.schema(pick_schema).parquet(new_at)
         picks_at.append(new_at)
         # one row to the driver: how many picks are known and where the n-th stands
@@ -155,8 +157,19 @@ def greedy_place(
 
 
 def _round_picks(
-    state: DataFrame, keys: list[str], radius: float, k: float, side: float, top: int, pick_schema: T.StructType
+    state: DataFrame,
+    keys: list[str],
+    radius: float,
+    k: float,
+    side: float,
+    shift: tuple[float, float],
+    top: int,
+    pick_schema: T.StructType,
 ) -> DataFrame:
+    def tile(c: Column, axis: int) -> Column:
+        return cell_index(c + F.lit(shift[axis] * side), side)
+
+    state = state.withColumns({"gx": tile(F.col("x"), 0), "gy": tile(F.col("y"), 1)})
     ranking = [F.desc("score"), *keys, "id"]
     # two steps, so that a crowded tile is thinned out by several tasks first
     salted = state.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
@@ -168,13 +181,13 @@ def _round_picks(
     # rows go to the tiles within reach of them, the left-out rows' bound to all tiles around
     margin = radius * 1e-9 + 1e-12
 
-    def tiles(c: str, g: str) -> Column:
+    def tiles(c: str, g: str, axis: int) -> Column:
         reach = F.lit(radius + margin)
-        near = F.sequence(cell_index(F.col(c) - reach, side), cell_index(F.col(c) + reach, side))
+        near = F.sequence(tile(F.col(c) - reach, axis), tile(F.col(c) + reach, axis))
         around = F.sequence(F.col(g) - 1, F.col(g) + 1)
         return F.explode(F.when(bound, around).otherwise(near))
 
-    sent = best.withColumn("tx", tiles("x", "gx")).withColumn("ty", tiles("y", "gy"))
+    sent = best.withColumn("tx", tiles("x", "gx", 0)).withColumn("ty", tiles("y", "gy", 1))
     home = (F.col("tx") == F.col("gx")) & (F.col("ty") == F.col("gy"))
     sent = sent.withColumn("role", F.when(bound, 2).when(home, 0).otherwise(1))
     picks = sent.groupBy("tx", "ty").applyInPandas(lambda pdf: _pick_tile(pdf, keys, radius, k), pick_schema)
@@ -191,9 +204,10 @@ def _apply(
         picks.withColumn("gx", F.explode(F.sequence(cell_index(F.col("x") - reach, side), cell_index(F.col("x") + reach, side))))
         .withColumn("gy", F.explode(F.sequence(cell_index(F.col("y") - reach, side), cell_index(F.col("y") + reach, side))))
         .groupBy("gx", "gy")
-        # at most PICKS_PER_ROUND picks from each of the nine tiles around
+        # bounded: the tiles around made at most PICKS_PER_ROUND picks each
         .agg(F.array_sort(F.collect_list(F.struct(*neg, F.col("x").alias("px"), F.col("y").alias("py")))).alias("near"))
     )
+    live = live.withColumns({"gx": cell_index("x", side), "gy": cell_index("y", side)})
     joined = live.join(F.broadcast(per_tile) if small else per_tile, ["gx", "gy"], "left")
 
     def lower(s: Column, p: Column) -> Column:
@@ -201,4 +215,4 @@ def _apply(
         return F.when(d < radius, s - decay_penalty(d, k)).otherwise(s)
 
     score = F.when(F.col("near").isNull(), F.col("score")).otherwise(F.aggregate("near", F.col("score"), lower))
-    return joined.withColumn("score", score).select(*live.columns)
+    return joined.withColumn("score", score).drop("gx", "gy", "near")
