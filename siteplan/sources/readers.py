@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -38,13 +42,22 @@ def read_geojson(spark: SparkSession, path: str, keep_properties: bool = False)
 def read_csv_folder(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """All CSVs of a folder, columns matched by name even where files order them differently.
 
-    Files are listed (their contents are not read for that), the header of each is taken
-    from its first line, and files with one header are read in one scan.
+    Tasks read the header lines; files with one header are then read in one scan.
     """
-    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").collect()]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(files):
-        groups.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)
+
+    def headers(batches):
+        for pdf in batches:
+            found = []
+            for file in pdf["path"]:
+                system, name = fs.FileSystem.from_uri(file)
+                with system.open_input_stream(name) as stream:
+                    text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
+                    found.append((file, next(csv.reader(text), [])))
+            yield pd.DataFrame(found, columns=["file", "header"])
+
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+    named = listed.mapInPandas(headers, "file string, header array<string>").where(F.size("header") > 0)
+    groups = {tuple(r["header"]): r["files"] for r in named.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()}
     frames = []
     for header, members in groups.items():
         reader = spark.read.option("header", True)
