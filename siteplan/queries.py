@@ -575,7 +575,6 @@ def write_batches(spark, sf):
 
 
 # 60 × 20 pixel grids over one-degree files; a pixel without orders is NaN
-_PIXELS = "SELECT CAST(FLOOR(lon) AS BIGINT) AS fx, CAST(FLOOR(lat) AS BIGINT) AS fy, CAST(o_orderkey % 60 AS BIGINT) AS c, CAST((o_orderkey - o_orderkey % 60) / 60 % 20 AS BIGINT) AS r, v FROM (SELECT o_orderkey, -125 + o_orderkey % 7 AS lon, 33 + o_orderkey % 3 AS lat, CAST(o_custkey AS DOUBLE) AS v FROM orders) q"
 _GRID = "SELECT fx, fy, c, r, MAX(v) AS v FROM (SELECT CAST(-125 + o_orderkey % 7 AS BIGINT) AS fx, CAST(33 + o_orderkey % 3 AS BIGINT) AS fy, CAST((o_orderkey * 31) % 60 AS BIGINT) AS c, CAST((o_custkey * 17) % 20 AS BIGINT) AS r, CAST(o_custkey AS DOUBLE) AS v FROM orders) g GROUP BY fx, fy, c, r"
 
 

@@ -63,7 +63,7 @@ TILES = T.StructType(
         T.StructField("file_cols", T.LongType()),
         T.StructField("file_rows", T.LongType()),
         *_doubles("nodata"),
-        T.StructField("band0", T.ArrayType(_D, containsNull=False)),
+        T.StructField("band0", T.ArrayType(_D)),
     ]
 )
 

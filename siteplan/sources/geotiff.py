@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ _SEGMENTS = (
 )
 
 
+_TILE_ARROW = pa.schema(
+    [
+        ("source", pa.string()), ("row0", pa.int64()), ("col0", pa.int64()),
+        ("xmin", pa.float64()), ("ymin", pa.float64()), ("xmax", pa.float64()), ("ymax", pa.float64()),
+        ("cols", pa.int32()), ("rows", pa.int32()),
+        ("file_xmin", pa.float64()), ("file_ymin", pa.float64()), ("file_xmax", pa.float64()), ("file_ymax", pa.float64()),
+        ("file_cols", pa.int64()), ("file_rows", pa.int64()), ("nodata", pa.float64()),
+        ("band0", pa.list_(pa.field("element", pa.float64()))),
+    ]
+)
+
+
 def _open(path: str):
     system, name = fs.FileSystem.from_uri(path)
     return system.open_input_file(name)
@@ -80,7 +93,7 @@ def _segments(path: str) -> list[tuple]:
     sx, sy = tags[33550][0], tags[33550][1]
     px, py, _, mx, my = tags[33922][:5]
     xmin, ymax = mx - px * sx, my + py * sy
-    nodata = float(tags[42113]) if tags.get(42113, "").strip() else float("nan")
+    nodata = float(tags[42113]) if tags.get(42113, "").strip() else None
     if 324 in tags:
         w, h, offsets, sizes = tags[322][0], tags[323][0], tags[324], tags[325]
     else:
@@ -110,32 +123,37 @@ def _list_segments(batches):
 
 
 def _decode(batches):
-    for pdf in batches:
-        for s in pdf.itertuples(index=False):
-            with _open(s.path) as file:
-                raw = file.read_at(s.nbytes, s.offset)
-            if s.deflate:
+    # Arrow, not pandas: pandas would turn NaN pixels into NULL on the way back
+    for batch in batches:
+        for s in batch.to_pylist():
+            with _open(s["path"]) as file:
+                raw = file.read_at(s["nbytes"], s["offset"])
+            if s["deflate"]:
                 raw = zlib.decompress(raw)
-            data = np.frombuffer(raw, dtype=s.dtype)
-            data = data[: len(data) // (s.seg_cols * s.samples) * s.seg_cols * s.samples]
-            data = data.reshape(-1, s.seg_cols, s.samples)[: s.rows]
-            if s.predictor == 2:
+            wide = s["seg_cols"] * s["samples"]
+            data = np.frombuffer(raw, dtype=s["dtype"], count=len(raw) // (np.dtype(s["dtype"]).itemsize * wide) * wide)
+            data = data.reshape(-1, s["seg_cols"], s["samples"])[: s["rows"]]
+            if s["predictor"] == 2:
                 data = np.cumsum(data, axis=1, dtype=data.dtype)
-            elif s.predictor != 1:
-                raise ValueError(f"unsupported predictor {s.predictor} in {s.path}")
-            band = data[:, : s.cols, 0].astype(float)
-            band[band == s.nodata] = np.nan
-            dx = (s.file_xmax - s.file_xmin) / s.file_cols
-            dy = (s.file_ymax - s.file_ymin) / s.file_rows
-            row = dict(
-                source=s.path.rsplit("/", 1)[-1], row0=s.row0, col0=s.col0,
-                xmin=s.file_xmin + s.col0 * dx, ymin=s.file_ymax - (s.row0 + s.rows) * dy,
-                xmax=s.file_xmin + (s.col0 + s.cols) * dx, ymax=s.file_ymax - s.row0 * dy,
-                cols=s.cols, rows=s.rows, file_xmin=s.file_xmin, file_ymin=s.file_ymin, file_xmax=s.file_xmax,
-                file_ymax=s.file_ymax, file_cols=s.file_cols, file_rows=s.file_rows, nodata=s.nodata,
-                band0=band.ravel(),
-            )
-            yield pd.DataFrame([row])
+            elif s["predictor"] != 1:
+                raise ValueError(f"unsupported predictor {s['predictor']} in {s['path']}")
+            band = data[:, : s["cols"], 0].astype(float)
+            if s["nodata"] is not None:
+                band[band == s["nodata"]] = np.nan
+            dx = (s["file_xmax"] - s["file_xmin"]) / s["file_cols"]
+            dy = (s["file_ymax"] - s["file_ymin"]) / s["file_rows"]
+            row = {
+                **s,
+                "source": s["path"].rsplit("/", 1)[-1],
+                "xmin": s["file_xmin"] + s["col0"] * dx,
+                "ymin": s["file_ymax"] - (s["row0"] + s["rows"]) * dy,
+                "xmax": s["file_xmin"] + (s["col0"] + s["cols"]) * dx,
+                "ymax": s["file_ymax"] - s["row0"] * dy,
+                "band0": band.ravel(),
+            }
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[f.name]], type=f.type) for f in _TILE_ARROW], schema=_TILE_ARROW
+            )
 
 
 def read_raster_tiles(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -146,7 +164,7 @@ def read_raster_tiles(spark: SparkSession, path: str, partitions: int | None = N
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path")
     spread = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     segments = files.mapInPandas(_list_segments, _SEGMENTS).repartition(spread)
-    tiles = segments.mapInPandas(_decode, TILES)
+    tiles = segments.mapInArrow(_decode, TILES)
     return tiles.withColumn("source", F.regexp_replace("source", r"\.tif$", ""))
 
 
