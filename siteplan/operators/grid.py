@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,52 +52,60 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFram
     )
 
 
-def _spread(df: DataFrame, on: list[str], own: DataFrame, theirs: DataFrame, tag: str, other: str) -> DataFrame:
-    """Give every row its part of a hot key and one copy per part of the other side.
+def _spread(df: DataFrame, on: list[str], hot: DataFrame, tag: str) -> DataFrame:
+    """Give every row its part of a hot key.
 
     Equal rows under a hot key are folded into one row with a `copies` count first: they
-    would otherwise hash into the same part. A fold larger than HOT_ROWS/100 is cut into
-    pieces, so even a single row repeated without end is spread out.
+    would otherwise hash into the same part. A large fold is cut into pieces, so even a
+    single row repeated without end is spread out.
     """
-    cols = df.columns
-    mine, their, copies = f"part_{tag}", f"part_{other}", f"copies_{tag}"
-    cold = df.join(F.broadcast(own), on, "left_anti").select(
+    cols, mine, copies = df.columns, f"part_{tag}", f"copies_{tag}"
+    cold = df.join(F.broadcast(hot), on, "left_anti").select(
         *cols, F.lit(0).alias(mine), F.lit(1).cast("long").alias(copies)
     )
     piece = HOT_ROWS // 100
     folded = (
-        df.join(F.broadcast(own), on)
+        df.join(F.broadcast(hot), on)
         .groupBy(*cols, "n_parts")
         .agg(F.count("*").alias("n_same"))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), F.expr(f"cast((n_same - 1) div {piece} as int)"))))
     )
-    hot = folded.select(
+    spread = folded.select(
         *cols,
         F.pmod(F.xxhash64(*cols, "piece"), F.col("n_parts")).cast("int").alias(mine),
         F.least(F.lit(piece).cast("long"), F.col("n_same") - F.col("piece") * F.lit(piece)).alias(copies),
     )
-    both = cold.unionByName(hot)
-    parts = theirs.withColumnRenamed("n_parts", "other_parts")
+    return cold.unionByName(spread)
+
+
+def _repeat(df: DataFrame, on: list[str], hot: DataFrame, tag: str) -> DataFrame:
+    """One copy of each row for every part the other side's hot key was cut into."""
     return (
-        both.join(F.broadcast(parts), on, "left")
-        .withColumn(their, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("other_parts"), F.lit(1)) - 1)))
+        df.join(F.broadcast(hot.withColumnRenamed("n_parts", "other_parts")), on, "left")
+        .withColumn(f"part_{tag}", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("other_parts"), F.lit(1)) - 1)))
         .drop("other_parts")
     )
 
 
-def cell_join(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner equi-join that splits crowded keys of either side over many tasks.
+def cell_join(
+    left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, both: bool = False
+) -> DataFrame:
+    """Inner equi-join that splits crowded keys of the right side over many tasks.
 
-    Adds `copies`: how many equal pairs the row stands for (1 except under hot keys).
-    The other columns of the two sides must differ in name.
+    Adds `copies`: how many equal pairs the row stands for (1 except under hot keys). With
+    `both` the left side's crowded keys are split in the same way; otherwise that is left
+    to Spark's adaptive skew join. The other columns of the two sides must differ in name.
     """
-    hot_left, hot_right = hot_keys(left, on, hot_rows), hot_keys(right, on, hot_rows)
-    a = _spread(left, on, hot_left, hot_right, "l", "r")
-    b = _spread(right, on, hot_right, hot_left, "r", "l")
-    return (
-        a.join(b, [*on, "part_l", "part_r"])
-        .withColumn("copies", F.col("copies_l") * F.col("copies_r"))
-        .drop("part_l", "part_r", "copies_l", "copies_r")
+    hot_right = hot_keys(right, on, hot_rows)
+    b = _spread(right, on, hot_right, "r")
+    if not both:
+        joined = _repeat(left, on, hot_right, "r").join(b, [*on, "part_r"])
+        return joined.withColumnRenamed("copies_r", "copies").drop("part_r")
+    hot_left = hot_keys(left, on, hot_rows)
+    a = _repeat(_spread(left, on, hot_left, "l"), on, hot_right, "r")
+    joined = a.join(_repeat(b, on, hot_left, "l"), [*on, "part_l", "part_r"])
+    return joined.withColumn("copies", F.col("copies_l") * F.col("copies_r")).drop(
+        "part_l", "part_r", "copies_l", "copies_r"
     )
 
 
@@ -108,11 +114,6 @@ def repeat_copies(df: DataFrame) -> DataFrame:
     return df.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copy", "copies")
 
 
-def same_keys(left: list[str], right: list[str], a: DataFrame, b: DataFrame) -> Column:
-    """Null-safe equality of two key lists."""
-    return reduce(lambda x, y: x & y, [a[p].eqNullSafe(b[q]) for p, q in zip(left, right)])
-
-
 def dyadic(lo: Column, hi: Column, levels: int) -> Column:
     """Cut the index range [lo, hi) into aligned blocks of 1, 2, 4 … 2^levels cells.
 
