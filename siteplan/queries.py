@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,9 @@ from siteplan.operators.mlp import mlp_fit, mlp_score, weights_table
 from siteplan.operators.placement import argmax_row, greedy_place
 from siteplan.operators.range_join import BOUNDS, range_join, range_join_wkt
 from siteplan.operators.regression import fit_place_model, regression_metrics
-from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, POINT_SCORES, radius_suffix
+from siteplan.plans import places as places_plan
+from siteplan.plans import points as points_plan
+from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, radius_suffix
 from siteplan.session import scratch_dir
 from siteplan.sources.geotiff import read_raster_tiles, write_rasters
 from siteplan.sources.readers import read_cells_csv, read_csv_folder, read_geojson, read_points_csv
@@ -741,9 +742,9 @@ def ml_place_regression(spark, sf):
 
 
 def _scored_points(spark, sf):
-    """Positions with a score in [0, 1) from the parts at them."""
-    part = view(spark, sf, "points")
-    return part.withColumn("score", ((F.col("lon") * 7919 + F.col("lat") * 104729) * 1.37) % 1.0).withColumn("score", F.abs("score"))
+    """The points with a score in [0, 1) drawn from their position."""
+    mixed = F.col("lon") * 7919 + F.col("lat") * 104729
+    return view(spark, sf, "points").withColumn("score", F.pmod(mixed * 1.37, F.lit(1.0)))
 
 
 @query(
@@ -763,3 +764,38 @@ def sql_functions(spark, sf):
     register_functions(spark)
     text = "SELECT *, ROUND(rect_area(lon1, lat1, lon2, lat2), 4) AS area, ROUND(dist(lon1, lat1, lon2, lat2), 9) AS diagonal FROM {p}"
     return spark.sql(text, p=view(spark, sf, "places"))
+
+
+# --- whole feature tables ----------------------------------------------------------------
+
+
+def _tables(spark, sf) -> list[DataFrame]:
+    return [view(spark, sf, n) for n in ("towers", "pop", "elev_clean")] + [clean.clean_buildings(view(spark, sf, "buildings"))]
+
+
+@query(
+    f"SELECT e.*, t.cell_tower_num, q.pop_cnt_sum_norm, b.total_building_cnt, b.total_building_area FROM ("
+    f"SELECT {B}, {_AREA} AS area, ROUND({_exact('elevation')} / COUNT(elevation), 6) AS avg_elevation FROM places JOIN elev_clean ON {_in('longitude', 'latitude', False)} GROUP BY {B}) e "
+    f"JOIN (SELECT {B}, COUNT(t.lon) AS cell_tower_num FROM places LEFT JOIN towers t ON {_in('t.lon', 't.lat')} GROUP BY {B}) t USING ({B}) "
+    f"JOIN (SELECT {B}, s / MAX(s) OVER () AS pop_cnt_sum_norm FROM (SELECT {B}, {_exact('pop_cnt')} AS s FROM places LEFT JOIN pop ON {_in('lon', 'lat')} GROUP BY {B}) r) q USING ({B}) "
+    f"JOIN (SELECT {B}, COUNT(area) AS total_building_cnt, {_exact('area')} AS total_building_area FROM places LEFT JOIN "
+    f"(SELECT * FROM buildings WHERE area <> 0 AND area < 500000) k ON {_in('center_longitude', 'center_latitude')} GROUP BY {B}) b USING ({B})"
+)
+def place_features(spark, sf):
+    table_ = places_plan.place_features(view(spark, sf, "places"), *_tables(spark, sf), scale=5)
+    return table_.withColumns({"area": F.round("area", 4), "avg_elevation": F.round("avg_elevation", 6)}).drop("stddv_elevation")
+
+
+@query()
+def point_features(spark, sf):
+    return points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5)
+
+
+@query()
+def place_sites(spark, sf):
+    names = _FEATURES[:3]
+    homes = view(spark, sf, "points")
+    i = F.col("lon") * 25, F.col("lat") * 25
+    rows = homes.withColumns({"f1": F.pmod(i[0] * 7, F.lit(97.0)), "f2": F.pmod(i[1] * 13, F.lit(89.0)), "f3": F.pmod(i[0] + i[1], F.lit(31.0))})
+    vector = np.array([0.8, -0.5, 0.3, -0.2, 0.9, -0.4, 0.1, 0.2, 1.5, -1.2, 0.1])
+    return points_plan.place_sites(rows, weights_table(spark, vector, [3, 2, 1]), names, n=200)
