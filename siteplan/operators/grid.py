@@ -95,15 +95,18 @@ def cell_join(
     Adds `copies`: how many equal pairs the row stands for (1 except under hot keys). With
     `both` the left side's crowded keys are split in the same way; otherwise that is left
     to Spark's adaptive skew join. The other columns of the two sides must differ in name.
+
+    The merge hint keeps Spark from broadcasting a side: its size estimates do not see that
+    cells were exploded, and a broadcast would leave the work to the other side's few files.
     """
     hot_right = hot_keys(right, on, hot_rows)
     b = _spread(right, on, hot_right, "r")
     if not both:
-        joined = _repeat(left, on, hot_right, "r").join(b, [*on, "part_r"])
+        joined = _repeat(left, on, hot_right, "r").join(b.hint("merge"), [*on, "part_r"])
         return joined.withColumnRenamed("copies_r", "copies").drop("part_r")
     hot_left = hot_keys(left, on, hot_rows)
     a = _repeat(_spread(left, on, hot_left, "l"), on, hot_right, "r")
-    joined = a.join(_repeat(b, on, hot_left, "l"), [*on, "part_l", "part_r"])
+    joined = a.join(_repeat(b, on, hot_left, "l").hint("merge"), [*on, "part_l", "part_r"])
     return joined.withColumn("copies", F.col("copies_l") * F.col("copies_r")).drop(
         "part_l", "part_r", "copies_l", "copies_r"
     )

@@ -90,7 +90,7 @@ def range_join(
             F.col("bx.i").alias("ix"),
             F.col("by.i").alias("iy"),
         )
-        .join(blocks, ["kx", "ky", "ix", "iy"])
+        .join(blocks.hint("merge"), ["kx", "ky", "ix", "iy"])
         .select(*bounds, *parts.names)
     )
 
@@ -105,6 +105,9 @@ def range_join(
     border = (
         cell_join(_border_cells(shapes).select(*bounds, "gx", "gy"), rows, ["gx", "gy"], hot_rows)
         .where(inside)
+        # summed per number of copies, so the multiplication is done once per group, not per pair
+        .groupBy(*bounds, "copies")
+        .agg(*parts.merged())
         .select(*bounds, *parts.weighted(F.col("copies")))
     )
 

@@ -16,6 +16,7 @@ from siteplan.operators import clean, generators, layout, profile, radius, raste
 from siteplan.operators.aggregates import count, deviation, mean, merge_partials, total
 from siteplan.operators.attach import attach
 from siteplan.operators.footprints import geojson_rings, ring_buildings
+from siteplan.operators.grid import fan_out
 from siteplan.operators.mlp import mlp_fit, mlp_score, weights_table
 from siteplan.operators.placement import argmax_row, greedy_place
 from siteplan.operators.range_join import BOUNDS, range_join, range_join_wkt
@@ -458,7 +459,9 @@ _CORNER = f"{_X} / 1e3 AS x, {_Y} / 1e3 AS y"
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     """Outlines derived from lineitem, one GeoJSON line each, its type going by the line number."""
-    rows = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", _X + " / 1e3 AS x", _Y + " / 1e3 AS y")
+    items = table(spark, sf, "lineitem")
+    # spread before the text is made: outlines come in many files
+    rows = items.select("l_orderkey", "l_linenumber", "l_partkey").repartition(fan_out(items)).selectExpr("l_orderkey", "l_linenumber", _X + " / 1e3 AS x", _Y + " / 1e3 AS y")
 
     def ring(dx: float, dy: float, w: float, h: float, z: str = "") -> str:
         corners = [(0, 0), (w, 0), (w, h), (0, h), (0, 0)]
