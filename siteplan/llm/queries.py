@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality
+from . import line_dedup, mixing, near_dedup, quality
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select(
@@ -27,6 +31,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_source_mix": op8_source_mix,
 }
@@ -34,6 +39,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": f"""SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         base_failed, kept FROM ({quality.oracle()}) q""",
+    "op5_minhash_dedup": near_dedup.oracle(width=2),
     "op7_line_dedup": f"""SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256
         FROM ({line_dedup.oracle()}) q""",
     "op8_source_mix": f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.oracle()}) q",
