@@ -1,3 +1,10 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, mixing."""
 
-QUERY: dict[str, dict] = {"queries": {}, "oracles": {}}
+from pyspark.sql import DataFrame, SparkSession
+
+STAGES: list = []
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
