@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dedup, quality
+from . import decontaminate, line_dedup, mixing, near_dedup, quality
 from .common import table
 
 
@@ -29,11 +29,17 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_source_mix": op8_source_mix,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLES = {
@@ -43,4 +49,5 @@ ORACLES = {
     "op7_line_dedup": f"""SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256
         FROM ({line_dedup.oracle()}) q""",
     "op8_source_mix": f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.oracle()}) q",
+    "op9_decontaminate": decontaminate.oracle(),
 }
