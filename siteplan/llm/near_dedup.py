@@ -229,7 +229,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     remain are then compared in full, in blocks. So copies are never expanded into all pairs
     and no link between different components is left out. Works in several stored steps.
     """
-    spark = docs.sparkSession
     rows = stored(signatures(docs, width), "signatures")
     named = rows.filter(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
     classes = stored(
@@ -304,6 +303,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
+def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` whose doc_id is the smallest of its component; cases as in `near_duplicates`.
+
+    Rows that repeat a doc_id stay or go together; rows without one stay.
+    """
+    gone = near_duplicates(docs, width, percent).filter(~F.col("kept")).select("doc_id").distinct()
+    gone = stored(gone.withColumnRenamed("doc_id", "gone_id"), "gone")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
 def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
     """(key, slot, rep, n, comp) of the buckets that hold more than one component."""
     at = rows.select("key", "slot", "rep", "n").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")

@@ -207,7 +207,7 @@ def oracle(docs: str = "documents") -> str:
                     OR n_dup_lines * 10 > n_full_lines * 6 OR NOT (word_chars / n_words BETWEEN 2 AND 14)
                     OR letters * 10 < word_chars * 6) AS kept
     FROM (
-      SELECT * EXCLUDE (w, t, ls, dup, row_no),
+      SELECT * EXCLUDE (w, t, ls, dup),
              CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
              CAST({count('[#*$%&|<>]')} AS BIGINT) AS n_symbols, {count('!')} AS bangs,
              {count('[[:upper:]]').replace('[[:upper:]]', chr(92) + 'p{Lu}')} AS capitals,
@@ -218,13 +218,12 @@ def oracle(docs: str = "documents") -> str:
         SELECT b.*, coalesce(d.dup, []) AS dup
         FROM (SELECT *, list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '') AS w,
                      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
-              FROM (SELECT *, coalesce(text, '') AS t, row_number() OVER () AS row_no FROM {docs}) a) b
+              FROM (SELECT *, coalesce(text, '') AS t FROM {docs}) a) b
         LEFT JOIN (
-          SELECT row_no, list(p) AS dup
-          FROM (SELECT row_no, p, count(*) OVER (PARTITION BY row_no, g) AS times
-                FROM (SELECT row_no, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g
-                      FROM (SELECT row_no, w, unnest(range(1, len(w) - 1)) AS p
-                            FROM (SELECT row_no, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'),
-                                                             lambda x: x <> '') AS w
-                                  FROM (SELECT *, row_number() OVER () AS row_no FROM {docs}) r) s) u) v) x
-          WHERE times > 1 GROUP BY row_no) d ON b.row_no = d.row_no) y) z"""
+          SELECT doc_id, list(p) AS dup
+          FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS times
+                FROM (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g
+                      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p
+                            FROM (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'),
+                                                             lambda x: x <> '') AS w FROM {docs}) s) u) v) x
+          WHERE times > 1 GROUP BY doc_id) d ON b.doc_id = d.doc_id) y) z"""

@@ -9,8 +9,12 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from check_oracles import connect, norm  # noqa: E402
 
+from corpus_pipeline import ORACLE_SQL, run  # noqa: E402
 from siteplan.llm.queries import ORACLES, QUERIES  # noqa: E402
 
+QUERIES = QUERIES | {"pipeline": run}
+ORACLES = ORACLES | {"pipeline": ORACLE_SQL}
+
 
 def compare(spark, sf, name, con):
     frame = QUERIES[name](spark, sf)
