@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, near_dedup, quality
+from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, quality, token_counts, url_filter
 from .common import table
 
 
@@ -13,10 +13,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+#: Rules of the URL query (fixed values).
+URL_RULES = [
+    url_filter.Rule("block", "net/"),
+    url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"),
+    url_filter.Rule("allow", "org/fr/"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select(
@@ -36,7 +57,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op8_source_mix": op8_source_mix,
     "op9_decontaminate": op9_decontaminate,
@@ -45,6 +69,8 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": f"""SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         base_failed, kept FROM ({quality.oracle()}) q""",
+    "op3_license_scan": license_scan.oracle(),
+    "op6_url_filter": url_filter.oracle(URL_RULES),
     "op5_minhash_dedup": near_dedup.oracle(width=2),
     "op7_line_dedup": f"""SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256
         FROM ({line_dedup.oracle()}) q""",
