@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, quality, token_counts, url_filter
+from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, quality, quality_model, token_counts, url_filter
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start")
 
 
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -64,6 +68,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_source_mix": op8_source_mix,
     "op9_decontaminate": op9_decontaminate,
+    "op10_quality_model": op10_quality_model,
 }
 
 ORACLES = {
