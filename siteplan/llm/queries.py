@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, quality, quality_model, token_counts, url_filter
+from . import decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, quality_model, token_counts, url_filter
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_license_scan": op3_license_scan,
+    "op4_html_extract": op4_html_extract,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
