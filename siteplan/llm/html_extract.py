@@ -42,7 +42,7 @@ def block_features(block: Block) -> list[str]:
         own = ["name=" + GROUP_OF[name] for name in element.names if name in GROUP_OF]
         if element.tag in LANDMARKS:
             own.append("in=" + element.tag)
-        if element.tag == "header" and ("in=article" in around or "name=main" in around):
+        if element.tag == "header" and around & {"in=article", "in=main", "name=main"}:
             own.append("title part")
         around.update(own)
         if own and element.tag not in ("body", "section"):

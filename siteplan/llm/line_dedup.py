@@ -62,7 +62,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     joined = docs.join(
         cuts, docs["doc_id"].eqNullSafe(cuts["cut_doc"]) & (F.xxhash64(text) == cuts["cut_hash"]), "left"
     )
-    cut = F.col("cut_lines")
+    cut = cuts["cut_lines"]
     pieces = F.split(text, "\n")
     rest = bind(
         pieces,
