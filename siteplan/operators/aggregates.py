@@ -50,10 +50,6 @@ def _value(col: str, scale: int | None) -> Column:
     return F.col(col).cast(f"decimal(18,{scale})") if scale is not None else F.col(col).cast("double")
 
 
-def _plain(op: str) -> str:
-    return "long" if op == "count" else "double"
-
-
 class Partials:
     """The partial columns a set of named aggregates needs."""
 
@@ -71,12 +67,10 @@ class Partials:
             return [("count", agg.cols, None)]
         if agg.kind in ("min", "max"):
             return [(agg.kind, agg.cols, None)]
-        needed = [("sum", agg.cols, agg.scale)]
-        if agg.kind in ("avg", "stddev"):
-            needed.append(("count", agg.cols, None))
         if agg.kind == "stddev":
-            needed.append(("square", agg.cols, agg.scale))
-        return needed
+            return [("shifted", agg.cols, agg.scale), ("square", agg.cols, agg.scale), ("count", agg.cols, None)]
+        needed = [("sum", agg.cols, agg.scale)]
+        return [*needed, ("count", agg.cols, None)] if agg.kind == "avg" else needed
 
     @property
     def inputs(self) -> list[str]:
@@ -87,12 +81,23 @@ class Partials:
         return [f"p{i}" for i in range(len(self.parts))]
 
     def _type(self, op: str, scale: int | None) -> str | None:
-        if scale is None or op not in ("sum", "square"):
+        if scale is None or op not in ("sum", "shifted", "square"):
             return None
         return f"decimal(38,{2 * scale if op == 'square' else scale})"
 
-    def of_rows(self) -> list[Column]:
-        """Partial columns of one row; compute them before a join, not once per pair."""
+    def _centre(self, df: DataFrame, col: str, scale: int | None) -> Column:
+        """The middle of a column's finite values, as one value that deviations are measured from.
+
+        Sums of squares lose all digits where values lie far from 0; taken from the middle of
+        their range they don't. It depends on the values alone, so stored cells keep fitting.
+        """
+        v = _value(col, scale)
+        known = v if scale is not None else F.when(F.abs(v) < F.lit(float("inf")), v)
+        middle = F.min(known) + (F.max(known) - F.min(known)) / 2
+        return F.coalesce(df.select(middle.alias("c").cast(self._type("sum", scale) or "double")).scalar(), F.lit(0))
+
+    def of_rows(self, df: DataFrame) -> list[Column]:
+        """Partial columns of one row of `df`; compute them before a join, not once per pair."""
         out = []
         for name, (op, cols, scale) in zip(self.names, self.parts):
             if op == "count":
@@ -104,20 +109,13 @@ class Partials:
                 col = F.col(cols[0])
             else:
                 v = _value(cols[0], scale)
+                if op in ("shifted", "square"):
+                    v = v - self._centre(df, cols[0], scale)
+                    v = v.cast(f"decimal(18,{scale})") if scale is not None else v
                 col = v * v if op == "square" else v
             out.append(col.alias(name))
         return out
 
-    def weighted(self, copies: Column) -> list[Column]:
-        """Partial columns of a row that stands for `copies` equal ones."""
-        out = []
-        for name, (op, _, scale) in zip(self.names, self.parts):
-            col = F.col(name)
-            if op not in ("min", "max"):
-                col = F.when(copies == 1, col).otherwise((col * copies).cast(self._type(op, scale) or _plain(op)))
-            out.append(col.alias(name))
-        return out
-
     def merged(self, when: Column | None = None, suffix: str = "") -> list[Column]:
         """Aggregate expressions that merge partial columns, optionally only where `when` holds."""
         out = []
@@ -133,7 +131,7 @@ class Partials:
         return out
 
     def _part(self, op: str, agg: Agg, suffix: str) -> Column:
-        scale = agg.scale if op in ("sum", "square") else None
+        scale = agg.scale if op in ("sum", "shifted", "square") else None
         return F.col(self.names[self.parts.index((op, agg.cols, scale))] + suffix)
 
     def final(self, name: str, suffix: str = "") -> Column:
@@ -143,12 +141,12 @@ class Partials:
             return F.coalesce(self._part("count", agg, suffix), F.lit(0).cast("long"))
         if agg.kind in ("min", "max"):
             return self._part(agg.kind, agg, suffix)
-        s = self._part("sum", agg, suffix).cast("double")
         if agg.kind == "sum":
-            return s
+            return self._part("sum", agg, suffix).cast("double")
         n = self._part("count", agg, suffix)
         if agg.kind == "avg":
-            return F.try_divide(s, n)
+            return F.try_divide(self._part("sum", agg, suffix).cast("double"), n)
+        s = self._part("shifted", agg, suffix).cast("double")
         q = self._part("square", agg, suffix).cast("double")
         return F.when(n > 1, F.sqrt(F.greatest(q - s * s / F.nullif(n, F.lit(0)), F.lit(0.0)) / (n - 1)))
 

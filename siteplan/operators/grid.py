@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A cell with more rows than this is split over several tasks.
-HOT_ROWS = 1_000_000
-# The list of hot keys is broadcast, so its length is bounded.
-HOT_KEYS = 100_000
+from siteplan.session import kept
+
+# A cell with up to this many rows on the right side needs no count of its left side: every
+# left row meets few rows, and Spark's adaptive skew join splits a large left side by size.
+CALM_ROWS = 1_000
+# A crowded cell is split until no task tests more pairs than this.
+HOT_PAIRS = 100_000_000
+# A list of split cells up to this length is broadcast (a few MB), a longer one is shuffled.
+SMALL_LIST = 100_000
+# Cell numbers stay within this range; coordinates beyond it share the outermost cells.
+EDGE_CELL = 2**16
 
 
 def cell_index(coordinate: Column | str, size: float) -> Column:
     """Grid index of a coordinate. Monotone, so index order never contradicts coordinate order."""
     c = F.col(coordinate) if isinstance(coordinate, str) else coordinate
-    return F.floor(c / F.lit(float(size)))
+    cell = F.floor(F.greatest(F.least(c / F.lit(float(size)), F.lit(float(EDGE_CELL))), F.lit(float(-EDGE_CELL))))
+    return cell.cast("long")
 
 
 def located(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Rows with a usable position; the others match no shape."""
-    big = F.lit(1e12)
-    return df.where((F.abs(F.col(x)) < big) & (F.abs(F.col(y)) < big))
+    """Rows with a position; rows with a NULL or NaN coordinate match no shape."""
+    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x)) & ~F.isnan(F.col(y)))
 
 
 def with_cells(df: DataFrame, x: str, y: str, size: float, gx: str = "gx", gy: str = "gy") -> DataFrame:
@@ -36,85 +43,55 @@ def fan_out(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with too many rows for one task and the number of parts to split each into.
+def split_plan(left: DataFrame, sizes: DataFrame, on: list[str], hot_pairs: int = HOT_PAIRS) -> DataFrame | None:
+    """(keys, parts_l, parts_r): into how many parts each side of a crowded key is cut, by both sides' counts.
 
-    At most HOT_KEYS keys, the largest ones, so the table may be broadcast; a key beyond
-    them holds less than 1/HOT_KEYS of all rows.
+    `sizes` counts the right side's rows per key (n_r). None if no key needs it. The list is written to the scratch folder, so it has no bound.
     """
-    return (
-        df.groupBy(*on)
-        .agg(F.count("*").alias("n_rows"))
-        .where(F.col("n_rows") > hot_rows)
-        .orderBy(F.desc("n_rows"))
-        .limit(HOT_KEYS)
-        .select(*on, F.ceil(F.col("n_rows") / F.lit(float(hot_rows))).cast("int").alias("n_parts"))
-    )
-
-
-def _spread(df: DataFrame, on: list[str], hot: DataFrame, tag: str) -> DataFrame:
-    """Give every row its part of a hot key.
-
-    Equal rows under a hot key are folded into one row with a `copies` count first: they
-    would otherwise hash into the same part. A large fold is cut into pieces, so even a
-    single row repeated without end is spread out.
-    """
-    cols, mine, copies = df.columns, f"part_{tag}", f"copies_{tag}"
-    cold = df.join(F.broadcast(hot), on, "left_anti").select(
-        *cols, F.lit(0).alias(mine), F.lit(1).cast("long").alias(copies)
-    )
-    piece = HOT_ROWS // 100
-    folded = (
-        df.join(F.broadcast(hot), on)
-        .groupBy(*cols, "n_parts")
-        .agg(F.count("*").alias("n_same"))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.expr(f"cast((n_same - 1) div {piece} as int)"))))
-    )
-    spread = folded.select(
-        *cols,
-        F.pmod(F.xxhash64(*cols, "piece"), F.col("n_parts")).cast("int").alias(mine),
-        F.least(F.lit(piece).cast("long"), F.col("n_same") - F.col("piece") * F.lit(piece)).alias(copies),
-    )
-    return cold.unionByName(spread)
-
-
-def _repeat(df: DataFrame, on: list[str], hot: DataFrame, tag: str) -> DataFrame:
-    """One copy of each row for every part the other side's hot key was cut into."""
-    return (
-        df.join(F.broadcast(hot.withColumnRenamed("n_parts", "other_parts")), on, "left")
-        .withColumn(f"part_{tag}", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("other_parts"), F.lit(1)) - 1)))
-        .drop("other_parts")
-    )
+    calm = min(CALM_ROWS, hot_pairs)
+    crowded = kept(sizes.where(F.col("n_r") > calm), "crowded-cells")
+    if crowded.isEmpty():
+        return None
+    counts = left.join(crowded, on).groupBy(*on, "n_r").agg(F.count("*").alias("n_l"))
+    wanted = F.col("n_l") * (F.col("n_r") / F.lit(float(hot_pairs)))
+    # in proportion to the sides, so that the pieces are about square
+    parts_r = F.least(F.col("n_r"), F.greatest(F.lit(1), F.ceil(F.sqrt(wanted * F.col("n_r") / F.col("n_l")))))
+    parts_l = F.least(F.col("n_l"), F.greatest(F.lit(1), F.ceil(wanted / parts_r)))
+    cut = counts.where(wanted > 1).select(*on, parts_l.cast("int").alias("parts_l"), parts_r.cast("int").alias("parts_r"))
+    cut = kept(cut, "split-cells")
+    return None if cut.isEmpty() else cut
 
 
 def cell_join(
-    left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, both: bool = False
+    left: DataFrame, right: DataFrame, on: list[str], hot_pairs: int = HOT_PAIRS, sizes: DataFrame | None = None
 ) -> DataFrame:
-    """Inner equi-join that splits crowded keys of the right side over many tasks.
+    """Inner equi-join whose crowded keys are cut into parts on both sides, by the product of their counts.
 
-    Adds `copies`: how many equal pairs the row stands for (1 except under hot keys). With
-    `both` the left side's crowded keys are split in the same way; otherwise that is left
-    to Spark's adaptive skew join. The other columns of the two sides must differ in name.
+    Every row of a side goes to one part of its own side and is repeated per part of the
+    other. The part is drawn from the row and its input partition, so equal rows spread as
+    their input does. The right side's rows per key are counted when the join is built, unless
+    `sizes` (keys, n_r) is given; the sides must differ in the names of their other columns.
 
     The merge hint keeps Spark from broadcasting a side: its size estimates do not see that
     cells were exploded, and a broadcast would leave the work to the other side's few files.
     """
-    hot_right = hot_keys(right, on, hot_rows)
-    b = _spread(right, on, hot_right, "r")
-    if not both:
-        joined = _repeat(left, on, hot_right, "r").join(b.hint("merge"), [*on, "part_r"])
-        return joined.withColumnRenamed("copies_r", "copies").drop("part_r")
-    hot_left = hot_keys(left, on, hot_rows)
-    a = _repeat(_spread(left, on, hot_left, "l"), on, hot_right, "r")
-    joined = a.join(_repeat(b, on, hot_left, "l").hint("merge"), [*on, "part_l", "part_r"])
-    return joined.withColumn("copies", F.col("copies_l") * F.col("copies_r")).drop(
-        "part_l", "part_r", "copies_l", "copies_r"
-    )
-
-
-def repeat_copies(df: DataFrame) -> DataFrame:
-    """Turn the `copies` count of a cell_join back into that many rows."""
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copy", "copies")
+    if sizes is None:
+        sizes = right.groupBy(*on).agg(F.count("*").alias("n_r"))
+    plan = split_plan(left, sizes, on, hot_pairs)
+    if plan is None:
+        return left.join(right.hint("merge"), on)
+    plan = F.broadcast(plan) if plan.count() <= SMALL_LIST else plan
+
+    def dealt(df: DataFrame, mine: str, other: str) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+        placed = df.withColumn("at", F.spark_partition_id()).join(plan, on, "left")
+        own = F.pmod(F.xxhash64(*df.columns, "at"), F.coalesce(F.col(mine), F.lit(1))).cast("int")
+        return placed.select(*df.columns, own.alias(f"own_{mine}"), each.alias(f"own_{other}"))
+
+    a = dealt(left, "parts_l", "parts_r")
+    b = dealt(right, "parts_r", "parts_l")
+    both = ["own_parts_l", "own_parts_r"]
+    return a.join(b.hint("merge"), [*on, *both]).drop(*both)
 
 
 def dyadic(lo: Column, hi: Column, levels: int) -> Column:

@@ -14,17 +14,19 @@ from pyspark.sql import functions as F
 from siteplan.functions.geo import rect_to_wkt
 from siteplan.operators.aggregates import Agg, Partials
 from siteplan.operators.attach import attach
-from siteplan.operators.grid import HOT_ROWS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located, with_cells
+from siteplan.operators.grid import HOT_PAIRS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located, with_cells
+from siteplan.session import kept
 
 BOUNDS = ("lon1", "lat1", "lon2", "lat2")
+# Block levels of a narrow map; a wider one gets one more per doubling.
 LEVELS = 4
 
 
 def cell_partials(pts: DataFrame, xy: tuple[str, str], aggs: dict[str, Agg], cell: float) -> DataFrame:
     """One row of partials per occupied grid cell; write it out to reuse it over several joins."""
     parts = Partials(aggs)
-    cells = with_cells(located(pts, *xy), *xy, cell).select("gx", "gy", *parts.of_rows())
-    return cells.groupBy("gx", "gy").agg(*parts.merged())
+    cells = with_cells(located(pts, *xy), *xy, cell).select("gx", "gy", *parts.of_rows(pts))
+    return cells.groupBy("gx", "gy").agg(*parts.merged(), F.count("*").alias("n_rows"))
 
 
 def _border_cells(rects: DataFrame) -> DataFrame:
@@ -50,13 +52,15 @@ def range_join(
     cell: float = 0.2,
     bounds: tuple[str, str, str, str] = BOUNDS,
     cells: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """`rects` with the aggregates of the points inside each rectangle.
 
     `how="left"` keeps rectangles without points (counts 0, other aggregates NULL),
     `how="inner"` drops them. `cell` sets the trade: smaller cells leave fewer points to
     test but give each rectangle more border cells (about perimeter / cell).
+    A bound may lie anywhere, at infinity too: cells are listed only where points are.
+    The cells are written to the scratch folder when called, unless given.
     `cells` takes a stored `cell_partials` table of the same points, aggregates and cell.
     """
     x, y = xy
@@ -67,22 +71,24 @@ def range_join(
         .where((F.col(x1) <= F.col(x2)) & (F.col(y1) <= F.col(y2)))
         .distinct()
         .repartition(fan_out(rects), *bounds)
-        .withColumns(
-            {
-                "gx1": cell_index(x1, cell),
-                "gy1": cell_index(y1, cell),
-                "gx2": cell_index(x2, cell),
-                "gy2": cell_index(y2, cell),
-            }
-        )
     )
-    if cells is None:
-        cells = cell_partials(pts, xy, aggs, cell)
-    blocks = cell_blocks(cells, LEVELS, parts.merged())
+    cells = kept(cell_partials(pts, xy, aggs, cell), "cells") if cells is None else cells
+    low_x, high_x, low_y, high_y = cells.agg(*[f(g) for g in ("gx", "gy") for f in (F.min, F.max)]).first()
+    shapes = shapes.select(
+        *bounds,
+        F.greatest(cell_index(x1, cell), F.lit((low_x or 0) - 1)).alias("gx1"),
+        F.greatest(cell_index(y1, cell), F.lit((low_y or 0) - 1)).alias("gy1"),
+        F.least(cell_index(x2, cell), F.lit((high_x or 0) + 1)).alias("gx2"),
+        F.least(cell_index(y2, cell), F.lit((high_y or 0) + 1)).alias("gy2"),
+    )
+    shapes = shapes.where((F.col("gx1") <= F.col("gx2")) & (F.col("gy1") <= F.col("gy2")))
+    span = max((high_x or 0) - (low_x or 0), (high_y or 0) - (low_y or 0))
+    levels = max(LEVELS, span.bit_length() - 4)
+    blocks = cell_blocks(cells, levels, parts.merged())
     inner = (
         shapes.where((F.col("gx2") - F.col("gx1") >= 2) & (F.col("gy2") - F.col("gy1") >= 2))
-        .withColumn("bx", F.explode(dyadic(F.col("gx1") + 1, F.col("gx2"), LEVELS)))
-        .withColumn("by", F.explode(dyadic(F.col("gy1") + 1, F.col("gy2"), LEVELS)))
+        .withColumn("bx", F.explode(dyadic(F.col("gx1") + 1, F.col("gx2"), levels)))
+        .withColumn("by", F.explode(dyadic(F.col("gy1") + 1, F.col("gy2"), levels)))
         .select(
             *bounds,
             F.col("bx.k").alias("kx"),
@@ -95,20 +101,19 @@ def range_join(
     )
 
     rows = with_cells(located(pts, x, y), x, y, cell).select(
-        "gx", "gy", F.col(x).alias("pt_x"), F.col(y).alias("pt_y"), *parts.of_rows()
+        "gx", "gy", F.col(x).alias("pt_x"), F.col(y).alias("pt_y"), *parts.of_rows(pts)
     )
     px, py = F.col("pt_x"), F.col("pt_y")
     if strict:
         inside = (px > F.col(x1)) & (px < F.col(x2)) & (py > F.col(y1)) & (py < F.col(y2))
     else:
         inside = px.between(F.col(x1), F.col(x2)) & py.between(F.col(y1), F.col(y2))
+    sizes = cells.select("gx", "gy", F.col("n_rows").alias("n_r"))
     border = (
-        cell_join(_border_cells(shapes).select(*bounds, "gx", "gy"), rows, ["gx", "gy"], hot_rows)
+        cell_join(_border_cells(shapes).select(*bounds, "gx", "gy"), rows, ["gx", "gy"], hot_pairs, sizes)
         .where(inside)
-        # summed per number of copies, so the multiplication is done once per group, not per pair
-        .groupBy(*bounds, "copies")
+        .groupBy(*bounds)
         .agg(*parts.merged())
-        .select(*bounds, *parts.weighted(F.col("copies")))
     )
 
     merged = inner.unionByName(border).groupBy(*bounds).agg(*parts.merged())

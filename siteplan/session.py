@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "20g") -> SparkSession:
@@ -34,3 +34,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="siteplan-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """`df` written below the shared folder now and read back from there."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

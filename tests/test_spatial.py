@@ -6,11 +6,11 @@ import random
 import pytest
 
 from siteplan.operators.aggregates import count, deviation, highest, lowest, mean, total
-from siteplan.operators.grid import cell_join, repeat_copies
+from siteplan.operators.grid import cell_join
 from siteplan.operators.radius import nearest, nearest_and_count, neighbour_percent_rank, radius_features, radius_join
 from siteplan.operators.range_join import BOUNDS, cell_partials, range_join
 
-HOT = (10**6, 3)
+HOT = (10**8, 3)
 
 
 def make(seed):
@@ -32,7 +32,7 @@ def test_range_join(spark, hot, strict):
     p = spark.createDataFrame(pts, "lon double, lat double, v double")
     aggs = {"n": count("lon"), "k": count("v"), "s": total("v", 3), "m": mean("v", 3), "d": deviation("v", 3), "lo": lowest("v"), "hi": highest("v")}
     got = {}
-    for row in range_join(r, p, ("lon", "lat"), aggs, strict=strict, hot_rows=hot).collect():
+    for row in range_join(r, p, ("lon", "lat"), aggs, strict=strict, hot_pairs=hot).collect():
         got.setdefault(tuple(row[:4]), []).append(row)
     assert sum(map(len, got.values())) == len(rects)
     for x1, y1, x2, y2 in rects:
@@ -62,13 +62,42 @@ def test_inner_join_and_stored_cells(spark):
     assert sorted(left) == sorted(inner)
 
 
-@pytest.mark.parametrize("both", [True, False])
-def test_cell_join_keeps_every_pair(spark, both):
-    left = spark.createDataFrame([(1, i % 4) for i in range(40)] + [(2, 9)], "k int, a int")
-    right = spark.createDataFrame([(1, i % 3) for i in range(50)] + [(2, 5), (3, 1)], "k int, b int")
+def test_cell_join_keeps_every_pair(spark):
+    left = spark.createDataFrame([(1, i % 4) for i in range(40)] + [(2, 9)], "k int, a int").repartition(3)
+    right = spark.createDataFrame([(1, i % 3) for i in range(50)] + [(2, 5), (3, 1)], "k int, b int").repartition(2)
     want = sorted(left.join(right, "k").select("k", "a", "b").collect())
-    got = sorted(repeat_copies(cell_join(left, right, ["k"], hot_rows=3, both=both)).select("k", "a", "b").collect())
-    assert got == want
+    joined = cell_join(left, right, ["k"], hot_pairs=20)
+    assert sorted(joined.select("k", "a", "b").collect()) == want
+    assert "own_parts_l" in joined._jdf.queryExecution().toString()  # both sides of the crowded key are cut
+
+
+def test_open_bounds_and_far_points(spark):
+    inf = float("inf")
+    rects = [(0.0, 0.0, inf, 1.0), (-inf, -inf, inf, inf), (0.0, 0.0, 1e15, 1e15), (50.0, 50.0, 60.0, 60.0)]
+    pts = [(0.5, 0.5, 1.0), (1e14, 0.5, 2.0), (-1e13, -5.0, 4.0), (inf, 0.5, 8.0)]
+    r = spark.createDataFrame(rects, list(BOUNDS))
+    p = spark.createDataFrame(pts, "lon double, lat double, v double")
+    found = range_join(r, p, ("lon", "lat"), {"s": total("v")}).collect()
+    assert {tuple(f)[:4]: f["s"] for f in found} == {rects[0]: 3.0, rects[1]: 7.0, rects[2]: 3.0, rects[3]: None}
+
+
+def test_deviation_far_from_zero(spark):
+    pts = [(0.5, 0.5, 1e8 + 0.01 * (i % 2)) for i in range(1000)]
+    p = spark.createDataFrame(pts, "lon double, lat double, v double")
+    r = spark.createDataFrame([(0.0, 0.0, 1.0, 1.0)], list(BOUNDS))
+    want = p.selectExpr("stddev_samp(v)").first()[0]
+    for scale in (None, 5):
+        got = range_join(r, p, ("lon", "lat"), {"d": deviation("v", scale)}).first()["d"]
+        assert got == pytest.approx(want, rel=1e-5)
+
+
+def test_points_are_read_twice_at_most(spark, tmp_path):
+    rects, pts = make(5)
+    path = str(tmp_path / "pts")
+    spark.createDataFrame(pts, "lon double, lat double, v double").write.parquet(path)
+    r = spark.createDataFrame(rects, list(BOUNDS))
+    joined = range_join(r, spark.read.parquet(path), ("lon", "lat"), {"s": total("v")})
+    assert joined._jdf.queryExecution().executedPlan().toString().count(path.rsplit("/", 1)[-1] + "]") <= 1  # and once for the cells
 
 
 @pytest.mark.parametrize("hot", HOT)
@@ -82,7 +111,7 @@ def test_radius_operators(spark, hot):
     radii = (0.03, 0.2, 0.4)
     dist = lambda a, b: math.sqrt((a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1]))
 
-    rows = radius_features(p, o, {"c_{}": count(), "s_{}": total("v", 3)}, radii, hot_rows=hot).collect()
+    rows = radius_features(p, o, {"c_{}": count(), "s_{}": total("v", 3)}, radii, hot_pairs=hot).collect()
     assert len(rows) == len(points)
     for row in rows:
         for r, name in zip(radii, ("3d", "20d", "40d")):
@@ -91,21 +120,21 @@ def test_radius_operators(spark, hot):
             assert row[f"c_{name}"] == len(near)
             assert row[f"s_{name}"] == (sum(vals) if vals else None)
 
-    best = {(r["lon"], r["lat"]): r for r in nearest(p, o, 0.4, keep=("v",), hot_rows=hot).collect()}
+    best = {(r["lon"], r["lat"]): r for r in nearest(p, o, 0.4, keep=("v",), hot_pairs=hot).collect()}
     for a in points:
         near = [dist(a, b) for b in others if dist(a, b) < 0.4]
         assert (best[a]["dist"] if a in best else None) == (min(near) if near else None)
 
-    for row in nearest_and_count(p, o, 0.2, hot_rows=hot).collect():
+    for row in nearest_and_count(p, o, 0.2, hot_pairs=hot).collect():
         near = [dist(row, b) for b in others if dist(row, b) < 0.2]
         assert row["n"] == max(len(near) - 1, 0)
         assert row["d"] == (min(near) if near else None)
 
-    pairs = radius_join(p, o, 0.2, keep=("v",), how="inner", hot_rows=hot).count()
+    pairs = radius_join(p, o, 0.2, keep=("v",), how="inner", hot_pairs=hot).count()
     assert pairs == sum(dist(a, b) < 0.2 for a in points for b in others)
 
     none = (99, 99, 99)
-    for row in neighbour_percent_rank(p, o, "v", radii, "r_{}", pixel_xy=("lon", "lat"), hot_rows=hot).collect():
+    for row in neighbour_percent_rank(p, o, "v", radii, "r_{}", pixel_xy=("lon", "lat"), hot_pairs=hot).collect():
         for r, name in zip(radii, ("3d", "20d", "40d")):
             near = [b for b in others if dist(row, b) < r]
             key = lambda b: (dist(row, b), b[0], b[1], b[2] is not None, b[2] or 0)
