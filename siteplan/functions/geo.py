@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,21 +58,34 @@ def rect_area(lon1, lat1, lon2, lat2, strict: bool = False) -> Column:
     return F.abs(lon1 - lon2) * miles * F.abs(lat1 - lat2) * F.lit(LAT_DEGREE_MILES)
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over `value`, computed once: a lambda's variable stands for it inside other lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _edges(ring: Column) -> Column:
     """Edges of the closed ring, relative to its first vertex to keep the products small."""
-    x0, y0 = ring[0][0], ring[0][1]
-    moved = F.transform(ring, lambda p: F.struct((p[0] - x0).alias("x"), (p[1] - y0).alias("y")))
-    shifted = F.concat(F.slice(moved, 2, F.greatest(F.size(moved) - 1, F.lit(0))), F.slice(moved, 1, 1))
-    return F.zip_with(
-        moved,
-        shifted,
-        lambda a, b: F.struct(
-            (a["x"] * b["y"] - b["x"] * a["y"]).alias("cross"),
-            (a["x"] + b["x"]).alias("sx"),
-            (a["y"] + b["y"]).alias("sy"),
-            F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"])).alias("len"),
-        ),
-    )
+
+    def moved(r: Column) -> Column:
+        first = lambda o: F.transform(
+            r, lambda p: F.struct((p[0] - o["x"]).alias("x"), (p[1] - o["y"]).alias("y"))
+        )
+        return bind(F.struct(r[0][0].alias("x"), r[0][1].alias("y")), first)
+
+    def edges(m: Column) -> Column:
+        shifted = F.concat(F.slice(m, 2, F.greatest(F.size(m) - 1, F.lit(0))), F.slice(m, 1, 1))
+        return F.zip_with(
+            m,
+            shifted,
+            lambda a, b: F.struct(
+                (a["x"] * b["y"] - b["x"] * a["y"]).alias("cross"),
+                (a["x"] + b["x"]).alias("sx"),
+                (a["y"] + b["y"]).alias("sy"),
+                F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"])).alias("len"),
+            ),
+        )
+
+    return bind(bind(ring, moved), edges)
 
 
 def ring_centroid(ring) -> Column:

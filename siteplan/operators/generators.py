@@ -15,16 +15,16 @@ def gen_places(
     min_side: float = 0.5,
     max_side: float = 10.0,
     seed: int = 0,
+    tries: int = 256,
 ) -> DataFrame:
     """n random rectangles in the box with sides from min_side to max_side.
 
     Each place draws corner pairs until one fits: rows stand on their own, so no counting
     across tasks is needed to end up with n. About 28 % of the draws fit with the default
-    sides; a box in which 256 draws find nothing is an error. All numbers come from a hash
+    sides, so `tries` draws all miss once in 10^36 places; that is an error. All numbers come from a hash
     of the row id, so a lost task makes the same rows again.
     """
     west, south, east, north = box
-    tries = 256
 
     def corner(k: Column | int, axis: int) -> Column:
         bits = F.shiftrightunsigned(F.xxhash64("id", F.lit(seed), k, F.lit(axis)), 11)

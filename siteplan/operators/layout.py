@@ -9,9 +9,14 @@ from siteplan.operators.grid import cell_index
 from siteplan.session import scratch_dir
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """Bernoulli sample without replacement."""
-    return df.sample(False, fraction, seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int = 0, keys: list[str] | None = None) -> DataFrame:
+    """Bernoulli sample without replacement, drawn from the md5 of the keys (by default the whole row).
+
+    The same rows come out in every run and under every partitioning; equal rows stay or go together.
+    """
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in keys or df.columns], F.lit(str(seed)))
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return df.where(draw < F.lit(round(fraction * 2**32)))
 
 
 def _bucket(keys: list[str], n: int, seed: int) -> Column:

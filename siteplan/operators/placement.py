@@ -34,8 +34,6 @@ TILE_RADII = 4
 SHIFTS = ((0.0, 0.0), (0.5, 0.5), (0.5, 0.0), (0.0, 0.5))
 SALTS = 32
 PICKS_PER_ROUND = 512
-# A list of picks up to this length is broadcast, a longer one is joined by shuffle.
-BROADCAST_PICKS = 50_000
 
 
 def argmax_row(df: DataFrame, score: str, order: list[str]) -> DataFrame:
@@ -130,7 +128,7 @@ def greedy_place(
     while True:
         state = spark.read.schema(schema).parquet(f"{base}/state-{step}")
         new_at = f"{base}/picks-{step}"
-        _round_picks(state, keys, radius, k, side, SHIFTS[step % len(SHIFTS)], min(top, 998), pick_schema).write.parquet(new_at)
+        _round_picks(state, keys, radius, k, side, SHIFTS[step % len(SHIFTS)], top, pick_schema).write.parquet(new_at)
         new = spark.read.schema(pick_schema).parquet(new_at)
         picks_at.append(new_at)
         # one row to the driver: how many picks are known and where the n-th stands
@@ -142,7 +140,7 @@ def greedy_place(
         if last["n"] >= n:
             bound = last["last"]
             fresh = fresh.where(_before(neg, bound) | F.col("id").eqNullSafe(F.lit(bound["id"])))
-        live = _apply(live, fresh, last["n"] <= BROADCAST_PICKS, radius, k, side, neg)
+        live = _apply(live, fresh, radius, k, side, neg)
         if last["n"] >= n:
             live = live.withColumn("neg", -F.col("score")).where(_before(neg, bound)).drop("neg")
         step += 1
@@ -195,7 +193,7 @@ def _round_picks(
 
 
 def _apply(
-    live: DataFrame, picks: DataFrame, small: bool, radius: float, k: float, side: float, neg: list[str]
+    live: DataFrame, picks: DataFrame, radius: float, k: float, side: float, neg: list[str]
 ) -> DataFrame:
     """Live points after the penalties of the picks, taken off in pick order."""
     margin = radius * 1e-9 + 1e-12
@@ -208,7 +206,7 @@ def _apply(
         .agg(F.array_sort(F.collect_list(F.struct(*neg, F.col("x").alias("px"), F.col("y").alias("py")))).alias("near"))
     )
     live = live.withColumns({"gx": cell_index("x", side), "gy": cell_index("y", side)})
-    joined = live.join(F.broadcast(per_tile) if small else per_tile, ["gx", "gy"], "left")
+    joined = live.join(per_tile, ["gx", "gy"], "left")
 
     def lower(s: Column, p: Column) -> Column:
         d = dist("x", "y", p["px"], p["py"])

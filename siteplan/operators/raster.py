@@ -10,7 +10,6 @@ def tiles_to_points(
     tiles: DataFrame,
     box: tuple[float, float, float, float] | None = None,
     anchor: str = "center",
-    stride: int = 1,
     width: float | None = None,
     names: tuple[str, str, str] = ("lon", "lat", "pop_cnt"),
     skip_nan: bool | None = None,
@@ -21,8 +20,9 @@ def tiles_to_points(
     anchor "center" places a pixel at its cell centre and skips NaN; anchor "corner" places
     it at the upper left of its cell, measured over the whole file, and keeps NaN. `width`
     replaces the file's width in degrees for the corner longitude (1.0 is what one-degree
-    tiles use). `stride` keeps every n-th row and column of the file. `box` drops whole
-    tiles outside it first and then every pixel not strictly inside.
+    tiles use). Tiles read with a stride hold every n-th row and column of their file. `box`
+    drops whole tiles outside it first (better still, give it to the reader too) and then
+    every pixel not strictly inside.
     """
     if anchor not in ("center", "corner"):
         raise ValueError("anchor is center or corner")
@@ -33,14 +33,12 @@ def tiles_to_points(
             (F.col("xmax") >= west) & (F.col("xmin") <= east) & (F.col("ymax") >= south) & (F.col("ymin") <= north)
         )
     cells = tiles.select("*", F.posexplode("band0").alias("pos", "v"))
-    cells = cells.withColumn("col", F.col("pos") % F.col("cols")).withColumn("row", F.expr("pos div cols"))
-    if stride > 1:
-        cells = cells.where(
-            ((F.col("row") + F.col("row0")) % stride == 0) & ((F.col("col") + F.col("col0")) % stride == 0)
-        )
+    cells = cells.withColumns(
+        {"col": F.col("pos") % F.col("cols") * F.col("step"), "row": F.expr("pos div cols") * F.col("step")}
+    )
     if anchor == "center":
-        x = F.col("xmin") + (F.col("col") + 0.5) * ((F.col("xmax") - F.col("xmin")) / F.col("cols"))
-        y = F.col("ymax") - (F.col("row") + 0.5) * ((F.col("ymax") - F.col("ymin")) / F.col("rows"))
+        x = F.col("xmin") + (F.col("col") + 0.5) * ((F.col("file_xmax") - F.col("file_xmin")) / F.col("file_cols"))
+        y = F.col("ymax") - (F.col("row") + 0.5) * ((F.col("file_ymax") - F.col("file_ymin")) / F.col("file_rows"))
     else:
         span = F.lit(float(width)) if width is not None else F.col("file_xmax") - F.col("file_xmin")
         x = F.col("file_xmin") + (F.col("col") + F.col("col0")) / F.col("file_cols") * span

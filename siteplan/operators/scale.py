@@ -36,7 +36,11 @@ def minmax_ranges(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, cols: list[str], ranges: DataFrame | None = None) -> DataFrame:
-    """(x − min) / (max − min); a constant column becomes 0. Without `ranges` they are fitted on df."""
+    """(x − min) / (max − min); without `ranges` they are fitted on df.
+
+    A column that was constant when the range was fitted gives x − min, so 0 for that value.
+    A column without a range is an error.
+    """
     if ranges is None:
         ranges = minmax_ranges(df, cols)
     fitted = ranges.where(F.col("column").isin(cols)).agg(
@@ -45,8 +49,9 @@ def minmax_scale(df: DataFrame, cols: list[str], ranges: DataFrame | None = None
     stats = fitted.scalar()
     scaled = {}
     for c in cols:
-        low, high = stats[c]["low"], stats[c]["high"]
-        scaled[c] = F.when(
-            F.col(c).isNotNull(), F.coalesce(F.try_divide(F.col(c) - low, high - low), F.lit(0.0))
-        )
+        fitted_to = F.try_element_at(stats, F.lit(c))
+        low, high = fitted_to["low"], fitted_to["high"]
+        missing = F.raise_error(F.lit(f"no range for column {c}")).cast("double")
+        share = F.when(high == low, F.col(c) - low).otherwise((F.col(c) - low) / F.nullif(high - low, F.lit(0.0)))
+        scaled[c] = F.when(fitted_to.isNull(), missing).otherwise(share.cast("double"))
     return df.withColumns(scaled)

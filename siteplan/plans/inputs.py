@@ -8,6 +8,7 @@ from siteplan.operators.clean import TEST_BOX, TRAIN_BOX, build_towers, clean_bu
 from siteplan.operators.footprints import geojson_rings, ring_buildings
 from siteplan.operators.profile import building_profile
 from siteplan.operators.raster import tiles_to_points
+from siteplan.session import kept
 from siteplan.sources.geotiff import read_raster_tiles
 from siteplan.sources.readers import read_cells_csv, read_geojson
 from siteplan.sources.sinks import write_per_source, write_table
@@ -18,12 +19,12 @@ def towers_job(spark: SparkSession, cells_csv: str, out: str) -> None:
 
 
 def population_job(spark: SparkSession, raster: str, out: str, box=TRAIN_BOX) -> None:
-    write_table(tiles_to_points(read_raster_tiles(spark, raster), box), out)
+    write_table(tiles_to_points(read_raster_tiles(spark, raster, box=box), box), out)
 
 
 def buildings_job(spark: SparkSession, geojson: str, train_out: str, test_out: str, batch: str | None = None) -> None:
     """Footprints of both regions; with `batch`, a re-run replaces what that batch wrote before."""
-    rings = geojson_rings(read_geojson(spark, geojson))
+    rings = kept(geojson_rings(read_geojson(spark, geojson)), "rings")  # parsed once for both regions
     for box, path in ((TRAIN_BOX, train_out), (TEST_BOX, test_out)):
         write_table(ring_buildings(rings, box), path, batch=batch)
 
@@ -41,9 +42,8 @@ def elevation_job(
     """All elevation rasters of a folder as one table; stride 100 thins one-arc-second tiles to about 0.01°."""
     keep = ("source",) if per_source else ()
     pixels = tiles_to_points(
-        read_raster_tiles(spark, rasters),
+        read_raster_tiles(spark, rasters, stride=stride),
         anchor="corner",
-        stride=stride,
         width=width,
         names=("longitude", "latitude", "elevation"),
         keep=keep,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +22,13 @@ from siteplan.operators.mlp import mlp_fit, mlp_score, weights_table
 from siteplan.operators.placement import argmax_row, greedy_place
 from siteplan.operators.range_join import BOUNDS, range_join, range_join_wkt
 from siteplan.operators.regression import fit_place_model, regression_metrics
+from siteplan.plans import inputs
 from siteplan.plans import places as places_plan
 from siteplan.plans import points as points_plan
-from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, radius_suffix
+from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, POPULATION, TOWERS, radius_suffix
 from siteplan.session import scratch_dir
-from siteplan.sources.geotiff import read_raster_tiles, write_rasters
+from siteplan.raster_fixture import write_rasters
+from siteplan.sources.geotiff import read_raster_tiles
 from siteplan.sources.readers import read_cells_csv, read_csv_folder, read_geojson, read_points_csv
 from siteplan.sources.sinks import write_csv, write_table
 
@@ -149,9 +152,19 @@ def profile_numeric(spark, sf):
     return stats.withColumn("stddev", F.round("stddev", 6))
 
 
-@query()
+@query("SELECT unnest(['area', 'center_longitude', 'center_latitude']) AS \"column\", TRUE AS p25, TRUE AS p50, TRUE AS p75, CAST(COUNT(*) AS BIGINT) AS \"count\" FROM buildings")
 def profile_quartiles(spark, sf):
-    return profile.profile_numeric(view(spark, sf, "buildings"), ["area", *CENTRE])
+    """Whether each approximate quartile's rank is within a thousandth of what it should be."""
+    b = view(spark, sf, "buildings")
+    found = profile.profile_numeric(b, ["area", *CENTRE])
+    each = b.select(F.expr("stack(3, 'area', area, 'center_longitude', center_longitude, 'center_latitude', center_latitude) AS (column, v)"))
+    shares = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    held = each.join(F.broadcast(found.select("column", *[p for p, _ in shares])), "column")  # three rows
+    near = [
+        (F.avg(F.when(F.col("v") < F.col(p), 1.0).otherwise(0.0)) <= q + 1e-3) & (F.avg(F.when(F.col("v") <= F.col(p), 1.0).otherwise(0.0)) >= q - 1e-3)
+        for p, q in shares
+    ]
+    return held.groupBy("column").agg(*[n.alias(p) for n, (p, _) in zip(near, shares)], F.count("*").alias("count"))
 
 
 @query("SELECT COUNT(*) AS buildings, COUNT(CASE WHEN area = 0 THEN 1 END) AS zero_area, COUNT(CASE WHEN area >= 500000 THEN 1 END) AS large_area FROM buildings")
@@ -159,9 +172,13 @@ def building_profile(spark, sf):
     return profile.building_profile(view(spark, sf, "buildings"))
 
 
-@query()
+def _drawn(key: str, fraction: float, seed: int) -> str:
+    return f"CAST('0x' || substr(md5({key} || '|{seed}'), 1, 8) AS BIGINT) < {round(fraction * 2**32)}"
+
+
+@query(f"SELECT o_orderkey, o_totalprice FROM orders WHERE {_drawn('o_orderkey', 0.1, 7)}")
 def sample_rows(spark, sf):
-    return layout.sample_rows(view(spark, sf, "elev_clean"), 0.1, 7)
+    return layout.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 0.1, 7, ["o_orderkey"])
 
 
 @query("SELECT COUNT(*) AS n, COUNT(*) AS placed, 12 AS shards FROM pop")
@@ -264,12 +281,12 @@ def place_pop_wkt(spark, sf):
 
 
 @query(
-    "SELECT 'POINT (' || CAST(lon AS VARCHAR) || ' ' || CAST(lat AS VARCHAR) || ')' AS wkt, lon AS lon1, lat AS lat1 FROM towers"
+    "SELECT 'POINT (' || CAST(lon AS VARCHAR) || ' ' || CAST(lat AS VARCHAR) || ')' AS wkt, lon AS lon1, lat AS lat1, lon + 1 AS lon2, lat + 1 AS lat2 FROM towers"
 )
 def rect_wkt(spark, sf):
     t = view(spark, sf, "towers")
     back = wkt_to_rect(rect_to_wkt("lon", "lat", F.col("lon") + 1, F.col("lat") + 1))
-    return t.select(point_to_wkt("lon", "lat").alias("wkt"), back["lon1"].alias("lon1"), back["lat1"].alias("lat1"))
+    return t.select(point_to_wkt("lon", "lat").alias("wkt"), *[back[c].alias(c) for c in BOUNDS])
 
 
 @query(
@@ -282,12 +299,19 @@ def place_elevation(spark, sf):
     return clean.fill_zero(found, list(aggs)).withColumn("stddv_elevation", F.round("stddv_elevation", 6))
 
 
-@query()
+_PIXEL_KEY = "CAST(CAST(ROUND(longitude * 1e3) AS BIGINT) * 100000 + CAST(ROUND(latitude * 1e3) AS BIGINT) AS {})"
+
+
+@query(
+    f"SELECT {B}, {_exact('elevation')} / COUNT(elevation) AS avg_elevation, COALESCE(ROUND(STDDEV_SAMP(elevation), 6), 0) AS stddv_elevation "
+    f"FROM places JOIN (SELECT * FROM elev_clean WHERE {_drawn(_PIXEL_KEY.format('VARCHAR'), 0.2, 3)}) e ON {_in('longitude', 'latitude', False)} GROUP BY {B}"
+)
 def place_elevation_sampled(spark, sf):
-    aggs = {"avg_elevation": mean("elevation"), "stddv_elevation": deviation("elevation")}
-    pixels = layout.sample_rows(view(spark, sf, "elev_clean"), 0.2, 3)
+    aggs = {"avg_elevation": mean("elevation", 5), "stddv_elevation": deviation("elevation")}
+    pixels = view(spark, sf, "elev_clean").selectExpr("*", _PIXEL_KEY.format("STRING") + " AS k")
+    pixels = layout.sample_rows(pixels, 0.2, 3, ["k"])
     found = range_join(view(spark, sf, "places"), pixels, PIXEL, aggs, strict=False, how="inner")
-    return clean.fill_zero(found, list(aggs))
+    return clean.fill_zero(found, list(aggs)).withColumn("stddv_elevation", F.round("stddv_elevation", 6))
 
 
 _BUILDING_AGGS = {"building_count": count("area"), "building_area": total("area", 5)}
@@ -412,10 +436,10 @@ def point_building_combine(spark, sf):
 
 
 @query(
-    f"SELECT p.lon, p.lat, {_DB} AS dist, b.area FROM points p LEFT JOIN buildings b ON {_DB} < 0.1e0"
+    f"SELECT p.lon, p.lat, {_DB} AS dist, b.area FROM points p LEFT JOIN buildings b ON {_DB} < 0.4e0"
 )
 def point_neighbour_list(spark, sf):
-    lists = radius.neighbour_list(view(spark, sf, "points"), view(spark, sf, "buildings"), "area", 0.1, other_xy=CENTRE)
+    lists = radius.neighbour_list(view(spark, sf, "points"), view(spark, sf, "buildings"), "area", other_xy=CENTRE)
     pair = F.explode_outer("neighbours").alias("pair")
     rows = lists.select("lon", "lat", F.size("neighbours").alias("k"), pair)
     return rows.select("lon", "lat", F.col("pair")[0].alias("dist"), F.col("pair")[1].alias("area"))
@@ -426,14 +450,14 @@ def point_neighbour_list(spark, sf):
     + ", ".join(
         f"CAST(COUNT(CASE WHEN {_DB} < {r}e0 THEN 1 END) AS BIGINT) AS building_cnt_{radius_suffix(r)}, "
         f"ROUND(COALESCE(SUM(CASE WHEN {_DB} < {r}e0 THEN area END), 0), 2) AS building_area_{radius_suffix(r)}"
-        for r in (0.03, 0.1)
+        for r in BUILDING_RADII
     )
-    + f" FROM points p LEFT JOIN buildings b ON {_DB} < 0.1e0 GROUP BY p.lon, p.lat"
+    + f" FROM points p LEFT JOIN buildings b ON {_DB} < 0.4e0 GROUP BY p.lon, p.lat"
 )
 def list_split_radius(spark, sf):
-    lists = radius.neighbour_list(view(spark, sf, "points"), view(spark, sf, "buildings"), "area", 0.1, other_xy=CENTRE)
-    found = radius.lists_to_features(lists, (0.03, 0.1))
-    return found.withColumns({f"building_area_{s}": F.round(f"building_area_{s}", 2) for s in ("3d", "10d")})
+    lists = radius.neighbour_list(view(spark, sf, "points"), view(spark, sf, "buildings"), "area", other_xy=CENTRE)
+    areas = [f"building_area_{radius_suffix(r)}" for r in BUILDING_RADII]
+    return radius.lists_to_features(lists, BUILDING_RADII).withColumns({a: F.round(a, 2) for a in areas})
 
 
 def _rank(r: float) -> str:
@@ -510,10 +534,18 @@ def src_geojson(spark, sf):
     return _geojson(spark, sf).groupBy("type").agg(F.count("coordinates").alias("features"))
 
 
-@query(f"SELECT type, 5 AS vertices, x, y FROM ({_RING_SQL}) r")
+_VERTICES = ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT type, {i} AS vertex, ROUND(x + {a} * w, 4) AS x, ROUND(y + {b} * h, 4) AS y FROM ({_RING_SQL}) r{i}"
+        for i, (a, b) in enumerate(_VERTICES)
+    )
+)
 def geojson_rings_query(spark, sf):
-    rings = geojson_rings(_geojson(spark, sf))
-    return rings.select("type", F.size("ring").alias("vertices"), F.col("ring")[0][0].alias("x"), F.col("ring")[0][1].alias("y"))
+    each = geojson_rings(_geojson(spark, sf)).select("type", F.posexplode("ring").alias("vertex", "p"))
+    return each.select("type", "vertex", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
 
 
 @query(f"SELECT type, ROUND(x + w / 2, 6) AS cx, ROUND(y + h / 2, 6) AS cy FROM ({_RING_SQL}) r")
@@ -543,13 +575,24 @@ ORACLES["geojson_rings"] = ORACLES.pop("geojson_rings_query")
 # --- files -------------------------------------------------------------------------------
 
 
-@query("SELECT radio, mcc, cell, lon, lat FROM cells")
-def src_csv_schema(spark, sf):
+_RAW = {
+    "net": "CAST(cell % 7 AS VARCHAR)", "area": "CAST(cell % 1000 AS VARCHAR)", "unit": "mcc", "range": "CAST(cell % 50 AS VARCHAR)",
+    "samples": "CAST(cell % 11 AS VARCHAR)", "changeable": "CASE WHEN cell % 2 = 0 THEN NULL ELSE '1' END", "created": "radio",
+    "updated": "CAST(cell AS VARCHAR)", "averageSignal": "'0'",
+}
+
+
+def _cells_csv(spark: SparkSession, sf: str) -> str:
+    """The cells in their 14 raw columns as a folder of CSV files."""
     path = scratch_dir(spark, "cells-csv")
-    cells = view(spark, sf, "cells")
-    full = cells.select(*[(F.col(f.name) if f.name in cells.columns else F.lit("x")).alias(f.name) for f in CELLS_RAW])
-    write_csv(full, path)
-    return read_cells_csv(spark, path).select("radio", "mcc", "cell", "lon", "lat")
+    made = view(spark, sf, "cells").selectExpr("*", *[f"{e.replace('VARCHAR', 'STRING')} AS `{c}`" for c, e in _RAW.items()])
+    write_csv(made.select(*CELLS_RAW.names), path)
+    return path
+
+
+@query("SELECT radio, mcc, cell, lon, lat, " + ", ".join(f'{e} AS "{c}"' for c, e in _RAW.items()) + " FROM cells")
+def src_csv_schema(spark, sf):
+    return read_cells_csv(spark, _cells_csv(spark, sf))
 
 
 @query("SELECT lon, lat, pop_cnt FROM pop")
@@ -582,8 +625,8 @@ def write_batches(spark, sf):
 _GRID = "SELECT fx, fy, c, r, MAX(v) AS v FROM (SELECT CAST(-125 + o_orderkey % 7 AS BIGINT) AS fx, CAST(33 + o_orderkey % 3 AS BIGINT) AS fy, CAST((o_orderkey * 31) % 60 AS BIGINT) AS c, CAST((o_custkey * 17) % 20 AS BIGINT) AS r, CAST(o_custkey AS DOUBLE) AS v FROM orders) g GROUP BY fx, fy, c, r"
 
 
-def _tifs(spark: SparkSession, sf: str, deflate: bool) -> DataFrame:
-    """Raster files made from orders: one 60 × 20 file per square degree, read back as tiles."""
+def _tif_files(spark: SparkSession, sf: str, deflate: bool, bands: int = 1) -> str:
+    """A folder of raster files made from orders: one 60 × 20 file per square degree."""
     k = F.col("o_orderkey")
     pixels = (
         table(spark, sf, "orders")
@@ -614,8 +657,12 @@ def _tifs(spark: SparkSession, sf: str, deflate: bool) -> DataFrame:
         )
     )
     path = scratch_dir(spark, "tif")
-    write_rasters(files, path, deflate).count()
-    return read_raster_tiles(spark, path)
+    write_rasters(files, path, deflate, bands).count()
+    return path
+
+
+def _tifs(spark: SparkSession, sf: str, deflate: bool, bands: int = 1, **options) -> DataFrame:
+    return read_raster_tiles(spark, _tif_files(spark, sf, deflate, bands), **options)
 
 
 _NEAR = "ROUND(fx + (c + 5e-1) / 60, 6) AS lon, ROUND(fy + 1 - (r + 5e-1) / 20, 6) AS lat"
@@ -630,7 +677,8 @@ def src_raster_single(spark, sf):
 
 @query(f"SELECT {_NEAR}, v AS pop_cnt FROM ({_GRID}) g WHERE fx + (c + 5e-1) / 60 > -124 AND fx + (c + 5e-1) / 60 < -121.5 AND fy + 1 - (r + 5e-1) / 20 > 33.26e0 AND fy + 1 - (r + 5e-1) / 20 < 35")
 def raster_to_points_box(spark, sf):
-    points = raster.tiles_to_points(_tifs(spark, sf, True), box=(-124.0, 33.26, -121.5, 35.0))
+    box = (-124.0, 33.26, -121.5, 35.0)
+    points = raster.tiles_to_points(_tifs(spark, sf, True, box=box), box=box)
     return points.withColumns({c: F.round(c, 6) for c in LON_LAT})
 
 
@@ -643,13 +691,21 @@ def raster_to_points_corner(spark, sf):
     return clean.clean_elevation(pixels).withColumns({c: F.round(c, 6) for c in PIXEL})
 
 
-QUERIES["src_raster_multi"] = raster_to_points_corner
-ORACLES["src_raster_multi"] = ORACLES["raster_to_points_corner"]
+@query(f"SELECT {_UPPER_LEFT}, v AS elevation, -1 - v AS second FROM ({_GRID}) g")
+def src_raster_multi(spark, sf):
+    path = _tif_files(spark, sf, True, bands=2)
+    first, second = [
+        clean.clean_elevation(
+            raster.tiles_to_points(read_raster_tiles(spark, path, band=b), anchor="corner", width=1.0, names=_ELEV_NAMES)
+        ).withColumns({c: F.round(c, 6) for c in PIXEL})
+        for b in (0, 1)
+    ]
+    return first.join(second.withColumnRenamed("elevation", "second"), [*PIXEL])
 
 
 @query(f"SELECT {_UPPER_LEFT}, v AS elevation FROM ({_GRID}) g WHERE r % 5 = 0 AND c % 5 = 0")
 def raster_downsample(spark, sf):
-    pixels = raster.tiles_to_points(_tifs(spark, sf, False), anchor="corner", width=1.0, stride=5, names=_ELEV_NAMES)
+    pixels = raster.tiles_to_points(_tifs(spark, sf, False, stride=5), anchor="corner", width=1.0, names=_ELEV_NAMES)
     return clean.clean_elevation(pixels).withColumns({c: F.round(c, 6) for c in PIXEL})
 
 
@@ -662,13 +718,18 @@ def src_per_file(spark, sf):
     return back.groupBy("source").agg(F.count("*").alias("pixels"), F.max("pop_cnt").alias("highest"))
 
 
+_BINS = ["v < 0", *[f"v >= {a} AND v < {a + 250}" for a in (0, 250, 500, 750)], "v >= 1000"]
+
+
 @query(
     "SELECT 'deg_' || ABS(fx) || '_' || fy AS source, CAST(60 AS BIGINT) AS cols, CAST(20 AS BIGINT) AS rows, CAST(COUNT(*) AS BIGINT) AS valid_cells, "
-    f"COUNT(*) / 1200e0 AS valid_share, MIN(v) AS \"min\", MAX(v) AS \"max\", CAST(SUM(CASE WHEN v >= 0 AND v < 250 THEN 1 ELSE 0 END) AS BIGINT) AS first_bin FROM ({_GRID}) g GROUP BY fx, fy"
+    f"COUNT(*) / 1200e0 AS valid_share, MIN(v) AS \"min\", MAX(v) AS \"max\", SUM(v) / COUNT(*) AS mean, "
+    + ", ".join(f"CAST(SUM(CASE WHEN {t} THEN 1 ELSE 0 END) AS BIGINT) AS bin_{i}" for i, t in enumerate(_BINS))
+    + f" FROM ({_GRID}) g GROUP BY fx, fy"
 )
 def raster_profile(spark, sf):
     stats = profile.raster_profile(_tifs(spark, sf, False), bins=4, low=0.0, high=1000.0)
-    return stats.withColumn("first_bin", F.col("histogram")[1]).drop("histogram", "mean")
+    return stats.select("*", *[F.col("histogram")[i].alias(f"bin_{i}") for i in range(6)]).drop("histogram")
 
 
 # --- scaling and models ------------------------------------------------------------------
@@ -678,13 +739,11 @@ _FEATURES = [f"f{i}" for i in range(1, 12)]
 
 @query(
     "SELECT event_id, "
-    + ", ".join(f"ROUND((f{i} - AVG(f{i}) OVER ()) / STDDEV_SAMP(f{i}) OVER (), 8) AS f{i}" for i in (1, 2, 3))
+    + ", ".join(f"ROUND((f{i} - AVG(f{i}) OVER ()) / STDDEV_SAMP(f{i}) OVER (), 8) AS f{i}" for i in range(1, 12))
     + " FROM features"
 )
 def standard_scale(spark, sf):
-    names = _FEATURES[:3]
-    rows = view(spark, sf, "features").select("event_id", *names)
-    return scale.standard_scale(rows, names).withColumns({c: F.round(c, 8) for c in names})
+    return scale.standard_scale(view(spark, sf, "features"), _FEATURES).withColumns({c: F.round(c, 8) for c in _FEATURES})
 
 
 @query(
@@ -762,13 +821,76 @@ def greedy_placement(spark, sf):
     return greedy_place(_scored_points(spark, sf), 1000)
 
 
-@query(f"SELECT {B}, {_AREA} AS area, ROUND(SQRT((lon1 - lon2) * (lon1 - lon2) + (lat1 - lat2) * (lat1 - lat2)), 9) AS diagonal FROM places")
+@query(f"SELECT {B}, {_AREA} AS area, ROUND(SQRT((lon1 - lon2) * (lon1 - lon2) + (lat1 - lat2) * (lat1 - lat2)), 9) AS diagonal, "
+       "ROUND(CASE WHEN lon2 > lon1 + 5 THEN 0 ELSE 1 / (2 + 47 * (lon2 - lon1)) END + 5e-1 * (1 - 1 / POW(LN(CAST(FLOOR(lat2) AS BIGINT) + 40e0) / LN(40e0), 2)), 9) AS score, "
+       "ROUND(1 / ((lon2 - lon1) * (lon2 - lon1)), 9) AS inverse, ROUND(1.6e-5 / ((lat2 - lat1) * (lat2 - lat1) + 1.6e-5), 12) AS decay FROM places")
 def sql_functions(spark, sf):
     register_functions(spark)
-    text = "SELECT *, ROUND(rect_area(lon1, lat1, lon2, lat2), 4) AS area, ROUND(dist(lon1, lat1, lon2, lat2), 9) AS diagonal FROM {p}"
+    text = "SELECT *, ROUND(rect_area(lon1, lat1, lon2, lat2), 4) AS area, ROUND(dist(lon1, lat1, lon2, lat2), 9) AS diagonal, "
+    text += "ROUND(point_score(CAST(FLOOR(lat2) AS BIGINT), CASE WHEN lon2 > lon1 + 5 THEN NULL ELSE lon2 - lon1 END), 9) AS score, "
+    text += "ROUND(inverse_square(lon2 - lon1), 9) AS inverse, ROUND(decay_penalty(lat2 - lat1), 12) AS decay FROM {p}"
     return spark.sql(text, p=view(spark, sf, "places"))
 
 
+# --- whole jobs from files to files ------------------------------------------------------
+
+
+@query("SELECT bsid, lon, lat FROM towers")
+def job_towers(spark, sf):
+    out = scratch_dir(spark, "towers")
+    inputs.towers_job(spark, _cells_csv(spark, sf), out)
+    return spark.read.schema(TOWERS).parquet(out).withColumns({c: F.round(c, 6) for c in LON_LAT})
+
+
+@query(f"SELECT {_NEAR}, v AS pop_cnt FROM ({_GRID}) g WHERE fx + (c + 5e-1) / 60 > -123.5 AND fx + (c + 5e-1) / 60 < -120 AND fy + 1 - (r + 5e-1) / 20 > 33 AND fy + 1 - (r + 5e-1) / 20 < 35.5e0")
+def job_population(spark, sf):
+    out = scratch_dir(spark, "population")
+    inputs.population_job(spark, _tif_files(spark, sf, True), out, (-123.5, 33.0, -120.0, 35.5))
+    return spark.read.schema(POPULATION).parquet(out).withColumns({c: F.round(c, 6) for c in LON_LAT})
+
+
+@query(f"SELECT ROUND(x + w / 2, 6) AS center_longitude, ROUND(y + h / 2, 6) AS center_latitude, ROUND(RADIANS(w) * 6378137e0 * (({_northing('ROUND(y + h, 4)')}) - ({_northing('y')})), 0) AS area FROM ({_RING_SQL}) r WHERE x + w / 2 <= -71 AND y + h / 2 <= 42")
+def job_buildings(spark, sf):
+    """Outlines to buildings of the training region, as two batches of which one is run twice."""
+    path, train, test = (scratch_dir(spark, n) for n in ("geojson", "train", "test"))
+    lines = _features(spark, sf).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
+    for half in (0, 1):
+        lines.where(F.col("half") == half).select("value").write.text(f"{path}/{half}")
+    for half in (0, 1, 1):
+        inputs.buildings_job(spark, f"{path}/{half}", train, test, batch=f"part{half}")
+    return spark.read.parquet(train).select(*[F.round(c, 6).alias(c) for c in CENTRE], F.round("area", 0).alias("area"))
+
+
+@query("SELECT center_longitude, center_latitude, area, CAST(96 AS BIGINT) AS files FROM buildings WHERE area <> 0 AND area < 500000")
+def job_clean_buildings(spark, sf):
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "clean")
+    write_table(view(spark, sf, "buildings"), raw, mode="error")
+    inputs.clean_buildings_job(spark, raw, out)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(out).select("path")
+    return spark.read.schema(BUILDINGS).parquet(out).withColumn("files", files.agg(F.count("*")).scalar())
+
+
+@query(f"SELECT {_UPPER_LEFT}, v AS elevation, 'deg_' || ABS(fx) || '_' || fy AS source FROM ({_GRID}) g WHERE r % 4 = 0 AND c % 4 = 0")
+def job_elevation(spark, sf):
+    out = scratch_dir(spark, "elevation")
+    inputs.elevation_job(spark, _tif_files(spark, sf, True, bands=2), out, stride=4, per_source=True)
+    return spark.read.parquet(out).withColumns({c: F.round(c, 6) for c in PIXEL})
+
+
+@query("SELECT lon, lat, pop_cnt, TRUE AS refused FROM pop")
+def write_modes(spark, sf):
+    """A table replaced by overwrite; a write that must not replace it is refused."""
+    out = scratch_dir(spark, "modes")
+    write_table(view(spark, sf, "points").select(*LON_LAT, F.lit(0.0).alias("pop_cnt")), out)
+    write_table(view(spark, sf, "pop"), out)
+    try:
+        write_table(view(spark, sf, "pop"), out, mode="error")
+        refused = False
+    except AnalysisException:
+        refused = True
+    return spark.read.schema(POPULATION).parquet(out).withColumn("refused", F.lit(refused))
+
+
 # --- whole feature tables ----------------------------------------------------------------
 
 
@@ -778,7 +900,7 @@ def _tables(spark, sf) -> list[DataFrame]:
 
 @query(
     f"SELECT e.*, t.cell_tower_num, q.pop_cnt_sum_norm, b.total_building_cnt, b.total_building_area FROM ("
-    f"SELECT {B}, {_AREA} AS area, ROUND({_exact('elevation')} / COUNT(elevation), 6) AS avg_elevation FROM places JOIN elev_clean ON {_in('longitude', 'latitude', False)} GROUP BY {B}) e "
+    f"SELECT {B}, {_AREA} AS area, ROUND({_exact('elevation')} / COUNT(elevation), 6) AS avg_elevation, COALESCE(ROUND(STDDEV_SAMP(elevation), 6), 0) AS stddv_elevation FROM places JOIN elev_clean ON {_in('longitude', 'latitude', False)} GROUP BY {B}) e "
     f"JOIN (SELECT {B}, COUNT(t.lon) AS cell_tower_num FROM places LEFT JOIN towers t ON {_in('t.lon', 't.lat')} GROUP BY {B}) t USING ({B}) "
     f"JOIN (SELECT {B}, s / MAX(s) OVER () AS pop_cnt_sum_norm FROM (SELECT {B}, {_exact('pop_cnt')} AS s FROM places LEFT JOIN pop ON {_in('lon', 'lat')} GROUP BY {B}) r) q USING ({B}) "
     f"JOIN (SELECT {B}, COUNT(area) AS total_building_cnt, {_exact('area')} AS total_building_area FROM places LEFT JOIN "
@@ -786,12 +908,22 @@ def _tables(spark, sf) -> list[DataFrame]:
 )
 def place_features(spark, sf):
     table_ = places_plan.place_features(view(spark, sf, "places"), *_tables(spark, sf), scale=5)
-    return table_.withColumns({"area": F.round("area", 4), "avg_elevation": F.round("avg_elevation", 6)}).drop("stddv_elevation")
+    return table_.withColumns({"area": F.round("area", 4), "avg_elevation": F.round("avg_elevation", 6), "stddv_elevation": F.round("stddv_elevation", 6)})
 
 
-@query()
+_ND4 = _ND.replace("< 1.0e0", "< 0.4e0").replace("COUNT(*) - 1", "GREATEST(COUNT(t.lon) - 1, 0)")
+_CLEAN_BUILD = _BUILD.replace("JOIN buildings b", "JOIN (SELECT * FROM buildings WHERE area <> 0 AND area < 500000) b")
+
+
+@query(
+    "SELECT a.*, ROUND(CASE WHEN a.d IS NULL THEN 0 ELSE 1 / (2 + 47 * a.d) END + 5e-1 * (1 - 1 / POW(LN(a.n + 40e0) / LN(40e0), 2)), 9) AS score, "
+    f"b.* EXCLUDE (lon, lat), r1.elevRank_1d, r2.elevRank_3d, r3.elevRank_10d, r4.elevRank_40d, q.* EXCLUDE (lon, lat) FROM ({_ND4}) a "
+    f"JOIN ({_CLEAN_BUILD}) b USING (lon, lat) JOIN {_rank(0.01)} r1 USING (lon, lat) JOIN {_rank(0.03)} r2 USING (lon, lat) "
+    f"JOIN {_rank(0.1)} r3 USING (lon, lat) JOIN {_rank(0.4)} r4 USING (lon, lat) JOIN ({_POP}) q USING (lon, lat)"
+)
 def point_features(spark, sf):
-    return points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5)
+    found = points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5)
+    return found.withColumn("score", F.round("score", 9))
 
 
 @query()

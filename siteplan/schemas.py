@@ -38,7 +38,7 @@ BUILDING_PARTIALS = T.StructType(
     [*_doubles("lon1", "lat1", "lon2", "lat2"), T.StructField("building_count", T.LongType()), *_doubles("building_area")]
 )
 
-# `coordinates` stays text: its nesting depth depends on the geometry type.
+# The members of a feature line. `coordinates` stays text: its nesting depth depends on the geometry type.
 GEOJSON = T.StructType(
     [
         T.StructField("type", T.StringType()),
@@ -59,6 +59,7 @@ TILES = T.StructType(
         *_doubles("xmin", "ymin", "xmax", "ymax"),
         T.StructField("cols", T.IntegerType()),
         T.StructField("rows", T.IntegerType()),
+        T.StructField("step", T.IntegerType()),
         *_doubles("file_xmin", "file_ymin", "file_xmax", "file_ymax"),
         T.StructField("file_cols", T.LongType()),
         T.StructField("file_rows", T.LongType()),
@@ -73,7 +74,8 @@ FEATURE_RADII = (0.01, 0.03, 0.1, 0.4)
 
 
 def radius_suffix(radius: float) -> str:
-    return f"{round(radius * 100)}d"
+    """Hundredths of a degree: 0.1 is 10d, and 0.015 is 1_5d."""
+    return f"{round(radius * 100, 9):g}d".replace(".", "_")
 
 
 POINT_FEATURES = (

@@ -34,7 +34,7 @@ PLAIN, DEFLATE = 1, (8, 32946)
 _SEGMENTS = (
     "path string, offset long, nbytes long, row0 long, col0 long, rows int, cols int, seg_cols int, samples int, "
     "dtype string, deflate boolean, predictor int, file_xmin double, file_ymin double, file_xmax double, "
-    "file_ymax double, file_cols long, file_rows long, nodata double"
+    "file_ymax double, file_cols long, file_rows long, nodata double, band int"
 )
 
 
@@ -42,7 +42,7 @@ _TILE_ARROW = pa.schema(
     [
         ("source", pa.string()), ("row0", pa.int64()), ("col0", pa.int64()),
         ("xmin", pa.float64()), ("ymin", pa.float64()), ("xmax", pa.float64()), ("ymax", pa.float64()),
-        ("cols", pa.int32()), ("rows", pa.int32()),
+        ("cols", pa.int32()), ("rows", pa.int32()), ("step", pa.int32()),
         ("file_xmin", pa.float64()), ("file_ymin", pa.float64()), ("file_xmax", pa.float64()), ("file_ymax", pa.float64()),
         ("file_cols", pa.int64()), ("file_rows", pa.int64()), ("nodata", pa.float64()),
         ("band0", pa.list_(pa.field("element", pa.float64()))),
@@ -79,8 +79,8 @@ def _tags(file) -> tuple[str, dict]:
     return order, tags
 
 
-def _segments(path: str) -> list[tuple]:
-    """One tuple per strip or tile that holds band 0."""
+def _segments(path: str, band: int = 0) -> list[tuple]:
+    """One tuple per strip or tile that holds the band."""
     with _open(path) as file:
         order, tags = _tags(file)
     cols, rows = tags[256][0], tags[257][0]
@@ -100,29 +100,42 @@ def _segments(path: str) -> list[tuple]:
         w, h, offsets, sizes = cols, min(tags.get(278, (rows,))[0], rows), tags[273], tags[279]
     across, down = -(-cols // w), -(-rows // h)
     samples = bands if planar == 1 else 1
+    if band >= bands:
+        raise ValueError(f"{path} has {bands} bands")
+    skip = 0 if planar == 1 else band * across * down  # separate planes follow each other
     out = []
-    for i in range(across * down):  # separate planes follow each other; band 0 is the first
+    for i in range(across * down):
         row0, col0 = (i // across) * h, (i % across) * w
         out.append(
             (
-                path, offsets[i], sizes[i], row0, col0, min(h, rows - row0), min(w, cols - col0), w, samples, dtype,
+                path, offsets[skip + i], sizes[skip + i], row0, col0, min(h, rows - row0), min(w, cols - col0), w, samples, dtype,
                 compression != PLAIN, tags.get(317, (1,))[0], xmin, ymax - rows * sy, xmin + cols * sx, ymax, cols, rows,
-                nodata,
+                nodata, band if planar == 1 else 0,
             )
         )
     return out
 
 
-def _list_segments(batches):
-    names = [c.split()[0] for c in _SEGMENTS.split(", ")]
-    for pdf in batches:
-        for path in pdf["path"]:
-            found = _segments(path)
-            for i in range(0, len(found), 10_000):
-                yield pd.DataFrame(found[i : i + 10_000], columns=names)
+def wanted(segment: dict, box: tuple[float, float, float, float] | None, stride: int) -> bool:
+    """Whether a segment reaches into the box and holds a row and a column of the stride."""
+    edge = _extent(segment)
+    if box is not None and not (edge[2] >= box[0] and edge[0] <= box[2] and edge[3] >= box[1] and edge[1] <= box[3]):
+        return False
+    return -segment["row0"] % stride < segment["rows"] and -segment["col0"] % stride < segment["cols"]
+
 
+def _extent(s: dict) -> tuple[float, float, float, float]:
+    dx = (s["file_xmax"] - s["file_xmin"]) / s["file_cols"]
+    dy = (s["file_ymax"] - s["file_ymin"]) / s["file_rows"]
+    return (
+        s["file_xmin"] + s["col0"] * dx,
+        s["file_ymax"] - (s["row0"] + s["rows"]) * dy,
+        s["file_xmin"] + (s["col0"] + s["cols"]) * dx,
+        s["file_ymax"] - s["row0"] * dy,
+    )
 
-def _decode(batches):
+
+def _decode(batches, stride: int):
     # Arrow, not pandas: pandas would turn NaN pixels into NULL on the way back
     for batch in batches:
         for s in batch.to_pylist():
@@ -137,18 +150,25 @@ def _decode(batches):
                 data = np.cumsum(data, axis=1, dtype=data.dtype)
             elif s["predictor"] != 1:
                 raise ValueError(f"unsupported predictor {s['predictor']} in {s['path']}")
-            band = data[:, : s["cols"], 0].astype(float)
+            row1, col1 = -s["row0"] % stride, -s["col0"] % stride
+            band = data[row1::stride, col1 : s["cols"] : stride, s["band"]].astype(float)
             if s["nodata"] is not None:
                 band[band == s["nodata"]] = np.nan
             dx = (s["file_xmax"] - s["file_xmin"]) / s["file_cols"]
             dy = (s["file_ymax"] - s["file_ymin"]) / s["file_rows"]
+            xmin, ymin, xmax, ymax = _extent(s)
             row = {
                 **s,
                 "source": s["path"].rsplit("/", 1)[-1],
-                "xmin": s["file_xmin"] + s["col0"] * dx,
-                "ymin": s["file_ymax"] - (s["row0"] + s["rows"]) * dy,
-                "xmax": s["file_xmin"] + (s["col0"] + s["cols"]) * dx,
-                "ymax": s["file_ymax"] - s["row0"] * dy,
+                "row0": s["row0"] + row1,
+                "col0": s["col0"] + col1,
+                "rows": band.shape[0],
+                "cols": band.shape[1],
+                "step": stride,
+                "xmin": xmin + col1 * dx,
+                "ymin": ymin,
+                "xmax": xmax,
+                "ymax": ymax - row1 * dy,
                 "band0": band.ravel(),
             }
             yield pa.RecordBatch.from_arrays(
@@ -156,66 +176,31 @@ def _decode(batches):
             )
 
 
-def read_raster_tiles(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Tile rows of band 0 of all .tif files at the path; pixels equal to the file's nodata are NaN.
+def read_raster_tiles(
+    spark: SparkSession,
+    path: str,
+    partitions: int | None = None,
+    box: tuple[float, float, float, float] | None = None,
+    stride: int = 1,
+    band: int = 0,
+) -> DataFrame:
+    """Tile rows of one band of all .tif files at the path; pixels equal to the file's nodata are NaN.
 
-    `source` is the file name without .tif. Plain and deflate files, stripped or tiled.
+    `source` is the file name without .tif. Plain and deflate files, stripped or tiled. Strips
+    and tiles outside `box` (west, south, east, north), or without a row and a column that
+    `stride` keeps, are never opened; the others leave the task thinned.
     """
+    names = [c.split()[0] for c in _SEGMENTS.split(", ")]
+
+    def listed(batches):
+        for pdf in batches:
+            for file in pdf["path"]:
+                found = [s for s in _segments(file, band) if wanted(dict(zip(names, s)), box, stride)]
+                for i in range(0, len(found), 10_000):
+                    yield pd.DataFrame(found[i : i + 10_000], columns=names)
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path")
     spread = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    segments = files.mapInPandas(_list_segments, _SEGMENTS).repartition(spread)
-    tiles = segments.mapInArrow(_decode, TILES)
+    segments = files.mapInPandas(listed, _SEGMENTS).repartition(spread)
+    tiles = segments.mapInArrow(lambda batches: _decode(batches, stride), TILES)
     return tiles.withColumn("source", F.regexp_replace("source", r"\.tif$", ""))
-
-
-def encode_geotiff(
-    values: np.ndarray, xmin: float, ymax: float, dx: float, dy: float, rows_per_strip: int = 16, deflate: bool = False,
-    bands: int = 1,
-) -> bytes:
-    """A small striped float64 GeoTIFF of (rows, cols) or (rows, cols, bands) values, pixel interleaved."""
-    values = np.asarray(values, dtype="<f8").reshape(values.shape[0], values.shape[1], bands)
-    rows, cols = values.shape[:2]
-    strips = [values[r : r + rows_per_strip].tobytes() for r in range(0, rows, rows_per_strip)]
-    strips = [zlib.compress(s) for s in strips] if deflate else strips
-    entries = [
-        (256, 4, (cols,)), (257, 4, (rows,)), (258, 3, (64,) * bands), (259, 3, (8 if deflate else 1,)), (262, 3, (1,)),
-        (273, 4, (0,) * len(strips)), (277, 3, (bands,)), (278, 4, (rows_per_strip,)),
-        (279, 4, tuple(len(s) for s in strips)), (284, 3, (1,)), (339, 3, (3,) * bands), (33550, 12, (dx, dy, 0.0)),
-        (33922, 12, (0.0, 0.0, 0.0, xmin, ymax, 0.0)),
-    ]
-    extra_at = 8 + 2 + 12 * len(entries) + 4
-    sizes = [len(v) * FIELD_TYPES[t][1] for _, t, v in entries]
-    data_at = extra_at + sum(s for s in sizes if s > 4)
-    offsets, at = [], data_at
-    for s in strips:
-        offsets.append(at)
-        at += len(s)
-    table, extra = b"", b""
-    for (tag, kind, vals), size in zip(entries, sizes):
-        vals = tuple(offsets) if tag == 273 else vals
-        packed = struct.pack("<" + str(len(vals)) + FIELD_TYPES[kind][0], *vals)
-        if size > 4:
-            table += struct.pack("<HHII", tag, kind, len(vals), extra_at + len(extra))
-            extra += packed
-        else:
-            table += struct.pack("<HHI", tag, kind, len(vals)) + packed.ljust(4, b"\0")
-    head = struct.pack("<2sHIH", b"II", 42, 8, len(entries)) + table + struct.pack("<I", 0)
-    return head + extra + b"".join(strips)
-
-
-def write_rasters(tiles: DataFrame, path: str, deflate: bool = False) -> DataFrame:
-    """Write one file per row (source, xmin, ymax, dx, dy, cols, values) and return the file names."""
-
-    def write(batches):
-        for pdf in batches:
-            names = []
-            for t in pdf.itertuples(index=False):
-                grid = np.asarray(t.values, dtype=float).reshape(-1, t.cols)
-                system, base = fs.FileSystem.from_uri(path)
-                system.create_dir(base, recursive=True)
-                with system.open_output_stream(f"{base}/{t.source}.tif") as out:
-                    out.write(encode_geotiff(grid, t.xmin, t.ymax, t.dx, t.dy, deflate=deflate))
-                names.append(t.source)
-            yield pd.DataFrame({"source": names})
-
-    return tiles.mapInPandas(write, "source string")

@@ -15,12 +15,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from siteplan.schemas import CELLS_RAW, GEOJSON
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A Parquet directory; with a schema, its columns and types."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
-
-
 def read_cells_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=CELLS_RAW)
 
@@ -58,6 +52,8 @@ def read_csv_folder(spark: SparkSession, path: str, schema: StructType | None =
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
     named = listed.mapInPandas(headers, "file string, header array<string>").where(F.size("header") > 0)
     groups = {tuple(r["header"]): r["files"] for r in named.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()}
+    if not groups:
+        raise ValueError(f"no CSV file with a header in {path}")
     frames = []
     for header, members in groups.items():
         reader = spark.read.option("header", True)
@@ -69,7 +65,3 @@ def read_csv_folder(spark: SparkSession, path: str, schema: StructType | None =
             frames.append(reader.schema(text).csv(members).select(*[c for c in header if c in by_name]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
-
-def with_source(df: DataFrame, suffix: str = r"\.tif$", out: str = "source") -> DataFrame:
-    """The file name of each row without its ending, to keep or partition by."""
-    return df.withColumn(out, F.regexp_replace(F.col("_metadata.file_name"), suffix, ""))

@@ -20,7 +20,9 @@ from siteplan.operators.raster import tiles_to_points
 from siteplan.operators.regression import fit_place_model, regression_metrics
 from siteplan.operators.scale import minmax_ranges, minmax_scale, normalise_by_max, standard_scale
 from siteplan.session import scratch_dir
-from siteplan.sources.geotiff import encode_geotiff, read_raster_tiles
+from siteplan.raster_fixture import encode_geotiff
+from siteplan.sources import geotiff
+from siteplan.sources.geotiff import read_raster_tiles
 from siteplan.sources.readers import read_csv_folder, read_geojson
 from siteplan.sources.sinks import load_model, save_model
 
@@ -127,11 +129,40 @@ def test_raster(spark, tmp_path, deflate, bands):
     centre = {(round(r[0], 6), round(r[1], 6)): r[2] for r in tiles_to_points(tiles).collect()}
     want = {(round(-120 + (c + 0.5) / 8, 6), round(34 - (r + 0.5) / 6, 6)): grid[r, c, 0] for r in range(6) for c in range(8) if (r, c) != (2, 3)}
     assert centre == want
-    corner = tiles_to_points(tiles, anchor="corner", stride=2, names=("longitude", "latitude", "elevation"))
+    thin = read_raster_tiles(spark, str(tmp_path), stride=2)
+    corner = tiles_to_points(thin, anchor="corner", names=("longitude", "latitude", "elevation"))
     got = {(round(r[0], 6), round(r[1], 6)): r[2] for r in clean_elevation(corner).collect()}
     assert got == {(round(-120 + c / 8, 6), round(34 - r / 6, 6)): grid[r, c, 0] for r in range(0, 6, 2) for c in range(0, 8, 2)}
 
 
+def test_raster_skips_segments_and_reads_either_band(spark, tmp_path):
+    grid = np.arange(96.0).reshape(6, 8, 2)
+    (tmp_path / "n33.tif").write_bytes(encode_geotiff(grid, -120.0, 34.0, 1 / 8, 1 / 6, 2, True, 2))
+    names = [c.split()[0] for c in geotiff._SEGMENTS.split(", ")]
+    strips = [dict(zip(names, s)) for s in geotiff._segments(str(tmp_path / "n33.tif"))]
+    box = (-119.9, 33.4, -119.0, 33.6)
+    assert [s["row0"] for s in strips if geotiff.wanted(s, box, 1)] == [2]
+    assert [s["row0"] for s in strips if geotiff.wanted(s, None, 5)] == [0, 4]
+    got = tiles_to_points(read_raster_tiles(spark, str(tmp_path), box=box, band=1), box).collect()
+    assert sorted(r["pop_cnt"] for r in got) == sorted(grid[r, c, 1] for r in (2, 3) for c in range(8) if -120 + (c + 0.5) / 8 > -119.9)
+
+
+def test_area_is_linear_in_vertices(spark):
+    import time
+
+    def seconds(vertices, rings):
+        ring = [[-100 + math.cos(2 * math.pi * i / vertices) / 100, 40 + math.sin(2 * math.pi * i / vertices) / 100] for i in range(vertices)]
+        df = spark.createDataFrame([(ring,)], "ring array<array<double>>").crossJoin(spark.range(rings)).coalesce(1).cache()
+        df.count()
+        run = lambda: df.select(F.sum(ring_area_3395("ring"))).collect()
+        run()
+        start = time.time()
+        run()
+        return time.time() - start
+
+    assert seconds(640, 50) < 6 * seconds(10, 3200) + 0.5
+
+
 def test_csv_folder_matches_names(spark, tmp_path):
     (tmp_path / "a.csv").write_text("lon,lat,score\n1.0,2.0,3.0\n")
     (tmp_path / "b.csv").write_text("score,lon,lat\n30.0,10.0,20.0\n")
@@ -175,6 +206,8 @@ def test_scaling(spark):
     assert [tuple(r) for r in minmax_scale(df, ["a", "b"]).collect()] == [(0.0, 0.0), (1.0, 0.0), (None, 0.0)]
     ranges = minmax_ranges(df, ["a"])
     assert minmax_scale(spark.createDataFrame([(5.0,)], "a double"), ["a"], ranges).first()[0] == 2.0
+    with pytest.raises(Exception, match="no range for column b"):
+        minmax_scale(df, ["a", "b"], ranges).collect()
     scaled = [tuple(r) for r in standard_scale(df, ["a", "b"]).collect()]
     assert scaled[0] == (pytest.approx(-1 / math.sqrt(2)), 0.0) and scaled[2] == (None, 0.0)
     assert [r["x"] for r in normalise_by_max(df, "a", "x").collect()] == [pytest.approx(1 / 3), 1.0, None]
