@@ -24,7 +24,7 @@ VALUES, CHUNKS = 65, 13
 WIDTH = VALUES // CHUNKS
 RADIUS = 2 * CHUNKS - 1
 #: Rounds that compare a bucket with one member, before what is left is compared in blocks.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 #: Members of a bucket compared in one task.
 BLOCK = 512
 #: Words remembered by a task.
@@ -153,30 +153,46 @@ def within_radius(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(sig_b, "b").join(sig_a, "a").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
+def measured(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b, common, linked): the size of the full sets' intersection, and whether
+    100 * intersection >= percent * union."""
     text_a = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     text_b = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, set_a = _WordHashes(), None, None
         for batch in batches:
-            hits = []
+            common, linked = [], []
             for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
                 text_a = text_a.as_py()
                 if text_a != last:
                     last, set_a = text_a, shingle_set(text_a, width, known)
                 set_b = shingle_set(text_b.as_py(), width, known)
                 both = len(np.intersect1d(set_a, set_b, assume_unique=True))
-                hits.append(100 * both >= percent * (len(set_a) + len(set_b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(hits, pa.bool_()))
+                common.append(both)
+                linked.append(100 * both >= percent * (len(set_a) + len(set_b) - both))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(linked, pa.bool_())],
+                ["a", "b", "common", "linked"],
+            )
 
     joined = pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(run, "a long, b long, common long, linked boolean")
+
+
+def _can_reach(n, m, c, d, least, percent: int):
+    """False if two sets of n and m shingles, c and d of them in one third set, can't be similar enough.
+
+    They share at most the lesser of c and d inside the third set, and outside it at most
+    the lesser of their rests. `least` is the minimum of two columns or arrays.
+    """
+    most = least(c, d) + least(n - c, m - d)
+    return most * 100 >= (n + m - most) * percent
 
 
-def block_pairs(open_rows: DataFrame) -> DataFrame:
-    """All pairs (a, b) of different components in a bucket within RADIUS, each pair once.
+def block_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components in a bucket that are within RADIUS, may be
+    similar enough by their sizes and by what they share with the bucket's center; each once.
 
     A bucket is cut into blocks of about BLOCK members, every two blocks meet in one task.
     Of the keys two signatures share only the first gives the pair.
@@ -185,7 +201,7 @@ def block_pairs(open_rows: DataFrame) -> DataFrame:
     mine = F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int")
     dealt = open_rows.join(sizes, "key").withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
-        "key", "slot", "rep", "n", "comp", "sig", "mine",
+        "key", "slot", "rep", "n", "common", "comp", "sig", "mine",
         F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
     )
 
@@ -194,10 +210,14 @@ def block_pairs(open_rows: DataFrame) -> DataFrame:
         rep, comp = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
         mine, slot = rows.column("mine").to_numpy(), rows.column("slot")[0].as_py()
         sigs = _sig_matrix(rows.column("sig").combine_chunks())
+        n, common = rows.column("n").to_numpy(), rows.column("common").to_numpy()  # NaN: not known
         left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
         chunk, out_a, out_b = slot // WIDTH, [], []
         for i in left:
             others = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) if low == high else True)]
+            fit = np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * percent
+            near = _can_reach(n[others], n[i], common[others], common[i], np.minimum, percent)
+            others = others[fit & (near | np.isnan(common[others]) | np.isnan(common[i]))]
             if not len(others):
                 continue
             differ = sigs[others] != sigs[i]
@@ -226,8 +246,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Equal sets form one class; classes meet in buckets of equal keys. A bucket is first
     compared with one member only, for STAR_ROUNDS rounds; pairs across the components that
-    remain are then compared in full, in blocks. So copies are never expanded into all pairs
-    and no link between different components is left out. Works in several stored steps.
+    remain are then compared in full, in blocks, save those that what they share with the
+    bucket's center proves too different. So copies are never expanded into all pairs and no
+    link between different components is left out. Works in several stored steps.
     """
     rows = stored(signatures(docs, width), "signatures")
     named = rows.filter(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
@@ -253,16 +274,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     texts = stored(text.join(wanted.distinct(), "rep", "left_semi"), "texts")
 
-    edges = stored(confirmed(near, texts, width, percent), "edges")
-    tested = near
+    tested = stored(measured(near, texts, width, percent), "tested")
     several = named.groupBy("doc_id").agg(F.min("set_hash").alias("x"), F.max("set_hash").alias("y")).filter("x <> y")
     same_id = (
         named.join(several.select("doc_id"), "doc_id")
         .join(classes.select("set_hash", "rep"), "set_hash")
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     )
-    edges = stored(edges.union(same_id), "edges")
-    open_rows = live.filter("members > 2").select("key", "slot", "rep", "n")
+    edges = tested.filter("linked").select("a", "b").union(stored(same_id, "edges"))
+    with_center = tested.select(F.col("a").alias("center"), F.col("b").alias("rep"), "common")
+    open_rows = live.filter("members > 2").join(with_center, ["center", "rep"], "left")
+    common = F.when(F.col("rep") == F.col("center"), F.col("n")).otherwise(F.col("common")).cast("double")
+    open_rows = open_rows.select("key", "slot", "rep", "n", common.alias("common"))
     found = None
     for turn in range(STAR_ROUNDS):
         found = stored(connected_components(edges, "a", "b"), "components")
@@ -270,21 +293,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         if open_rows.isEmpty():
             break
         if turn + 1 < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("rep", F.lit(turn)), F.col("rep"), F.col("n"), F.col("comp"))
+            order = F.struct(F.xxhash64("rep", F.lit(turn)), F.col("rep"), F.col("n"), F.col("common"), F.col("comp"))
             centers = stored(open_rows.groupBy("key").agg(F.min(order).alias("c")), "centers")
-            across = open_rows.join(centers, "key").filter(F.col("comp") != F.col("c.comp"))
-            across = across.filter(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent)
+            across = open_rows.join(centers, "key").filter((F.col("comp") != F.col("c.comp")) & _sizes_fit("n", "c.n", percent))
+            reach = _can_reach(F.col("n"), F.col("c.n"), F.col("common"), F.col("c.common"), F.least, percent)
+            unknown = F.col("common").isNull() | F.col("c.common").isNull()
+            across = across.filter(unknown | reach)
             fresh = across.select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
             fresh = within_radius(fresh.join(tested, ["a", "b"], "left_anti"), classes)
         else:
             with_sig = open_rows.join(classes.select("rep", "sig"), "rep")
-            sizes = classes.select("rep", "n")
-            fresh = block_pairs(with_sig).join(tested, ["a", "b"], "left_anti")
-            fresh = fresh.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-            fresh = fresh.filter(_sizes_fit("na", "nb", percent)).select("a", "b")
-        fresh = stored(fresh, "pairs")
+            fresh = block_pairs(with_sig, percent).join(tested, ["a", "b"], "left_anti")
+        fresh = stored(measured(stored(fresh, "pairs"), texts, width, percent), "tested")
         tested = tested.union(fresh)
-        edges = stored(edges.union(confirmed(fresh, texts, width, percent)), "edges")
+        edges = edges.union(fresh.filter("linked").select("a", "b"))
     if not open_rows.isEmpty():
         found = stored(connected_components(edges, "a", "b"), "components")
 
@@ -314,8 +336,8 @@ def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
 
 
 def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, slot, rep, n, comp) of the buckets that hold more than one component."""
-    at = rows.select("key", "slot", "rep", "n").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    """(key, slot, rep, n, common, comp) of the buckets that hold more than one component."""
+    at = rows.select("key", "slot", "rep", "n", "common").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     at = at.withColumn("comp", F.coalesce("component", "rep")).drop("component")
     mixed = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
     return at.join(mixed, "key")
