@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siteplan.fixtures import oracle, table, view
 from siteplan.functions.geo import point_to_wkt, rect_area, rect_to_wkt, wkt_to_rect
 from siteplan.functions.register import register_functions
-from siteplan.functions.scoring import point_score
+from siteplan.functions.scoring import DECAY_K, point_score
 from siteplan.operators import clean, generators, layout, profile, radius, raster, scale
 from siteplan.operators.aggregates import count, deviation, mean, merge_partials, total
 from siteplan.operators.attach import attach
@@ -21,16 +21,16 @@ from siteplan.operators.grid import fan_out
 from siteplan.operators.mlp import mlp_fit, mlp_score, weights_table
 from siteplan.operators.placement import argmax_row, greedy_place
 from siteplan.operators.range_join import BOUNDS, range_join, range_join_wkt
-from siteplan.operators.regression import fit_place_model, regression_metrics
+from siteplan.operators.regression import regression_metrics
 from siteplan.plans import inputs
 from siteplan.plans import places as places_plan
 from siteplan.plans import points as points_plan
-from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, POPULATION, TOWERS, radius_suffix
-from siteplan.session import scratch_dir
+from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, POINT_FEATURES, POPULATION, TOWERS, radius_suffix
+from siteplan.session import kept, scratch_dir
 from siteplan.raster_fixture import write_rasters
 from siteplan.sources.geotiff import read_raster_tiles
 from siteplan.sources.readers import read_cells_csv, read_csv_folder, read_geojson, read_points_csv
-from siteplan.sources.sinks import write_csv, write_table
+from siteplan.sources.sinks import load_net, save_net, write_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -782,22 +782,39 @@ QUERIES["mlp_score"] = QUERIES.pop("mlp_score_query")
 ORACLES["mlp_score"] = ORACLES.pop("mlp_score_query")
 
 
+@query(
+    "SELECT event_id, ROUND(1 / (1 + EXP(-(5e-1 * GREATEST(1e0 * f1 - 2e0 * f2 + 1e-1, 0) - 25e-2 * GREATEST(3e0 * f3 - 1e0, 0) + 2e-1))), 9) AS score FROM ("
+    "SELECT event_id, " + ", ".join(f"(f{i} - MIN(f{i}) OVER ()) / (MAX(f{i}) OVER () - MIN(f{i}) OVER ()) AS f{i}" for i in (1, 2, 3)) + " FROM features) q"
+)
+def net_store(spark, sf):
+    """A net and its ranges, written, read back and applied."""
+    path, names = scratch_dir(spark, "net"), _FEATURES[:3]
+    rows = view(spark, sf, "features").select("event_id", *names)
+    vector = np.array([1.0, -2.0, 0.0, 0.0, 0.0, 3.0, 0.1, -1.0, 0.5, -0.25, 0.2])
+    save_net(weights_table(spark, vector, [3, 2, 1]), scale.minmax_ranges(rows, names), path)
+    weights, ranges = load_net(spark, path)
+    scored = mlp_score(scale.minmax_scale(rows, names, ranges), names, weights, out="sigmoid")
+    return scored.select("event_id", F.round("score", 9).alias("score"))
+
+
 @query()
 def mlp_train(spark, sf):
-    names = _FEATURES[:4]
-    rows = scale.minmax_scale(view(spark, sf, "features").select("event_id", *names), names)
-    rows = rows.withColumn("score", F.col("f1") * F.col("f2") + F.abs(F.col("f3") - 0.5))
-    train, test = layout.split_train_test(rows, ["event_id"])
-    weights = mlp_fit(train, names, "score", hidden=(16, 16), epochs=5)
-    return regression_metrics(mlp_score(test, names, weights, name="y_pred"), "score", "y_pred")
+    """Measures, on held-back points, of the net trained on all 22 features of the points."""
+    table_ = kept(points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5), "point-features")
+    return points_plan.train_point_model(table_)[3]
 
 
 @query()
 def ml_place_regression(spark, sf):
-    names = _FEATURES[:3]
-    rows = view(spark, sf, "features").withColumn("label", F.col("f1") * 2 - F.col("f2") * 0.5 + F.sin("f3"))
-    model = fit_place_model(rows, names, "label")
-    return regression_metrics(model.transform(rows), "label", "prediction")
+    """Measures, on held-back places, of the regression on the features of the places."""
+    table_ = kept(places_plan.place_features(view(spark, sf, "places"), *_tables(spark, sf), scale=5), "place-features")
+    return places_plan.train_place_model(table_)[1]
+
+
+@query(f"SELECT s.lon, s.lat, s.score, COALESCE(CASE WHEN p.lon > -100 THEN p.lon * 2 END, 0) AS feature FROM ({_INV}) s JOIN points p ON s.lon = p.lon AND s.lat = p.lat")
+def rescore_points(spark, sf):
+    table_ = view(spark, sf, "points").withColumns({"score": F.lit(0.5), "feature": F.when(F.col("lon") > -100, F.col("lon") * 2)})
+    return points_plan.rescore_points(table_, view(spark, sf, "towers")).withColumn("score", F.round("score", 6))
 
 
 # --- placement ---------------------------------------------------------------------------
@@ -806,7 +823,7 @@ def ml_place_regression(spark, sf):
 def _scored_points(spark, sf):
     """The points with a score in [0, 1) drawn from their position."""
     mixed = F.col("lon") * 7919 + F.col("lat") * 104729
-    return view(spark, sf, "points").withColumn("score", F.pmod(mixed * 1.37, F.lit(1.0)))
+    return view(spark, sf, "points").withColumn("score", mixed * 1.37 % 1.0)
 
 
 @query(
@@ -816,9 +833,31 @@ def argmax_point(spark, sf):
     return argmax_row(view(spark, sf, "pop"), "pop_cnt", ["lon", "lat"])
 
 
+def _greedy_sql(scored: str, n: int, radius: float) -> str:
+    """The choice one by one: state rows are keyed (0, id), picks (1, step)."""
+    d = "SQRT((s.lon - b.lon) * (s.lon - b.lon) + (s.lat - b.lat) * (s.lat - b.lat))"
+    return f"""
+    WITH RECURSIVE base AS (SELECT row_number() OVER (ORDER BY lon, lat) AS id, lon, lat, score FROM ({scored}) p),
+    run(kind, id, lon, lat, score, step) USING KEY (kind, id) AS (
+      SELECT 0, id, lon, lat, score, 0 FROM base
+      UNION ALL
+      (WITH best AS (SELECT id, lon, lat, score FROM recurring.run WHERE kind = 0 ORDER BY score DESC, lon, lat LIMIT 1),
+            turn AS (SELECT MAX(step) + 1 AS step FROM run)
+       SELECT 1, turn.step, b.lon, b.lat, b.score, turn.step FROM best b, turn WHERE turn.step <= {n}
+       UNION ALL
+       SELECT 0, s.id, s.lon, s.lat, s.score - {DECAY_K:.6e} / ({d} * {d} + {DECAY_K:.6e}), turn.step
+       FROM recurring.run s, best b, turn WHERE s.kind = 0 AND turn.step <= {n} AND {d} < {radius}e0))
+    SELECT step AS pick, lon, lat, ROUND(score, 9) AS score FROM run WHERE kind = 1"""
+
+
 @query()
 def greedy_placement(spark, sf):
-    return greedy_place(_scored_points(spark, sf), 1000)
+    return greedy_place(_scored_points(spark, sf), 1000).withColumn("score", F.round("score", 9))
+
+
+_SCORED = "SELECT lon, lat, ((lon * 7919 + lat * 104729) * 1.37e0) % 1e0 AS score FROM points"
+_PLACED = oracle(_greedy_sql(_SCORED, 1000, 0.4).strip().replace("WITH RECURSIVE", "WITH", 1))
+ORACLES["greedy_placement"] = _PLACED.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 @query(f"SELECT {B}, {_AREA} AS area, ROUND(SQRT((lon1 - lon2) * (lon1 - lon2) + (lat1 - lat2) * (lat1 - lat2)), 9) AS diagonal, "
@@ -915,22 +954,42 @@ _ND4 = _ND.replace("< 1.0e0", "< 0.4e0").replace("COUNT(*) - 1", "GREATEST(COUNT
 _CLEAN_BUILD = _BUILD.replace("JOIN buildings b", "JOIN (SELECT * FROM buildings WHERE area <> 0 AND area < 500000) b")
 
 
-@query(
+_POINT_FEATURES = (
     "SELECT a.*, ROUND(CASE WHEN a.d IS NULL THEN 0 ELSE 1 / (2 + 47 * a.d) END + 5e-1 * (1 - 1 / POW(LN(a.n + 40e0) / LN(40e0), 2)), 9) AS score, "
     f"b.* EXCLUDE (lon, lat), r1.elevRank_1d, r2.elevRank_3d, r3.elevRank_10d, r4.elevRank_40d, q.* EXCLUDE (lon, lat) FROM ({_ND4}) a "
     f"JOIN ({_CLEAN_BUILD}) b USING (lon, lat) JOIN {_rank(0.01)} r1 USING (lon, lat) JOIN {_rank(0.03)} r2 USING (lon, lat) "
     f"JOIN {_rank(0.1)} r3 USING (lon, lat) JOIN {_rank(0.4)} r4 USING (lon, lat) JOIN ({_POP}) q USING (lon, lat)"
 )
+
+
+@query(_POINT_FEATURES)
 def point_features(spark, sf):
     found = points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5)
     return found.withColumn("score", F.round("score", 9))
 
 
+_NET = np.array([((i * 37) % 19 - 9) / 10 for i in range(2 * 22)] + [0.3, -0.2, 1.5, -1.2, 0.1])
+
+
+def _net_sql(features: str, out: str) -> str:
+    """The rows of `features` (lon, lat and the model's columns), scaled and scored by the net above."""
+    names = POINT_FEATURES
+    scaled = ", ".join(
+        f"CASE WHEN MAX({c}) OVER () = MIN({c}) OVER () THEN c.{c} - MIN({c}) OVER () ELSE (c.{c} - MIN({c}) OVER ()) / (MAX({c}) OVER () - MIN({c}) OVER ()) END AS {c}" for c in names
+    )
+    filled = ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in names)
+    unit = lambda u: " + ".join(f"({float(_NET[22 * u + i])!r}::DOUBLE * {c})" for i, c in enumerate(names)) + f" + {float(_NET[44 + u])!r}::DOUBLE"
+    net = f"{float(_NET[46])!r}::DOUBLE * GREATEST({unit(0)}, 0) + {float(_NET[47])!r}::DOUBLE * GREATEST({unit(1)}, 0) + {float(_NET[48])!r}::DOUBLE"
+    return f"SELECT lon, lat, 1 / (1 + EXP(-({net}))) AS {out} FROM (SELECT lon, lat, {scaled} FROM (SELECT lon, lat, {filled} FROM ({features}) f) c) g"
+
+
 @query()
 def place_sites(spark, sf):
-    names = _FEATURES[:3]
-    homes = view(spark, sf, "points")
-    i = F.col("lon") * 25, F.col("lat") * 25
-    rows = homes.withColumns({"f1": F.pmod(i[0] * 7, F.lit(97.0)), "f2": F.pmod(i[1] * 13, F.lit(89.0)), "f3": F.pmod(i[0] + i[1], F.lit(31.0))})
-    vector = np.array([0.8, -0.5, 0.3, -0.2, 0.9, -0.4, 0.1, 0.2, 1.5, -1.2, 0.1])
-    return points_plan.place_sites(rows, weights_table(spark, vector, [3, 2, 1]), names, n=200)
+    """All 22 features of the points, scored by a net with fixed weights, and the 1000 best sites."""
+    table_ = kept(points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5), "point-features")
+    sites = points_plan.place_sites(table_, weights_table(spark, _NET, [22, 2, 1]))
+    return sites.withColumn("score", F.round("score", 9))
+
+
+_SITES = oracle(_greedy_sql(_net_sql(_POINT_FEATURES, "score"), 1000, 0.4).strip().replace("WITH RECURSIVE", "WITH", 1))
+ORACLES["place_sites"] = _SITES.replace("WITH ", "WITH RECURSIVE ", 1)

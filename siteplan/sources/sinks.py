@@ -51,3 +51,14 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def save_net(weights: DataFrame, ranges: DataFrame, path: str) -> None:
+    """A net's weights and the ranges its inputs were scaled by, in one folder."""
+    weights.write.mode("overwrite").parquet(f"{path.rstrip('/')}/weights")
+    ranges.write.mode("overwrite").parquet(f"{path.rstrip('/')}/ranges")
+
+
+def load_net(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    base = path.rstrip("/")
+    return spark.read.parquet(f"{base}/weights"), spark.read.parquet(f"{base}/ranges")
