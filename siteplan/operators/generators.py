@@ -16,19 +16,21 @@ def gen_places(
     max_side: float = 10.0,
     seed: int = 0,
     tries: int = 256,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """n random rectangles in the box with sides from min_side to max_side.
 
     Each place draws corner pairs until one fits: rows stand on their own, so no counting
     across tasks is needed to end up with n. About 28 % of the draws fit with the default
-    sides, so `tries` draws all miss once in 10^36 places; that is an error. All numbers come from a hash
-    of the row id, so a lost task makes the same rows again.
+    sides, so `tries` draws all miss once in 10^36 places; that is an error. All numbers come from the
+    md5 of the row id, so a lost task makes the same rows again and other engines can, too.
+    `ids` (one column, id) gives the rows instead of n; the id is then kept.
     """
     west, south, east, north = box
 
-    def corner(k: Column | int, axis: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64("id", F.lit(seed), k, F.lit(axis)), 11)
-        u = bits.cast("double") / F.lit(float(2**53))
+    def corner(k: Column, axis: int) -> Column:
+        text = F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)), k.cast("string"), F.lit(str(axis)))
+        u = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
         low, high = (west, east) if axis % 2 == 0 else (south, north)
         return F.lit(low) + F.lit(high - low) * u
 
@@ -44,9 +46,10 @@ def gen_places(
     attempt = F.coalesce(first, later, none)
     k = F.col("k")
     return (
-        spark.range(n)
+        (spark.range(n) if ids is None else ids)
         .withColumn("k", attempt)
         .select(
+            *([] if ids is None else ["id"]),
             F.least(corner(k, 0), corner(k, 2)).alias("lon1"),
             F.least(corner(k, 1), corner(k, 3)).alias("lat1"),
             F.greatest(corner(k, 0), corner(k, 2)).alias("lon2"),

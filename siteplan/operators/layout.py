@@ -9,18 +9,22 @@ from siteplan.operators.grid import cell_index
 from siteplan.session import scratch_dir
 
 
+def _draw(keys: list[str], seed: int) -> Column:
+    """A whole number below 2^52 drawn from the keys: the same in every run, and in other engines."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
 def sample_rows(df: DataFrame, fraction: float, seed: int = 0, keys: list[str] | None = None) -> DataFrame:
     """Bernoulli sample without replacement, drawn from the md5 of the keys (by default the whole row).
 
     The same rows come out in every run and under every partitioning; equal rows stay or go together.
     """
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in keys or df.columns], F.lit(str(seed)))
-    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return df.where(draw < F.lit(round(fraction * 2**32)))
+    return df.where(_draw(keys or df.columns, seed) < F.lit(round(fraction * 2**52)))
 
 
 def _bucket(keys: list[str], n: int, seed: int) -> Column:
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(n)).cast("int")
+    return (_draw(keys, seed) % n).cast("int")
 
 
 def shard(df: DataFrame, n: int = 12, keys: list[str] | None = None, seed: int = 0, out: str = "shard") -> DataFrame:

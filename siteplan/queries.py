@@ -172,8 +172,12 @@ def building_profile(spark, sf):
     return profile.building_profile(view(spark, sf, "buildings"))
 
 
+def _draw(key: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5({key} || '|{seed}'), 1, 13) AS BIGINT)"
+
+
 def _drawn(key: str, fraction: float, seed: int) -> str:
-    return f"CAST('0x' || substr(md5({key} || '|{seed}'), 1, 8) AS BIGINT) < {round(fraction * 2**32)}"
+    return f"{_draw(key, seed)} < {round(fraction * 2**52)}"
 
 
 @query(f"SELECT o_orderkey, o_totalprice FROM orders WHERE {_drawn('o_orderkey', 0.1, 7)}")
@@ -181,18 +185,15 @@ def sample_rows(spark, sf):
     return layout.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 0.1, 7, ["o_orderkey"])
 
 
-@query("SELECT COUNT(*) AS n, COUNT(*) AS placed, 12 AS shards FROM pop")
+@query(f"SELECT o_orderkey, CAST({_draw('o_orderkey', 0)} % 12 AS INT) AS shard FROM orders")
 def shard_rows(spark, sf):
-    shards = layout.shard(view(spark, sf, "pop"), 12).groupBy("shard").agg(F.count("*").alias("k"))
-    valid = F.sum(F.when(F.col("shard").between(0, 11), F.col("k")))
-    return shards.agg(F.sum("k").alias("n"), valid.alias("placed"), F.count("*").cast("int").alias("shards"))
+    return layout.shard(table(spark, sf, "orders").select("o_orderkey"), 12)
 
 
-@query("SELECT COUNT(*) AS n, TRUE AS near_share FROM points")
+@query(f"SELECT o_orderkey, o_custkey, {_draw('o_orderkey', 31)} % 1000000 < 200000 AS test FROM orders")
 def split_train_test(spark, sf):
-    train, test = layout.split_train_test(view(spark, sf, "points"), ["lon", "lat"])
-    both = train.select(F.lit(0).alias("t")).union(test.select(F.lit(1).alias("t")))
-    return both.agg(F.count("*").alias("n"), F.avg("t").between(0.15, 0.25).alias("near_share"))
+    train, test = layout.split_train_test(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"])
+    return train.withColumn("test", F.lit(False)).union(test.withColumn("test", F.lit(True)))
 
 
 @query("SELECT lon, lat, pop_cnt FROM pop")
@@ -209,14 +210,19 @@ def chunk_rows(spark, sf):
 # --- generators --------------------------------------------------------------------------
 
 
-@query("SELECT COUNT(*) AS n, COUNT(*) AS fitting FROM customer")
+def _corner(axis: int) -> str:
+    low, span = (-125, 54) if axis % 2 == 0 else (33, 9)
+    return f"{low}e0 + {span}e0 * (CAST('0x' || substr(md5(id || '|5|' || k || '|{axis}'), 1, 13) AS BIGINT) / {2**52}e0)"
+
+
+@query(
+    f"SELECT id, LEAST(a, c) AS lon1, LEAST(b, d) AS lat1, GREATEST(a, c) AS lon2, GREATEST(b, d) AS lat2 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY k) AS rn "
+    f"FROM (SELECT id, k, {_corner(0)} AS a, {_corner(1)} AS b, {_corner(2)} AS c, {_corner(3)} AS d FROM (SELECT c_custkey AS id, unnest(range(256)) AS k FROM customer) i) q "
+    "WHERE ABS(a - c) BETWEEN 5e-1 AND 1e1 AND ABS(b - d) BETWEEN 5e-1 AND 1e1) r WHERE rn = 1"
+)
 def gen_places(spark, sf):
-    places = generators.gen_places(spark, table(spark, sf, "customer").count(), seed=5)
-    w, h = F.col("lon2") - F.col("lon1"), F.col("lat2") - F.col("lat1")
-    inside = (F.col("lon1") >= -125) & (F.col("lon2") <= -71) & (F.col("lat1") >= 33) & (F.col("lat2") <= 42)
-    return places.agg(
-        F.count("*").alias("n"), F.count_if(inside & w.between(0.5, 10) & h.between(0.5, 10)).alias("fitting")
-    )
+    """A random place for every customer."""
+    return generators.gen_places(spark, seed=5, ids=table(spark, sf, "customer").select(F.col("c_custkey").alias("id")))
 
 
 @query(
