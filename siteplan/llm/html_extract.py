@@ -233,3 +233,19 @@ def extract_main_text(pages: DataFrame, model: Chain | None = None) -> DataFrame
 
     read = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return read.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+
+
+def oracle(pages: str = "pages") -> str:
+    """The same rows in SQL for pages whose main text stands in one article of h1 and p blocks.
+
+    It knows the layout and so needs no labels; it serves to compare the model's result with.
+    """
+    inner = "regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1)"
+    cut = f"regexp_replace({inner}, '(?s)<[^>]*$', '')"
+    marks = f"regexp_replace(regexp_replace({cut}, '</?b>', '', 'g'), '</?(p|h1)>', chr(1), 'g')"
+    plain = f"regexp_replace({marks}, '(?s)<[^>]*>', ' ', 'g')"
+    for name, sign in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#x?0*27;|&#39;", "''"), ("&amp;?", "&")):
+        plain = f"regexp_replace({plain}, '{name}', '{sign}', 'g')"
+    parts = f"list_transform(string_split({plain}, chr(1)), lambda b: trim(regexp_replace(b, '\\s+', ' ', 'g')))"
+    text = f"coalesce(array_to_string(list_filter({parts}, lambda b: b <> ''), chr(10)), '')"
+    return f"SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (SELECT page_id, url, {text} AS text FROM {pages}) p"

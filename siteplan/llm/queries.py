@@ -80,6 +80,7 @@ ORACLES = {
     "op1_quality_rules": f"""SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         base_failed, kept FROM ({quality.oracle()}) q""",
     "op3_license_scan": license_scan.oracle(),
+    "op4_html_extract": html_extract.oracle(),
     "op6_url_filter": url_filter.oracle(URL_RULES),
     "op5_minhash_dedup": near_dedup.oracle(width=2),
     "op7_line_dedup": f"""SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256

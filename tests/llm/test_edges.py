@@ -238,3 +238,28 @@ def test_quality_model(spark, docs, none):
 def test_hash_of_kept_text(docs):
     row = line_dedup.line_dedup(docs).filter("doc_id = 4").select(F.sha2("kept_text", 256)).first()
     assert row[0] == hashlib.sha256(LONG.encode()).hexdigest()
+
+
+def test_near_duplicates_against_all_pairs(spark, monkeypatch):
+    """Families of copies at every distance, in small blocks, with a poor first member."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    draw = random.Random(12)
+    texts = []
+    for family in range(4):
+        base = [f"w{family}x{draw.randrange(400)}" for _ in range(60)]
+        for copy in range(30):
+            changed = list(base)
+            for at in draw.sample(range(60), 4 if copy == 0 else draw.choice([0, 1, 1, 2, 2, 3, 4, 5])):
+                changed[at] = f"new{draw.randrange(10**6)}"
+            texts.append(" ".join(changed))
+    order = list(range(len(texts)))
+    draw.shuffle(order)
+    docs = spark.createDataFrame([(i, texts[k]) for i, k in enumerate(order)], "doc_id long, text string").repartition(5)
+    sets = [set(zip(t.split(), t.split()[1:])) for t in (texts[k] for k in order)]
+    least = list(range(len(sets)))
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    for _ in range(len(sets)):
+        for i, j in linked:
+            least[i] = least[j] = min(least[i], least[j])
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, width=2).collect()}
+    assert [got[i] for i in range(len(sets))] == least and 4 < len(set(least)) < len(sets)
