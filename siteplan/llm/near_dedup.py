@@ -5,6 +5,8 @@ A document is its set of distinct word shingles. Its signature holds 65 MinHash
 chunk differs in at most one (13 chunks with two errors each would need 26), so the two
 share a key made of a chunk with one value left out: 65 keys a document find every pair
 within the radius. A pair at similarity 0.8 is beyond it with a probability near 1e-4.
+Beside the signature stands a sketch, the 192 least hashes of the set: it holds a small set
+whole and estimates the similarity of larger ones, which spares most exact comparisons.
 """
 
 from __future__ import annotations
@@ -26,7 +28,10 @@ RADIUS = 2 * CHUNKS - 1
 #: Rounds that compare a bucket with one member, before what is left is compared in blocks.
 STAR_ROUNDS = 2
 #: Members of a bucket compared in one task.
-BLOCK = 512
+BLOCK = 4096
+#: Hashes of a set's sketch, and how many standard deviations below the asked similarity an
+#: estimate may lie (a pair lies further below with a probability near 1e-4).
+SKETCH, SLACK = 192, 3.7
 #: Words remembered by a task.
 CACHE = 300_000
 
@@ -75,25 +80,55 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return ((least * _MIX2) >> np.uint64(48)).astype(np.uint16)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The high halves of the least hashes of a sorted set, filled up with the greatest value."""
+    out = np.full(SKETCH, 2**32 - 1, np.uint32)
+    least = (shingles[:SKETCH] >> np.uint64(32)).astype(np.uint32)
+    out[: len(least)] = least
+    return out
+
+
+def sketches_near(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of `others` may be similar enough to `one` by their sketches.
+
+    Up to the lesser of the two sketches' ends both sets are known; what they share there
+    estimates the similarity, and gives it where both sets are held whole.
+    """
+    last = np.uint64(2**32 - 1)
+    whole, wholes = n <= SKETCH, sizes <= SKETCH
+    ends = np.minimum(last if whole else one[-1], np.where(wholes, last, others[:, -1]))
+    mine = np.minimum(np.searchsorted(one, ends, side="right"), min(n, SKETCH))
+    theirs = np.minimum((others <= ends[:, None]).sum(axis=1), np.minimum(sizes, SKETCH))
+    at = np.minimum(np.searchsorted(one, others), SKETCH - 1)
+    inside = np.arange(SKETCH)[None, :] < theirs[:, None]
+    common = ((one[at] == others) & inside & (at < mine[:, None])).sum(axis=1)
+    union = np.maximum(1, mine + theirs - common)
+    share = percent / 100
+    slack = np.where(wholes & whole, 2 / union, SLACK * np.sqrt(share * (1 - share) / union) + 2 / union)
+    return common / union >= share - slack
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, sig) per row; set_hash and sig null for an empty set."""
+    """(doc_id, n_shingles, set_hash, sig, sketch) per row; the last three null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, multipliers = _WordHashes(), _multipliers()
         for batch in batches:
-            sizes, hashes, sigs = [], [], []
+            sizes, hashes, sigs, sketches = [], [], [], []
             for text in batch.column("text"):
                 found = shingle_set(text.as_py(), width, known)
                 sizes.append(len(found))
                 hashes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 sigs.append(signature(found, multipliers).tobytes() if len(found) else None)
+                sketches.append(sketch(found).tobytes() if len(found) else None)
+            parts = [pa.array(c, pa.binary()) for c in (hashes, sigs, sketches)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(sigs, pa.binary())],
-                ["doc_id", "n_shingles", "set_hash", "sig"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), *parts],
+                ["doc_id", "n_shingles", "set_hash", "sig", "sketch"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hash binary, sig binary"
+        run, "doc_id long, n_shingles long, set_hash binary, sig binary, sketch binary"
     )
 
 
@@ -192,7 +227,8 @@ def _can_reach(n, m, c, d, least, percent: int):
 
 def block_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of different components in a bucket that are within RADIUS, may be
-    similar enough by their sizes and by what they share with the bucket's center; each once.
+    similar enough by their sizes, their sketches and what they share with the bucket's
+    center; each once.
 
     A bucket is cut into blocks of about BLOCK members, every two blocks meet in one task.
     Of the keys two signatures share only the first gives the pair.
@@ -201,7 +237,7 @@ def block_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     mine = F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int")
     dealt = open_rows.join(sizes, "key").withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
-        "key", "slot", "rep", "n", "common", "comp", "sig", "mine",
+        "key", "slot", "rep", "n", "common", "comp", "sig", "sketch", "mine",
         F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
     )
 
@@ -210,6 +246,7 @@ def block_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
         rep, comp = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
         mine, slot = rows.column("mine").to_numpy(), rows.column("slot")[0].as_py()
         sigs = _sig_matrix(rows.column("sig").combine_chunks())
+        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
         n, common = rows.column("n").to_numpy(), rows.column("common").to_numpy()  # NaN: not known
         left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
         chunk, out_a, out_b = slot // WIDTH, [], []
@@ -227,6 +264,8 @@ def block_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             first = (errors <= 1).argmax(axis=1)
             gone = np.where(errors[np.arange(len(first)), first] == 1, differ[np.arange(len(first)), first].argmax(axis=1), 0)
             own = others[(first == chunk) & (gone == slot % WIDTH)]
+            if len(own):
+                own = own[sketches_near(sketches[i], n[i], sketches[own], n[own], percent)]
             out_a += [min(rep[i], rep[j]) for j in own]
             out_b += [max(rep[i], rep[j]) for j in own]
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -255,7 +294,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = stored(
         named.groupBy("set_hash").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"),
-            F.count(F.lit(1)).alias("members"),
+            F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("members"),
         ),
         "classes",
     )
@@ -302,7 +341,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             fresh = across.select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
             fresh = within_radius(fresh.join(tested, ["a", "b"], "left_anti"), classes)
         else:
-            with_sig = open_rows.join(classes.select("rep", "sig"), "rep")
+            with_sig = open_rows.join(classes.select("rep", "sig", "sketch"), "rep")
             fresh = block_pairs(with_sig, percent).join(tested, ["a", "b"], "left_anti")
         fresh = stored(measured(stored(fresh, "pairs"), texts, width, percent), "tested")
         tested = tested.union(fresh)
