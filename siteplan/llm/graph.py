@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 #: The edges of one node go to so many tasks.
-SALTS = 8
+SALTS = 4
 
 
 def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
