@@ -14,14 +14,19 @@ CALM_ROWS = 1_000
 HOT_PAIRS = 100_000_000
 # A list of split cells up to this length is broadcast (a few MB), a longer one is shuffled.
 SMALL_LIST = 100_000
-# Cell numbers stay within this range; coordinates beyond it share the outermost cells.
-EDGE_CELL = 2**16
+# Cell numbers stay within this range, so that their neighbours' numbers are longs too;
+# coordinates beyond it share the outermost cells.
+EDGE_CELL = 2**62
 
 
-def cell_index(coordinate: Column | str, size: float) -> Column:
-    """Grid index of a coordinate. Monotone, so index order never contradicts coordinate order."""
+def cell_index(coordinate: Column | str, size: float, edge: int = EDGE_CELL) -> Column:
+    """Grid index of a coordinate. Monotone, so index order never contradicts coordinate order.
+
+    Coordinates `edge` cells and more from zero share the outermost cells, whose number says
+    nothing about their place.
+    """
     c = F.col(coordinate) if isinstance(coordinate, str) else coordinate
-    cell = F.floor(F.greatest(F.least(c / F.lit(float(size)), F.lit(float(EDGE_CELL))), F.lit(float(-EDGE_CELL))))
+    cell = F.floor(F.greatest(F.least(c / F.lit(float(size)), F.lit(float(edge))), F.lit(float(-edge))))
     return cell.cast("long")
 
 
@@ -30,8 +35,10 @@ def located(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x)) & ~F.isnan(F.col(y)))
 
 
-def with_cells(df: DataFrame, x: str, y: str, size: float, gx: str = "gx", gy: str = "gy") -> DataFrame:
-    return df.withColumns({gx: cell_index(x, size), gy: cell_index(y, size)})
+def with_cells(
+    df: DataFrame, x: str, y: str, size: float, gx: str = "gx", gy: str = "gy", edge: int = EDGE_CELL
+) -> DataFrame:
+    return df.withColumns({gx: cell_index(x, size, edge), gy: cell_index(y, size, edge)})
 
 
 def fan_out(df: DataFrame) -> int:

@@ -20,12 +20,15 @@ from siteplan.session import kept
 BOUNDS = ("lon1", "lat1", "lon2", "lat2")
 # Block levels of a narrow map; a wider one gets one more per doubling.
 LEVELS = 4
+# Cells are numbered up to here on both sides of zero, so that outlines stay short where a few
+# points lie far out. Those share the outermost cells and are tested one by one: none is lost.
+FAR_CELL = 2**16
 
 
 def cell_partials(pts: DataFrame, xy: tuple[str, str], aggs: dict[str, Agg], cell: float) -> DataFrame:
     """One row of partials per occupied grid cell; write it out to reuse it over several joins."""
     parts = Partials(aggs)
-    cells = with_cells(located(pts, *xy), *xy, cell).select("gx", "gy", *parts.of_rows(pts))
+    cells = with_cells(located(pts, *xy), *xy, cell, edge=FAR_CELL).select("gx", "gy", *parts.of_rows(pts))
     return cells.groupBy("gx", "gy").agg(*parts.merged(), F.count("*").alias("n_rows"))
 
 
@@ -76,10 +79,10 @@ def range_join(
     low_x, high_x, low_y, high_y = cells.agg(*[f(g) for g in ("gx", "gy") for f in (F.min, F.max)]).first()
     shapes = shapes.select(
         *bounds,
-        F.greatest(cell_index(x1, cell), F.lit((low_x or 0) - 1)).alias("gx1"),
-        F.greatest(cell_index(y1, cell), F.lit((low_y or 0) - 1)).alias("gy1"),
-        F.least(cell_index(x2, cell), F.lit((high_x or 0) + 1)).alias("gx2"),
-        F.least(cell_index(y2, cell), F.lit((high_y or 0) + 1)).alias("gy2"),
+        F.greatest(cell_index(x1, cell, FAR_CELL), F.lit((low_x or 0) - 1)).alias("gx1"),
+        F.greatest(cell_index(y1, cell, FAR_CELL), F.lit((low_y or 0) - 1)).alias("gy1"),
+        F.least(cell_index(x2, cell, FAR_CELL), F.lit((high_x or 0) + 1)).alias("gx2"),
+        F.least(cell_index(y2, cell, FAR_CELL), F.lit((high_y or 0) + 1)).alias("gy2"),
     )
     shapes = shapes.where((F.col("gx1") <= F.col("gx2")) & (F.col("gy1") <= F.col("gy2")))
     span = max((high_x or 0) - (low_x or 0), (high_y or 0) - (low_y or 0))
@@ -100,7 +103,7 @@ def range_join(
         .select(*bounds, *parts.names)
     )
 
-    rows = with_cells(located(pts, x, y), x, y, cell).select(
+    rows = with_cells(located(pts, x, y), x, y, cell, edge=FAR_CELL).select(
         "gx", "gy", F.col(x).alias("pt_x"), F.col(y).alias("pt_y"), *parts.of_rows(pts)
     )
     px, py = F.col("pt_x"), F.col("pt_y")

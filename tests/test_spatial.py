@@ -144,3 +144,22 @@ def test_radius_operators(spark, hot):
                 less = 0 if v is None else sum(b[2] is None or b[2] < v for b in near)
                 want = less / (len(near) - 1)
             assert row[f"r_{name}"] == want, none
+
+
+@pytest.mark.parametrize("x0, y0, r", [(-125.0, 40.0, 0.01), (500_000.0, 4_100_000.0, 400.0), (3e15, -7e15, 0.4), (1e300, -5.0, 0.01)])
+def test_radius_operators_far_from_zero(spark, x0, y0, r):
+    rng = random.Random(5)
+    place = lambda: (x0 + rng.uniform(-2, 2) * r, y0 + rng.uniform(-2, 2) * r)
+    points, others = [place() for _ in range(30)], [(*place(), float(i)) for i in range(120)]
+    p = spark.createDataFrame(points, "lon double, lat double")
+    o = spark.createDataFrame([*others, (float("inf"), y0, -1.0), (x0, float("-inf"), -1.0)], "lon double, lat double, v double")
+    dist = lambda a, b: math.sqrt((a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1]))
+    near = {a: [b for b in others if dist(a, b) < r] for a in points}
+    assert any(near.values())
+    for row in radius_features(p, o, {"c_{}": count(), "s_{}": total("v", 3)}, (r / 2, r)).collect():
+        sums = [[b[2] for b in near[row[:2]] if dist(row, b) < d] for d in (r / 2, r)]
+        assert list(row[2:]) == [x for vals in sums for x in (len(vals), sum(vals) if vals else None)]
+    for row in nearest_and_count(p, o, r, exact_n=True).collect():
+        hits = near[row[:2]]
+        assert (row["n"], row["d"]) == (len(hits), min((dist(row, b) for b in hits), default=None))
+    assert radius_join(p, o, r, how="inner").count() == sum(map(len, (near[a] for a in points)))
