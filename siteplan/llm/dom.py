@@ -12,7 +12,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-HIDDEN = frozenset("head title script style noscript template svg math iframe object canvas audio video select datalist".split())
+HIDDEN = frozenset(
+    "head title script style noscript template svg math iframe object canvas audio video select option optgroup datalist".split()
+)
 RAW = "script|style|noscript|template|textarea|title|iframe|xmp"
 #: A start tag of the first closes an open element of the second kind.
 CLOSES = {
@@ -20,6 +22,19 @@ CLOSES = {
     "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th"), "tfoot": ("tr", "td", "th"),
 }
 SCOPES = frozenset("ul ol dl table td th body html".split())
+#: What may stand in head; any other start tag, and text, ends a head that is still open.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
+_FLOW = frozenset(
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
+    "li main menu nav ol p pre section table td th tr ul".split()
+)
+#: Start tags that end an open choice list or drawing, whose end tag is missing then.
+ENDS_CHOICE = _FLOW | frozenset("input select textarea".split())
+ENDS_DRAWING = _FLOW | frozenset("b big br code em embed hr i img nobr ruby s small span strike strong sub sup tt u var".split())
+CHOICE = frozenset("select option optgroup".split())
+DRAWING = frozenset("svg math".split())
+#: Parts of drawings that may hold HTML.
+HOLDS_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)"
@@ -77,7 +92,8 @@ def leaf_blocks(page: str) -> list[Block]:
 
     A block ends where a block element starts or ends; inline elements and line breaks do not
     end it. Comments, scripts, styles and other hidden elements are passed over, as is a tag
-    cut off at the end. Unclosed and stray tags are taken as browsers do in the common cases.
+    cut off at the end. Unclosed and stray tags are taken as browsers do in the common cases:
+    head, select, svg and math without an end tag end where something stands that they cannot hold.
     """
     out: list[Block] = []
     stack: list[Element] = []
@@ -101,9 +117,26 @@ def leaf_blocks(page: str) -> list[Block]:
                 return
 
     hidden = 0
+
+    def leave(tag: str) -> None:
+        """Out of the outermost hidden element that cannot hold a start tag `tag`, or text (an empty tag)."""
+        nonlocal hidden
+        html_inside = any(e.tag in HOLDS_HTML for e in stack)
+        for at, e in enumerate(stack):
+            if (
+                (e.tag == "head" and tag not in IN_HEAD)
+                or (e.tag in CHOICE and tag in ENDS_CHOICE)
+                or (e.tag in DRAWING and tag in ENDS_DRAWING and not html_inside)
+            ):
+                del stack[at:]
+                hidden = sum(e.tag in HIDDEN for e in stack)
+                return
+
     for token in TOKEN.finditer(page):
         text = token["text"]
         if text is not None:
+            if hidden and not text.isspace():
+                leave("")
             if not hidden:
                 if not now.parts and not text.isspace():
                     now.path = tuple(stack)
@@ -113,9 +146,13 @@ def leaf_blocks(page: str) -> list[Block]:
                         now.linked += len(text)
             continue
         raw = token["raw"]
-        if raw is not None or token["tag"] is None:
+        if raw is None and token["tag"] is None:
+            continue
+        tag, rest = (raw or token["tag"]).lower(), token["rest"]
+        if hidden and tag[0] != "/":
+            leave(tag)
+        if raw is not None:
             continue
-        tag, rest = token["tag"].lower(), token["rest"]
         if tag[0] == "/":
             tag = tag[1:]
             if any(e.tag == tag for e in stack):

@@ -212,6 +212,31 @@ def test_html_extract(spark):
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>x</title><meta charset=utf-8><body><article>{}</article></body></html>",
+        "<head><style>p {{}}</style><script>1</script><article>{}</article>",
+        "<head><title>x</title><link rel=icon href=i>{}",
+        "<head><title>x</title></head><body><div><select><option>One<option>Two<article>{}</article></div></body>",
+        "<body><div><svg><g><path d='M0'><article>{}</article></div></body>",
+        "<body><div><select><div><option>One</option></div></select><svg><text>Two</text></svg></div>{}</body>",
+        "<body><svg><foreignObject><p>One</p></foreignObject></svg>{}</body>",
+        "<html><head><title>x</title></head><body>{}</body></html>",
+    ],
+)
+def test_open_hidden_elements(page):
+    blocks = [b.text for b in html_extract.leaf_blocks(page.format("<h1>Title</h1><p>One <b>two</b>.</p><p>Three</p>"))]
+    assert blocks == ["Title", "One two.", "Three"]
+
+
+def test_page_without_end_of_head(spark):
+    assert [b.text for b in html_extract.leaf_blocks("<head><title>x</title>Text <b>more")] == ["Text more"]
+    page = "<html><head><title>x</title><body><article><h1>Title</h1><p>One two three four five.</p></article></body></html>"
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert html_extract.extract_main_text(pages).first()["text"] == "Title\nOne two three four five."
+
+
 def test_html_held_out():
     model, wrong, total = html_extract.train(), 0, 0
     for page in html_extract.labelled_pages(150, seed=77):
