@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,13 +41,34 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """The path with its . and .. segments resolved."""
+    single, double = r"(?i)^(\.|%2e)$", r"(?i)^(\.|%2e){2}$"
+    parts = F.split(path, "/")
+    walked = F.aggregate(
+        F.slice(parts, 2, F.size(parts)),
+        F.array().cast("array<string>"),
+        lambda seen, p: F.when(p.rlike(double), F.slice(seen, 1, F.greatest(F.size(seen) - 1, F.lit(0))))
+        .when(p.rlike(single), seen)
+        .otherwise(F.concat(seen, F.array(p))),
+    )
+    last = F.element_at(parts, -1)
+    walked = F.when(last.rlike(single) | last.rlike(double), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    resolved = F.concat(F.lit("/"), F.array_join(walked, "/"))
+    return F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|\z)"), resolved).otherwise(path)
+
+
+def query_of(url: Column) -> Column:
+    """The ? and what follows it, up to # or the end; empty without one."""
+    return F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)?", 1)
+
+
 def node_of(url: Column) -> Column:
     """The address an alias is known by: lower-cased host and the rest without the fragment.
 
-    http and https are one address. Null for a URL without ://.
+    http and https are one address, and . and .. segments are resolved. Null for a URL without ://.
     """
-    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(url.contains("://"), F.concat(host_of(url), rest))
+    return F.when(url.contains("://"), F.concat(host_of(url), _without_dots(path_of(url)), query_of(url)))
 
 
 def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
@@ -64,8 +86,34 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+#: Numeric references and the named ones of HTML's own signs; without a semicolon as in attributes.
+REFERENCE = r"&(?:#[xX][0-9A-Fa-f]+;?|#[0-9]+;?|(?:amp|lt|gt|quot)(?:;|(?![=A-Za-z0-9;]))|apos;)"
+NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+#: What HTML reads the references 128 to 159 as.
+WINDOWS = [html.unescape(f"&#{i};") for i in range(128, 160)]
+
+
+def _decoded(text: Column) -> Column:
+    """Character references decoded, in one pass: what a reference gives is not read again."""
+
+    def sign(token: Column) -> Column:
+        sixteen = F.regexp_extract(token, r"^&#[xX]0*([0-9A-Fa-f]+);?$", 1)
+        ten = F.regexp_extract(token, r"^&#0*([0-9]+);?$", 1)
+        code = F.when(sixteen.rlike("^.{1,6}$"), F.conv(sixteen, 16, 10).cast("int")).when(ten.rlike("^.{1,7}$"), ten.cast("int"))
+        known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        out = F.when(code.between(128, 159), F.element_at(F.array(*map(F.lit, WINDOWS)), code - 127))
+        out = out.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        found = F.when(token.startswith("&#"), out)
+        for name, value in NAMED.items():
+            found = found.when(token.startswith("&" + name), F.lit(value))
+        return found.otherwise(token)
+
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s){REFERENCE}|[^&]+|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(tokens, sign), "")).otherwise(text)
+
+
 def _target(base: Column, href: Column) -> Column:
-    """`href` as an absolute URL, taken relative to `base`."""
+    """`href` as an absolute URL, taken relative to `base`; `node_of` resolves its dot segments."""
     scheme = F.regexp_extract(base, r"^(.*?)://", 1)
     root = F.concat(scheme, F.lit("://"), host_of(base))
     folder = F.regexp_extract(path_of(base), r"(?s)^(.*/)", 1)
@@ -74,6 +122,8 @@ def _target(base: Column, href: Column) -> Column:
         F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
         .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("?"), F.concat(root, path_of(base), href))
+        .when(href.startswith("#"), F.concat(root, path_of(base), query_of(base), href))
         .when(href != "", F.concat(root, folder, href))
     )
 
@@ -96,7 +146,7 @@ def alias_edges(pages: DataFrame) -> DataFrame:
         F.transform(tags(LINK_TAG, CANONICAL), lambda t: F.regexp_extract(t, HREF, 1)),
         F.transform(tags(META_TAG, REFRESH), lambda t: F.regexp_extract(t, REFRESH_URL, 1)),
     )
-    each = hinted.select("url", F.explode(found).alias("href"))
+    each = hinted.select("url", F.explode(found).alias("href")).select("url", _decoded(F.col("href")).alias("href"))
     return each.select(node_of(F.col("url")).alias("a"), node_of(_target(F.col("url"), F.col("href"))).alias("b"))
 
 

@@ -212,6 +212,37 @@ def test_html_extract(spark):
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
 
 
+ALIASES = [
+    ("http://a.org/x/y?p#f", "b?a=1&amp;b=2", "a.org/x/b?a=1&b=2"),
+    ("http://a.org/x/y", "/q?a=1&#38;b=2&#x26;c=3&d=4", "a.org/q?a=1&b=2&c=3&d=4"),
+    ("http://a.org/x/y", "/q?a&#38;amp;b&amp=1&copy=2&#233;&#x1F600;&#150;&#0;&#xD800;&#99999999999999999999;", "a.org/q?a&amp;b&amp=1&copy=2é😀–\ufffd\ufffd\ufffd"),
+    ("http://a.org/x/y/z", "./b", "a.org/x/y/b"),
+    ("http://a.org/x/y/z", "../b?q=/../c", "a.org/x/b?q=/../c"),
+    ("http://a.org/x/y/z", "../../../../b", "a.org/b"),
+    ("http://a.org/x/y/z", "..", "a.org/x/"),
+    ("http://a.org/x/y/z", ".", "a.org/x/y/"),
+    ("http://a.org/x/y/z", "/m/./n/%2E%2e/o.html", "a.org/m/o.html"),
+    ("http://a.org/x/y/z", "https://B.org/m/../n#f", "b.org/n"),
+    ("http://a.org/x/y/z", "..b/.c", "a.org/x/y/..b/.c"),
+    ("http://a.org/x/y?p=1#f", "?x=2", "a.org/x/y?x=2"),
+    ("http://a.org/x/y?p=1#f", "#g", "a.org/x/y?p=1"),
+    ("http://a.org", "b", "a.org/b"),
+    ("http://a.org/x/../y", "http://a.org/z", "a.org/z"),
+]
+
+
+def test_url_aliases(spark):
+    rows = [(u, f'<link rel="canonical" href="{h}">') for u, h, _ in ALIASES] + [(u, f'<meta http-equiv="refresh" content="0; url={h}">') for u, h, _ in ALIASES]
+    edges = url_filter.alias_edges(spark.createDataFrame(rows, "url string, html string").coalesce(1)).collect()
+    assert [r["b"] for r in edges] == [b for *_, b in ALIASES] * 2 and edges[len(ALIASES) - 1]["a"] == "a.org/y"
+
+
+def test_url_alias_takes_the_decision(spark):
+    rows = [(1, "http://bad.com/p?a=1&b=2", ""), (2, "http://free.info/1", '<link rel=canonical href="//bad.com/x/../p?a=1&amp;b=2">')]
+    out = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), [url_filter.Rule("block", "bad.com/p")])
+    assert [r["verdict"] for r in out.orderBy("page_id").collect()] == ["block", "block"]
+
+
 @pytest.mark.parametrize(
     "page",
     [
