@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, quality, quality_model, token_counts, url_filter
+from . import (
+    decontaminate,
+    html_extract,
+    lexical_search,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    prefix_trie,
+    quality,
+    quality_model,
+    sharding,
+    token_counts,
+    url_filter,
+)
 from .common import table
 
 
@@ -63,6 +77,18 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -74,6 +100,9 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_model": op10_quality_model,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_feistel_shards": op12_feistel_shards,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES = {
@@ -87,4 +116,7 @@ ORACLES = {
         FROM ({line_dedup.oracle()}) q""",
     "op8_source_mix": f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.oracle()}) q",
     "op9_decontaminate": decontaminate.oracle(),
+    "op11_prefix_trie": prefix_trie.oracle(),
+    "op12_feistel_shards": sharding.oracle(),
+    "op13_ranked_search": lexical_search.oracle(),
 }
