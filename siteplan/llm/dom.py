@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 #: Fixed lists of HTML's element kinds.
@@ -22,6 +23,8 @@ CLOSES = {
     "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th"), "tfoot": ("tr", "td", "th"),
 }
 SCOPES = frozenset("ul ol dl table td th body html".split())
+#: An open p beyond one of these stays open at a start tag other than p.
+P_SCOPES = frozenset("table td th button body article div".split())
 #: What may stand in head; any other start tag, and text, ends a head that is still open.
 IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 _FLOW = frozenset(
@@ -48,29 +51,78 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^'
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
+    """`parent` is the element around it; `notes` is for what a reader finds out once per element."""
+
     tag: str
     names: frozenset[str]
     main: bool
+    parent: Element | None = None
+    notes: object = None
 
 
 @dataclass
 class Block:
-    """White space made single, the elements around it from the outside in, and its link share."""
+    """White space made single, the innermost element around it, and its link share."""
 
     text: str
-    path: tuple[Element, ...]
+    inner: Element | None
     linked: float
 
+    @property
+    def path(self) -> tuple[Element, ...]:
+        """The elements around it from the outside in."""
+        out, at = [], self.inner
+        while at is not None:
+            out.append(at)
+            at = at.parent
+        return tuple(reversed(out))
+
 
 @dataclass
 class _Open:
     parts: list[str] = field(default_factory=list)
-    path: tuple[Element, ...] = ()
+    inner: Element | None = None
     linked: int = 0
 
 
+class _Stack:
+    """The open elements; where those of a tag lie is known without a search, however many are open."""
+
+    def __init__(self) -> None:
+        self.elements: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.hidden = 0
+
+    def top(self) -> Element | None:
+        return self.elements[-1] if self.elements else None
+
+    def push(self, element: Element) -> None:
+        element.parent = self.top()
+        self.places.setdefault(element.tag, []).append(len(self.elements))
+        self.elements.append(element)
+        self.hidden += element.tag in HIDDEN
+
+    def cut(self, at: int) -> None:
+        """Close all elements from place `at` on."""
+        while len(self.elements) > at:
+            tag = self.elements.pop().tag
+            self.places[tag].pop()
+            self.hidden -= tag in HIDDEN
+
+    def has(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The innermost place of one of the tags, -1 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def first(self, tags: Iterable[str]) -> int | None:
+        """The outermost place of one of the tags."""
+        return min((self.places[t][0] for t in tags if self.places.get(t)), default=None)
+
+
 _NONE: frozenset[str] = frozenset()
 
 
@@ -96,7 +148,7 @@ def leaf_blocks(page: str) -> list[Block]:
     head, select, svg and math without an end tag end where something stands that they cannot hold.
     """
     out: list[Block] = []
-    stack: list[Element] = []
+    stack = _Stack()
     now = _Open()
 
     def flush() -> None:
@@ -105,62 +157,50 @@ def leaf_blocks(page: str) -> list[Block]:
             raw = "".join(now.parts)
             text = " ".join(html.unescape(raw).split())
             if text:
-                out.append(Block(text, now.path, now.linked / max(1, len(raw))))
+                out.append(Block(text, now.inner, now.linked / max(1, len(raw))))
             now = _Open()
 
     def close(tags: tuple[str, ...], stop: frozenset[str]) -> None:
-        for at in range(len(stack) - 1, -1, -1):
-            if stack[at].tag in tags:
-                del stack[at:]
-                return
-            if stack[at].tag in stop:
-                return
-
-    hidden = 0
+        at = stack.last(tags)
+        if at > stack.last(stop.difference(tags)):
+            stack.cut(at)
 
     def leave(tag: str) -> None:
         """Out of the outermost hidden element that cannot hold a start tag `tag`, or text (an empty tag)."""
-        nonlocal hidden
-        html_inside = any(e.tag in HOLDS_HTML for e in stack)
-        for at, e in enumerate(stack):
-            if (
-                (e.tag == "head" and tag not in IN_HEAD)
-                or (e.tag in CHOICE and tag in ENDS_CHOICE)
-                or (e.tag in DRAWING and tag in ENDS_DRAWING and not html_inside)
-            ):
-                del stack[at:]
-                hidden = sum(e.tag in HIDDEN for e in stack)
-                return
+        ends = [("head",)] if tag not in IN_HEAD else []
+        ends += [CHOICE] if tag in ENDS_CHOICE else []
+        ends += [DRAWING] if tag in ENDS_DRAWING and stack.first(HOLDS_HTML) is None else []
+        at = [place for place in map(stack.first, ends) if place is not None]
+        if at:
+            stack.cut(min(at))
 
     for token in TOKEN.finditer(page):
         text = token["text"]
         if text is not None:
-            if hidden and not text.isspace():
+            blank = text.isspace()
+            if stack.hidden and not blank:
                 leave("")
-            if not hidden:
-                if not now.parts and not text.isspace():
-                    now.path = tuple(stack)
-                if now.parts or not text.isspace():
-                    now.parts.append(text)
-                    if any(e.tag == "a" for e in stack):
-                        now.linked += len(text)
+            if not stack.hidden and (now.parts or not blank):
+                if not now.parts:
+                    now.inner = stack.top()
+                now.parts.append(text)
+                if stack.has("a"):
+                    now.linked += len(text)
             continue
         raw = token["raw"]
         if raw is None and token["tag"] is None:
             continue
         tag, rest = (raw or token["tag"]).lower(), token["rest"]
-        if hidden and tag[0] != "/":
+        if stack.hidden and tag[0] != "/":
             leave(tag)
         if raw is not None:
             continue
         if tag[0] == "/":
             tag = tag[1:]
-            if any(e.tag == tag for e in stack):
+            if stack.has(tag):
                 if tag not in INLINE:
                     flush()
-                while stack and stack.pop().tag != tag:
-                    pass
-                hidden = sum(e.tag in HIDDEN for e in stack)
+                stack.cut(stack.last((tag,)))
             elif tag == "p":
                 flush()
             continue
@@ -174,14 +214,12 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         if tag not in INLINE:
             flush()
-            if tag != "p" or any(e.tag == "p" for e in stack):
-                close(("p",), frozenset(("table", "td", "th", "button", "body", "article", "div")) if tag != "p" else SCOPES)
+            if tag != "p" or stack.has("p"):
+                close(("p",), P_SCOPES if tag != "p" else SCOPES)
             if tag in CLOSES:
                 close(CLOSES[tag], SCOPES)
         if rest.endswith("/") and tag in ("svg", "path", "use"):
             continue
-        stack.append(_element(tag, rest))
-        if tag in HIDDEN:
-            hidden += 1
+        stack.push(_element(tag, rest))
     flush()
     return out

@@ -6,26 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-
-#: The edges of one node go to so many tasks.
-SALTS = 4
-
-
-def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """`edges` (u, v) with `m` of u; a node with very many edges is split by salt."""
-    spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    return salted.join(spread, ["u", "salt"]).drop("salt")
+from .ranges import split_join
 
 
 def _star_round(edges: DataFrame) -> DataFrame:
-    """One round: every node's larger, then smaller neighbours move to its least neighbour."""
+    """One round: every node's larger, then smaller neighbours move to its least neighbour.
+
+    Edges meet their node's least neighbour in a join that cuts nodes by their edge count.
+    """
+    total = edges.count()
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = _with_least(both, least).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    large = large.filter("u <> v").distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    moved = _with_least(large, least).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    degree = F.count(F.lit(1)).alias("degree")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), degree).select("u", F.least("u", "m").alias("m"), "degree")
+    large = split_join(both, least, ["u"], "degree", 2 * total).filter(F.col("v") > F.col("u"))
+    large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    least = large.groupBy("u").agg(F.min("v").alias("m"), degree)
+    moved = split_join(large, least, ["u"], "degree", total).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     kept = least.select("u", F.col("m").alias("v"))
     return moved.union(kept).distinct()
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .crf import Chain, fit
-from .dom import Block, leaf_blocks
+from .dom import Block, Element, leaf_blocks
 
 #: Labelled pages the model is trained on, and the seed they are made with.
 TRAIN_PAGES, SEED = 600, 11
@@ -33,20 +33,39 @@ LANDMARKS = frozenset("nav header footer aside main article section form body ta
 SIGNS = ("©", "copyright", "all rights reserved", "cookie", "subscribe", "newsletter", "sign up", "log in", "advertis", "sponsored", "privacy", "comment", "share")
 
 
-def block_features(block: Block) -> list[str]:
-    """Names of what holds for a block: its tag, what is around it, and its text."""
-    path = block.path
-    out = ["bias", "tag=" + (next((e.tag for e in reversed(path) if e.tag not in ("a", "b", "i", "span", "strong", "em")), "none"))]
-    around, inner = set(), ["inner=nothing"]
-    for element in path:
+#: What `_surroundings` says of no element: the block's tag, what is around, and the innermost of it.
+_OUTSIDE = ("none", frozenset(), ("inner=nothing",))
+#: From so many words on a block is prose, which may well mention what marks a short block as none.
+LONG_WORDS = 60
+
+
+def _surroundings(element: Element | None) -> tuple[str, frozenset[str], tuple[str, ...]]:
+    """What an element and those around it say, found once per element from its parent's."""
+    chain = []
+    while element is not None and element.notes is None:
+        chain.append(element)
+        element = element.parent
+    tag, around, inner = element.notes if element is not None else _OUTSIDE
+    for element in reversed(chain):
         own = ["name=" + GROUP_OF[name] for name in element.names if name in GROUP_OF]
         if element.tag in LANDMARKS:
             own.append("in=" + element.tag)
         if element.tag == "header" and around & {"in=article", "in=main", "name=main"}:
             own.append("title part")
-        around.update(own)
+        if not around.issuperset(own):
+            around = around.union(own)
         if own and element.tag not in ("body", "section"):
-            inner = ["inner " + o for o in own]
+            inner = tuple("inner " + o for o in own)
+        if element.tag not in ("a", "b", "i", "span", "strong", "em"):
+            tag = element.tag
+        element.notes = (tag, around, inner)
+    return tag, around, inner
+
+
+def block_features(block: Block) -> list[str]:
+    """Names of what holds for a block: its tag, what is around it, and its whole text."""
+    tag, held, inner = _surroundings(block.inner)
+    out, around = ["bias", "tag=" + tag], set(held)
     if "in=article" in around or "in=main" in around:
         nested = [k for k in around if k not in ("in=article", "in=main", "in=body", "in=section", "in=figure", "in=table", "name=main")]
         around.add("inside=clean" if not nested else "inside=marked")
@@ -59,8 +78,8 @@ def block_features(block: Block) -> list[str]:
     out.append("words=" + ("1" if words < 3 else "3" if words < 8 else "8" if words < 20 else "20"))
     if text[-1] in ".!?…\"”»":
         out.append("ends")
-    low = text[:400].lower()
-    out += ["sign=" + s for s in SIGNS if s in low]
+    low, kind = text.lower(), "sign=" if words < LONG_WORDS else "long sign="
+    out += [kind + s for s in SIGNS if s in low]
     return out
 
 

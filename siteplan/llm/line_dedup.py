@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACE_CHARS, UPPER, ascii_lower, bind, stored, whole_text
-
-#: A frequent line may stand in a third of all documents; its rows go to so many tasks.
-SALTS = 32
+from .ranges import split_join
 
 
 def line_key(line: Column) -> Column:
@@ -30,9 +28,10 @@ def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def frequent_lines(lines: DataFrame, min_docs: int) -> DataFrame:
-    """(a, b): line keys found in at least `min_docs` documents, counted exactly."""
-    per_doc = lines.select("a", "b", "doc_id").distinct()
-    return per_doc.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("a", "b")
+    """(a, b, n_rows): line keys found in at least `min_docs` documents, counted exactly, and their lines."""
+    per_doc = lines.groupBy("a", "b", "doc_id").agg(F.count(F.lit(1)).alias("k"))
+    counted = per_doc.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("n_rows"))
+    return counted.filter(F.col("n") >= min_docs).select("a", "b", "n_rows")
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -44,17 +43,15 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     line. Repeated rows are kept and treated alike; an empty table gives an empty table; an
     input column named like an output column is replaced. Keys are compared by 128-bit hash.
 
-    Only hashes are shuffled to find the lines; texts are joined once to the positions that
-    go. Writes the line hashes to the scratch folder when called.
+    Only hashes are shuffled to find the lines, a line of very many documents in parts by
+    its count; texts are joined once to the positions that go. Writes the line hashes and the
+    frequent keys to the scratch folder when called.
     """
     docs = docs.drop("kept_text", "n_lines", "n_dropped")
     lines = stored(lines_of(docs, min_chars), "lines")
-    frequent = frequent_lines(lines, min_docs).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", "pos"), F.lit(SALTS)).cast("int"))
+    frequent = stored(frequent_lines(lines, min_docs), "frequent-lines")
     cuts = (
-        salted.join(frequent, ["a", "b", "salt"])
+        split_join(lines, frequent, ["a", "b"], "n_rows", lines.count())
         .groupBy(F.col("doc_id").alias("cut_doc"), F.col("text_hash").alias("cut_hash"))
         .agg(F.collect_set("pos").alias("cut_lines"))
     )

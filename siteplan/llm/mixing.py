@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import SPACE, stored, whole_text, words
+from .ranges import in_order, part_starts, running
 
 #: A table of sources up to this many rows (under 10 MB) may be broadcast; beyond, it is shuffled.
 SMALL_ROWS = 100_000
@@ -18,28 +18,25 @@ def source_targets(per_source: DataFrame, weights: tuple[int, ...], cap: int) ->
     The excess of a source that stops at its cap is shared again by weight until none is
     above. That fixed point is one level L: the target is the smaller of cap * size and
     L * weight; L follows from running sums over the sources ordered by size per weight.
-    The windows run over one row per source.
+    Both orders are global sorts by ranges, so there may be any number of sources.
     """
-    by_name = Window.orderBy("no_src", "src")
-    weight = F.element_at(
-        F.array(*[F.lit(w) for w in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")
-    )
-    ranked = per_source.withColumn("weight", weight)
-    by_ratio = Window.orderBy(F.col("source_size").cast("double") / F.col("weight"), "no_src", "src")
-    before, everything = by_ratio.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(1))
-    limit = F.col("source_size") * cap
-    leveled = ranked.select(
-        "*",
-        limit.alias("most"),
-        (
-            (F.sum("source_size").over(everything) - F.coalesce(F.sum(limit).over(before), F.lit(0))).cast("double")
-            / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))).cast("double")
-        ).alias("level"),
+    by_name = in_order(per_source, ["no_src", "src"], "sources")
+    spans = part_starts(by_name)
+    rank = F.col("before") + F.col("at") - F.col("first_at")
+    weight = F.get(F.array(*[F.lit(w).cast("long") for w in weights]), (rank % len(weights)).cast("int"))
+    ranked = by_name.join(spans.select("part", "first_at", "before"), "part").select(
+        *per_source.columns, weight.alias("weight"), (F.col("source_size") * cap).alias("most")
     )
+    ranked = ranked.withColumn("ratio", F.col("source_size").cast("double") / F.col("weight"))
+    by_ratio = in_order(ranked, ["ratio", "no_src", "src"], "source-ratios")
+    sizes, shares = by_ratio.agg(F.sum("source_size"), F.sum("weight")).first()
+    before = running(by_ratio, {"most_before": "most", "weight_before": "weight"})
+    level = (F.lit(sizes) - F.col("most_before")).cast("double") / (F.lit(shares) - F.col("weight_before")).cast("double")
+    leveled = before.withColumn("level", level)
     open_level = F.when(F.col("most") >= F.col("level") * F.col("weight"), F.col("level"))
-    final = F.max(open_level).over(everything)  # levels fall from the first open source on
-    target = F.least(F.col("most").cast("double"), F.coalesce(final, F.lit(0.0)) * F.col("weight"))
-    return leveled.withColumn("target", target).select("src", "no_src", "source_size", "n_rows", "target")
+    final = leveled.agg(F.max(open_level)).first()[0]  # levels fall from the first open source on
+    target = F.least(F.col("most").cast("double"), F.lit(final or 0.0) * F.col("weight"))
+    return by_ratio.withColumn("target", target).select("src", "no_src", "source_size", "n_rows", "target")
 
 
 def random_key(doc_id: Column, seed: str) -> Column:
@@ -60,9 +57,10 @@ def mix_sources(
     the key go by doc_id, size and text hash; repeated rows are rows of their own, an empty
     table gives an empty table, sources without a word get nothing.
 
-    A source is cut into about sqrt(rows) ranges of its key, so no task holds a source. The
-    key is uniform, so equal ranges need no sample; sums per range give every range its
-    offset. Writes the sizes to the scratch folder when called.
+    Rows are sorted by source, key and the ties above, repeated rows by their place in the
+    scan, in sampled ranges; a range may begin anywhere in a source, so neither a source nor
+    the rows of one key, as those without a doc_id, meet in a task. Sums per range give every
+    range its offset. Writes sizes and order to the scratch folder when called.
     """
     text = whole_text()
     sized = stored(
@@ -74,6 +72,7 @@ def mix_sources(
             F.size(words(text)).cast("long").alias("size"),
             F.xxhash64(text).alias("text_hash"),
             random_key(F.col("doc_id"), seed).alias("key"),
+            F.monotonically_increasing_id().alias("place"),
         ),
         "sizes",
     )
@@ -86,22 +85,9 @@ def mix_sources(
         "targets",
     )
     small = per_source.count() <= SMALL_ROWS
-    bits = F.ceil(F.log2("n_rows") / 2).cast("int")
-    rows = sized.join(F.broadcast(per_source) if small else per_source, ["src", "no_src"]).withColumn(
-        "part", F.floor(F.col("key") / F.pow(F.lit(2.0), 60 - bits)).cast("long")
-    )
-    where = ["src", "no_src", "part"]
-    offsets = rows.groupBy(*where).agg(F.sum("size").alias("part_size"))
-    ahead = Window.partitionBy("src", "no_src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = offsets.select(*where, F.coalesce(F.sum("part_size").over(ahead), F.lit(0)).alias("offset"))
-    inside = (
-        Window.partitionBy(*where)
-        .orderBy("key", "doc_id", "size", "text_hash")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = rows.join(offsets, where).withColumn(
-        "before", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    )
+    ordered = in_order(sized, ["no_src", "src", "key", "doc_id", "size", "text_hash", "place"], "mix-order")
+    placed = running(ordered, {"before": "size"}, "no_src", "src")
+    placed = placed.join(F.broadcast(per_source) if small else per_source, ["src", "no_src"])
     budget = F.floor(F.col("target") + 0.5).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")

@@ -10,6 +10,8 @@ from .common import stored
 
 #: Positions of one block of `running_before`.
 BLOCK = 1024
+#: A key is cut once it has so many rows and over one in HOT_KEYS of all; so at most HOT_KEYS are cut.
+HOT_ROWS, HOT_KEYS = 10_000, 1000
 
 
 def in_order(df: DataFrame, keys: list[Column | str], label: str) -> DataFrame:
@@ -35,6 +37,40 @@ def part_starts(ordered: DataFrame, *group: str) -> DataFrame:
     return spans.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
 
 
+def running(ordered: DataFrame, sums: dict[str, str], *group: str) -> DataFrame:
+    """`ordered` (of `in_order`, groups lying together) with sums over the group's rows ahead of each row.
+
+    `sums` maps a new name to a column. Windows run inside one range and over one row per
+    range of a group.
+    """
+    parts = ordered.groupBy("part", *group).agg(*[F.sum(c).alias(f"{n}_part") for n, c in sums.items()])
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        "part", *group, *[F.coalesce(F.sum(f"{n}_part").over(earlier), F.lit(0)).alias(f"{n}_ahead") for n in sums]
+    )
+    inside = Window.partitionBy("part", *group).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    own = ordered.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{n}_own") for n, c in sums.items()])
+    return own.join(parts, ["part", *group]).select(
+        *ordered.columns, *[(F.col(f"{n}_ahead") + F.col(f"{n}_own")).alias(n) for n in sums]
+    )
+
+
+def split_join(rows: DataFrame, keyed: DataFrame, on: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of `rows` with `keyed`, one row per key, which says in `count` how many rows have the key.
+
+    `total` is the number of rows. Keys of very many rows are cut into parts of about
+    total / HOT_KEYS rows (HOT_ROWS at least); their list has at most HOT_KEYS rows and is
+    broadcast. Other keys are neither repeated nor salted.
+    """
+    most = max(HOT_ROWS, -(-total // HOT_KEYS))
+    parts = F.ceil(F.col(count) / F.lit(most)).cast("int")
+    hot = keyed.filter(F.col(count) > most).select(*on, parts.alias("hot_parts"))
+    spread = keyed.withColumn("hot_part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("hot_parts", F.lit(1))).cast("int")
+    salted = rows.join(F.broadcast(hot), on, "left").select(*rows.columns, dealt.alias("hot_part"))
+    return salted.join(spread, [*on, "hot_part"]).drop("hot_part", count)
+
+
 def running_before(df: DataFrame, group: str, position: str, folds: dict[str, tuple[str, str]]) -> DataFrame:
     """`df` with each fold over the group's rows of smaller `position`; nothing before gives 0.
 

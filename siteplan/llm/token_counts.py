@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,10 @@ from .common import stored
 #: Where the vocabulary lies on every machine, and its published splitting pattern (fixed value).
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of white space (fixed list) from this length on are cut out before the pattern is
+#: applied, which would otherwise go one level deeper per character.
+LONG_RUN = 1000
+_RUNS = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{%d,}" % LONG_RUN)
 #: Lengths per range of the suffix sums.
 RANGE = 1024
 
@@ -28,13 +33,34 @@ def encoder(vocabulary: str = VOCABULARY, pattern: str = PATTERN):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_counter(vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> Callable[[str], int]:
+    """The number of tokens of a text of any length and kind.
+
+    A run of white space is one piece up to the character before the next other one, and
+    that last character begins the text that follows; so a long run is encoded as one piece
+    and the texts around it by themselves, with the same tokens as all at once.
+    """
+    own, whole = encoder(vocabulary, pattern), encoder(vocabulary, r"[\s\S]+")
+
+    def count(text: str) -> int:
+        n, start = 0, 0
+        for run in _RUNS.finditer(text):
+            a, b = run.span()
+            b = b if b == len(text) else b - 1
+            n += len(own.encode_ordinary(text[start:a])) + len(whole.encode_ordinary(text[a:b]))
+            start = b
+        return n + len(own.encode_ordinary(text[start:]))
+
+    return count
+
+
 def encoded_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(doc_id, n_tokens) of every whole text; null and empty texts have no token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary, pattern)
+        count = token_counter(vocabulary, pattern)
         for batch in batches:
-            counts = [len(own.encode_ordinary(t.as_py() or "")) for t in batch.column("text")]
+            counts = [count(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long")
