@@ -42,16 +42,21 @@ def minmax_scale(df: DataFrame, cols: list[str], ranges: DataFrame | None = None
     A column without a range is an error.
     """
     if ranges is None:
-        ranges = minmax_ranges(df, cols)
-    fitted = ranges.where(F.col("column").isin(cols)).agg(
-        F.map_from_entries(F.collect_list(F.struct("column", F.struct("low", "high")))).alias("ranges")
-    )
-    stats = fitted.scalar()
+        fitted = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")) for c in cols]
+        stats = _stats(df, [f.alias(f"r{i}") for i, f in enumerate(fitted)])
+    else:
+        stats = _stats(ranges, [_range_of(c).alias(f"r{i}") for i, c in enumerate(cols)])
     scaled = {}
-    for c in cols:
-        fitted_to = F.try_element_at(stats, F.lit(c))
-        low, high = fitted_to["low"], fitted_to["high"]
-        missing = F.raise_error(F.lit(f"no range for column {c}")).cast("double")
+    for i, c in enumerate(cols):
+        low, high = stats[f"r{i}"]["low"], stats[f"r{i}"]["high"]
         share = F.when(high == low, F.col(c) - low).otherwise((F.col(c) - low) / F.nullif(high - low, F.lit(0.0)))
-        scaled[c] = F.when(fitted_to.isNull(), missing).otherwise(share.cast("double"))
+        scaled[c] = share.cast("double")
     return df.withColumns(scaled)
+
+
+def _range_of(c: str) -> Column:
+    """The stored range of a column, looked up once for the whole table."""
+    own = F.col("column") == c
+    return F.when(F.count_if(own) == 0, F.raise_error(F.lit(f"no range for column {c}"))).otherwise(
+        F.max(F.when(own, F.struct("low", "high")))
+    )
