@@ -1,8 +1,10 @@
 """A small multilayer regressor: numpy on Arrow batches inside the tasks, Spark around it.
 
-Training keeps the feature rows distributed. In every epoch each partition runs mini-batch
-Adam over its own rows from the current weights; Spark averages the resulting weights,
-and only that average, as long as the net has parameters, comes to the driver.
+Training keeps the feature rows distributed. `mlp_descend` takes synchronous steps: Spark
+sums the gradient over all rows of a step, and one optimiser outside the partitions moves
+the weights. `mlp_fit` lets each partition run mini-batch steps of its own and averages the
+weights once an epoch: fewer jobs, but a result that depends on the number of parts. Either
+way only as many numbers as the net has parameters come to the driver.
 """
 
 from __future__ import annotations
@@ -12,8 +14,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteplan.session import scratch_dir
+from siteplan.session import kept, scratch_dir
 
+# Different rows of one training block, about, and the unit in which gradients are summed.
+BLOCK_ROWS = 4096
+UNIT = 2.0**-44
 WEIGHTS = "layer int, i int, j int, value double"  # j = -1 is the bias of output i
 
 
@@ -46,11 +51,14 @@ def forward(x: np.ndarray, layers: list, out: str = "linear") -> list[np.ndarray
     return acts
 
 
-def gradient(x: np.ndarray, y: np.ndarray, vector: np.ndarray, sizes: list[int], out: str = "linear") -> np.ndarray:
-    """Gradient of the mean squared error."""
+def gradient(
+    x: np.ndarray, y: np.ndarray, vector: np.ndarray, sizes: list[int], out: str = "linear", times: np.ndarray | None = None
+) -> np.ndarray:
+    """Gradient of the mean squared error; `times` says how often each row counts."""
     layers = _unpack(vector, sizes)
     acts = forward(x, layers, out)
-    delta = 2.0 * (acts[-1] - y[:, None]) / len(x)
+    share = np.full(len(x), 1.0 / len(x)) if times is None else times / times.sum()
+    delta = 2.0 * (acts[-1] - y[:, None]) * share[:, None]
     if out == "sigmoid":
         delta = delta * acts[-1] * (1.0 - acts[-1])
     grads = []
@@ -114,6 +122,86 @@ def mlp_fit(
     return weights_table(spark, vector, sizes)
 
 
+def training_blocks(df: DataFrame, features: list[str], label: str, batches: int = 1, seed: int = 0) -> DataFrame:
+    """(step, block, x, y, times): the complete rows packed by hash into blocks of about BLOCK_ROWS, and blocks into steps.
+
+    Equal rows become one that counts as often, so no block grows with copies. A block's
+    content and order depend on the rows alone. Written to the scratch folder, by step.
+    """
+    numbers = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    names = [f"x{i}" for i in range(len(features))]
+    rows = df.select(*numbers, F.col(label).cast("double").alias("y")).na.drop()
+    folded = kept(rows.groupBy(*names, "y").agg(F.count("*").alias("times")), "folded")
+    blocks = max(1, -(-folded.count() // BLOCK_ROWS))
+    block = F.pmod(F.xxhash64(*names, "y", F.lit(seed)), F.lit(blocks)).alias("block")
+    packed = folded.groupBy(block).agg(F.array_sort(F.collect_list(F.struct(*names, "y", "times"))).alias("rows"))
+    packed = packed.select(
+        F.pmod("block", F.lit(batches)).cast("int").alias("step"),
+        "block",
+        F.flatten(F.transform("rows", lambda r: F.array(*[r[n] for n in names]))).alias("x"),
+        F.transform("rows", lambda r: r["y"]).alias("y"),
+        F.transform("rows", lambda r: r["times"].cast("double")).alias("times"),
+    )
+    path = scratch_dir(df.sparkSession, "blocks")
+    packed.write.partitionBy("step").parquet(path)
+    return df.sparkSession.read.schema(packed.schema).parquet(path)
+
+
+def step_gradient(blocks: DataFrame, rows: float, vector: np.ndarray, sizes: list[int], out: str = "linear") -> np.ndarray:
+    """Gradient of the mean squared error over all `rows` rows of the blocks.
+
+    A block's share is rounded to whole units before it is summed, so the sum is the same
+    in any order and under any partitioning. Shares beyond 2^17 are held there.
+    """
+
+    def shares(batches, vector=vector):
+        total = np.zeros(len(vector), np.int64)
+        for pdf in batches:
+            for x, y, times in zip(pdf["x"], pdf["y"], pdf["times"]):
+                g = gradient(x.reshape(len(y), -1), y, vector, sizes, out, times) * (times.sum() / rows)
+                total += np.rint(np.clip(g, -(2.0**17), 2.0**17) / UNIT).astype(np.int64)
+        yield pd.DataFrame({"pos": np.arange(len(total)), "units": total})
+
+    parts = blocks.select("x", "y", "times").mapInPandas(shares, "pos int, units long")
+    summed = parts.groupBy("pos").agg(F.sum("units").alias("units")).orderBy("pos").toPandas()
+    return summed["units"].to_numpy() * UNIT
+
+
+def mlp_descend(
+    df: DataFrame,
+    features: list[str],
+    label: str,
+    hidden: tuple[int, ...] = (100, 100),
+    out: str = "linear",
+    lr: float = 0.01,
+    epochs: int = 30,
+    batches: int = 8,
+    seed: int = 0,
+) -> DataFrame:
+    """Weights table (layer, i, j, value) of a net fitted to the complete rows by synchronous Adam steps.
+
+    An epoch takes `batches` steps, each over its share of the row blocks (fewer if there are
+    fewer blocks); the rate falls as 1 / (1 + 0.1 * epoch). One job per step: each sums the
+    gradient where the rows are, and the weights travel with the next. The result depends on
+    the rows alone.
+    """
+    sizes = [len(features), *hidden, 1]
+    blocks = training_blocks(df, features, label, batches, seed)
+    counted = blocks.groupBy("step").agg(F.sum(F.aggregate("times", F.lit(0.0), lambda a, b: a + b)).alias("rows"))
+    rows_of = {r["step"]: r["rows"] for r in counted.collect()}
+    if not rows_of:
+        raise ValueError("no complete rows to train on")
+    vector = initial_vector(sizes, seed)
+    m, s, t = np.zeros_like(vector), np.zeros_like(vector), 0
+    for epoch in range(epochs):
+        for step in sorted(rows_of):
+            g = step_gradient(blocks.where(F.col("step") == step), rows_of[step], vector, sizes, out)
+            t += 1
+            m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
+            vector = vector - lr / (1 + 0.1 * epoch) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
+    return weights_table(df.sparkSession, vector, sizes)
+
+
 def weights_table(spark, vector: np.ndarray, sizes: list[int]) -> DataFrame:
     entries = []
     for layer, (w, b) in enumerate(_unpack(vector, sizes)):

@@ -12,7 +12,7 @@ from siteplan.operators.attach import attach
 from siteplan.operators.clean import fill_zero
 from siteplan.operators.layout import split_train_test
 from siteplan.operators.range_join import BOUNDS, range_join
-from siteplan.operators.regression import fit_place_model, regression_metrics
+from siteplan.operators.regression import fit_normal, fit_place_model, predict, regression_metrics
 from siteplan.operators.scale import normalise_by_max
 from siteplan.schemas import PLACE_FEATURES
 
@@ -48,7 +48,21 @@ def train_place_model(
     features: DataFrame, label: str = "cell_tower_num", test: float = 0.2
 ) -> tuple[PipelineModel, DataFrame]:
     """The fitted pipeline and its measures on the rows held back."""
-    filled = fill_zero(features).withColumn(label, F.col(label).cast("double"))
-    train, held = split_train_test(filled, list(BOUNDS), test)
+    train, held = _train_and_held(features, label, test)
     model = fit_place_model(train, PLACE_FEATURES, label)
     return model, regression_metrics(model.transform(held), label, "prediction")
+
+
+def train_place_regression(
+    features: DataFrame, label: str = "cell_tower_num", test: float = 0.2
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same regression from one pass of sums: its table of coefficients, the held rows with `prediction`, and the measures."""
+    train, held = _train_and_held(features, label, test)
+    model = fit_normal(train, PLACE_FEATURES, label)
+    predicted = predict(held, model)
+    return model, predicted, regression_metrics(predicted, label, "prediction")
+
+
+def _train_and_held(features: DataFrame, label: str, test: float) -> tuple[DataFrame, DataFrame]:
+    filled = fill_zero(features).withColumn(label, F.col(label).cast("double"))
+    return split_train_test(filled, list(BOUNDS), test)

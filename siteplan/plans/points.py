@@ -9,7 +9,7 @@ from siteplan.operators.aggregates import count, total
 from siteplan.operators.attach import attach
 from siteplan.operators.clean import dedup_rows, fill_zero
 from siteplan.operators.layout import chunk_rows, split_train_test
-from siteplan.operators.mlp import mlp_fit, mlp_score
+from siteplan.operators.mlp import mlp_descend, mlp_score
 from siteplan.operators.placement import greedy_place
 from siteplan.operators.radius import inverse_square_score, nearest_and_count, neighbour_percent_rank, radius_features
 from siteplan.operators.regression import regression_metrics
@@ -56,11 +56,11 @@ def rescore_points(points: DataFrame, towers: DataFrame, radius: float = 0.4) ->
 
 
 def train_point_model(table: DataFrame, features: list[str] = POINT_FEATURES, label: str = "score", **options):
-    """(weights, ranges, predictions, measures) of the net trained on 80 % of the points."""
+    """(weights, ranges, predictions, measures) of the net trained by synchronous steps on 80 % of the points."""
     clean = dedup_rows(fill_zero(table.select(*KEY, *features, label)))
     ranges = minmax_ranges(clean, features)
     train, test = split_train_test(minmax_scale(clean, features, ranges), KEY)
-    weights = mlp_fit(train, features, label, **options)
+    weights = mlp_descend(train, features, label, **options)
     predictions = mlp_score(test, features, weights, name="y_pred").withColumnRenamed(label, "y_test")
     return weights, ranges, predictions.select("y_pred", "y_test"), regression_metrics(predictions, "y_test", "y_pred")
 

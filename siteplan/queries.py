@@ -18,19 +18,19 @@ from siteplan.operators.aggregates import count, deviation, mean, merge_partials
 from siteplan.operators.attach import attach
 from siteplan.operators.footprints import geojson_rings, ring_buildings
 from siteplan.operators.grid import fan_out
-from siteplan.operators.mlp import mlp_fit, mlp_score, weights_table
+from siteplan.operators.mlp import initial_vector, mlp_score, step_gradient, training_blocks, weights_table
 from siteplan.operators.placement import argmax_row, greedy_place
 from siteplan.operators.range_join import BOUNDS, range_join, range_join_wkt
 from siteplan.operators.regression import regression_metrics
 from siteplan.plans import inputs
 from siteplan.plans import places as places_plan
 from siteplan.plans import points as points_plan
-from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, POINT_FEATURES, POPULATION, TOWERS, radius_suffix
+from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, PLACE_FEATURES, POINT_FEATURES, POPULATION, TOWERS, radius_suffix
 from siteplan.session import kept, scratch_dir
 from siteplan.raster_fixture import write_rasters
 from siteplan.sources.geotiff import read_raster_tiles
 from siteplan.sources.readers import read_cells_csv, read_csv_folder, read_geojson, read_points_csv
-from siteplan.sources.sinks import load_net, save_net, write_csv, write_table
+from siteplan.sources.sinks import load_model, load_net, save_model, save_net, write_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -803,20 +803,6 @@ def net_store(spark, sf):
     return scored.select("event_id", F.round("score", 9).alias("score"))
 
 
-@query()
-def mlp_train(spark, sf):
-    """Measures, on held-back points, of the net trained on all 22 features of the points."""
-    table_ = kept(points_plan.point_features(view(spark, sf, "points"), *_tables(spark, sf), scale=5), "point-features")
-    return points_plan.train_point_model(table_)[3]
-
-
-@query()
-def ml_place_regression(spark, sf):
-    """Measures, on held-back places, of the regression on the features of the places."""
-    table_ = kept(places_plan.place_features(view(spark, sf, "places"), *_tables(spark, sf), scale=5), "place-features")
-    return places_plan.train_place_model(table_)[1]
-
-
 @query(f"SELECT s.lon, s.lat, s.score, COALESCE(CASE WHEN p.lon > -100 THEN p.lon * 2 END, 0) AS feature FROM ({_INV}) s JOIN points p ON s.lon = p.lon AND s.lat = p.lat")
 def rescore_points(spark, sf):
     table_ = view(spark, sf, "points").withColumns({"score": F.lit(0.5), "feature": F.when(F.col("lon") > -100, F.col("lon") * 2)})
@@ -943,7 +929,7 @@ def _tables(spark, sf) -> list[DataFrame]:
     return [view(spark, sf, n) for n in ("towers", "pop", "elev_clean")] + [clean.clean_buildings(view(spark, sf, "buildings"))]
 
 
-@query(
+_PLACE_FEATURES = (
     f"SELECT e.*, t.cell_tower_num, q.pop_cnt_sum_norm, b.total_building_cnt, b.total_building_area FROM ("
     f"SELECT {B}, {_AREA} AS area, ROUND({_exact('elevation')} / COUNT(elevation), 6) AS avg_elevation, COALESCE(ROUND(STDDEV_SAMP(elevation), 6), 0) AS stddv_elevation FROM places JOIN elev_clean ON {_in('longitude', 'latitude', False)} GROUP BY {B}) e "
     f"JOIN (SELECT {B}, COUNT(t.lon) AS cell_tower_num FROM places LEFT JOIN towers t ON {_in('t.lon', 't.lat')} GROUP BY {B}) t USING ({B}) "
@@ -951,6 +937,9 @@ def _tables(spark, sf) -> list[DataFrame]:
     f"JOIN (SELECT {B}, COUNT(area) AS total_building_cnt, {_exact('area')} AS total_building_area FROM places LEFT JOIN "
     f"(SELECT * FROM buildings WHERE area <> 0 AND area < 500000) k ON {_in('center_longitude', 'center_latitude')} GROUP BY {B}) b USING ({B})"
 )
+
+
+@query(_PLACE_FEATURES)
 def place_features(spark, sf):
     table_ = places_plan.place_features(view(spark, sf, "places"), *_tables(spark, sf), scale=5)
     return table_.withColumns({"area": F.round("area", 4), "avg_elevation": F.round("avg_elevation", 6), "stddv_elevation": F.round("stddv_elevation", 6)})
@@ -999,3 +988,134 @@ def place_sites(spark, sf):
 
 _SITES = oracle(_greedy_sql(_net_sql(_POINT_FEATURES, "score"), 1000, 0.4).strip().replace("WITH RECURSIVE", "WITH", 1))
 ORACLES["place_sites"] = _SITES.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# --- regression and training -------------------------------------------------------------
+
+_LABEL = "cell_tower_num"
+
+
+def _split_sql(rows: str, keys: list[str], test: str, held: str) -> str:
+    """Two named tables: the rows by the hash of their keys, one in five held back."""
+    key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    bucket = f"{_draw(key, 31)} % 1000000"
+    return f"{test} AS MATERIALIZED (SELECT * FROM ({rows}) a WHERE {bucket} >= 200000), {held} AS MATERIALIZED (SELECT * FROM ({rows}) a WHERE {bucket} < 200000)"
+
+
+def _regression_sql() -> str:
+    """Named tables of the regression on the place features: moments, the equations solved by elimination, predictions."""
+    names, n = PLACE_FEATURES, len(PLACE_FEATURES)
+    filled = f"SELECT {B}, " + ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in [*names, _LABEL]) + f" FROM ({_PLACE_FEATURES}) f"
+    z = ", ".join(f"COALESCE((a.{c} - m.m{i}) / NULLIF(m.s{i}, 0), 0) AS z{i}" for i, c in enumerate(names))
+    steps = [
+        _split_sql(filled, list(BOUNDS), "train", "held"),
+        "m AS MATERIALIZED (SELECT " + ", ".join(f"AVG({c}) AS m{i}, STDDEV_SAMP({c}) AS s{i}" for i, c in enumerate(names)) + f", AVG({_LABEL}) AS my FROM train)",
+        f"z AS (SELECT {z}, a.{_LABEL} - m.my AS zy FROM train a, m)",
+        "e0 AS MATERIALIZED (SELECT " + ", ".join([f"AVG(z{i} * z{j}) AS a{i}{j}" for i in range(n) for j in range(n)] + [f"AVG(z{i} * zy) AS a{i}{n}" for i in range(n)]) + " FROM z)",
+    ]
+    for k in range(n):
+        cells = [f"a{k}{j} / a{k}{k} AS a{k}{j}" for j in range(n + 1)]
+        cells += [f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in range(n) if i != k for j in range(n + 1)]
+        steps.append(f"e{k + 1} AS MATERIALIZED (SELECT {', '.join(cells)} FROM e{k})")
+    value = " + ".join(f"e.a{i}{n} * COALESCE((a.{c} - m.m{i}) / NULLIF(m.s{i}, 0), 0)" for i, c in enumerate(names))
+    steps.append(f"predicted AS (SELECT {', '.join('a.' + c for c in BOUNDS)}, a.{_LABEL} AS y, m.my + {value} AS prediction FROM held a, m, e{n} e)")
+    return "WITH " + ", ".join(steps)
+
+
+def _rounded(df, *names):
+    return df.withColumns({c: F.round(c, 6) for c in names})
+
+
+@query(
+    f"{_regression_sql()} SELECT COUNT(*) AS n, ROUND(AVG((y - prediction) ** 2), 6) AS mse, ROUND(SQRT(AVG((y - prediction) ** 2)), 6) AS rmse, "
+    "ROUND(1 - AVG((y - prediction) ** 2) / VAR_POP(y), 6) AS r2 FROM predicted"
+)
+def ml_place_regression(spark, sf):
+    """Measures, on held-back places, of the pipeline fitted on the features of the places."""
+    table_ = kept(QUERIES["place_features"](spark, sf), "place-features")
+    return _rounded(places_plan.train_place_model(table_)[1], "mse", "rmse", "r2")
+
+
+@query(
+    f"{_regression_sql()} SELECT 0 AS position, '(intercept)' AS feature, NULL::DOUBLE AS mean, NULL::DOUBLE AS deviation, ROUND(my, 6) AS coefficient FROM m UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT {i + 1}, '{c}', ROUND(m{i}, 6), ROUND(s{i}, 6), ROUND(a{i}{len(PLACE_FEATURES)}, 6) FROM m, e{len(PLACE_FEATURES)}" for i, c in enumerate(PLACE_FEATURES)
+    )
+)
+def ml_place_coefficients(spark, sf):
+    """The regression's coefficients from one pass of sums."""
+    table_ = kept(QUERIES["place_features"](spark, sf), "place-features")
+    return _rounded(places_plan.train_place_regression(table_)[0], "mean", "deviation", "coefficient")
+
+
+@query(f"{_regression_sql()} SELECT {B}, ROUND(prediction, 6) AS prediction, ROUND(prediction, 6) AS by_sums FROM predicted")
+def ml_model_store(spark, sf):
+    """The pipeline written, read back and applied to the held-back places, beside the regression from sums."""
+    table_, path = kept(QUERIES["place_features"](spark, sf), "place-features"), scratch_dir(spark, "model")
+    save_model(places_plan.train_place_model(table_)[0], path)
+    _, held, _ = places_plan.train_place_regression(table_)
+    by_sums = held.withColumnRenamed("prediction", "by_sums")
+    return _rounded(load_model(spark, path).transform(by_sums).select(*BOUNDS, "prediction", "by_sums"), "prediction", "by_sums")
+
+
+_NET_INPUTS, _NET_HIDDEN, _NET_STEPS = ["building_cnt_40d", "elevRank_40d", "pop_40d_sum"], 2, 3
+
+
+def _training_sql() -> str:
+    """Named tables of the training: scaled rows, and per step the gradient over all rows and the moved weights (v0, v1 …)."""
+    names, n = _NET_INPUTS, len(_NET_INPUTS)
+    filled = ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in [*names, "score"])
+    low = [f"MIN({c}) OVER ()" for c in names]
+    high = [f"MAX({c}) OVER ()" for c in names]
+    scaled = ", ".join(f"CASE WHEN {h} = {lo} THEN {c} - {lo} ELSE ({c} - {lo}) / ({h} - {lo}) END AS x{i}" for i, (c, lo, h) in enumerate(zip(names, low, high)))
+    rows = f"SELECT lon, lat, {scaled}, score AS y FROM (SELECT DISTINCT lon, lat, {filled} FROM ({_POINT_FEATURES}) f) d"
+    start = initial_vector([n, _NET_HIDDEN, 1], 0)
+    size = len(start)
+    steps = [_split_sql(rows, list(LON_LAT), "train", "held")]
+    steps.append("w0 AS MATERIALIZED (SELECT " + ", ".join(f"{float(v)!r}::DOUBLE AS v{i}, 0e0 AS m{i}, 0e0 AS s{i}" for i, v in enumerate(start)) + ")")
+    bias, top = n * _NET_HIDDEN, n * _NET_HIDDEN + _NET_HIDDEN
+    for t in range(1, _NET_STEPS + 1):
+        unit = [" + ".join(f"v{n * u + i} * x{i}" for i in range(n)) + f" + v{bias + u}" for u in range(_NET_HIDDEN)]
+        hidden = ", ".join(f"GREATEST({z}, 0) AS h{u}, CAST(({z}) > 0 AS INT) AS on{u}" for u, z in enumerate(unit))
+        delta = f"2 * ({' + '.join(f'v{top + u} * h{u}' for u in range(_NET_HIDDEN))} + v{size - 1} - y)"
+        slopes = [f"AVG(delta * v{top + u} * on{u} * x{i})" for u in range(_NET_HIDDEN) for i in range(n)]
+        slopes += [f"AVG(delta * v{top + u} * on{u})" for u in range(_NET_HIDDEN)] + [f"AVG(delta * h{u})" for u in range(_NET_HIDDEN)] + ["AVG(delta)"]
+        steps.append(f"g{t} AS MATERIALIZED (SELECT " + ", ".join(f"{g} AS g{i}" for i, g in enumerate(slopes)) + f" FROM (SELECT *, {delta} AS delta FROM (SELECT *, {hidden} FROM train, w{t - 1}) a) b)")
+        rate = 0.01 / (1 + 0.1 * (t - 1))
+        moved = ", ".join(
+            f"v{i} - {rate!r}::DOUBLE * (m{i} / {1 - 0.9**t!r}::DOUBLE) / (SQRT(s{i} / {1 - 0.999**t!r}::DOUBLE) + 1e-8) AS v{i}, m{i}, s{i}" for i in range(size)
+        )
+        eased = ", ".join(f"v{i}, 9e-1 * m{i} + 1e-1 * g{i} AS m{i}, 999e-3 * s{i} + 1e-3 * g{i} * g{i} AS s{i}" for i in range(size))
+        steps.append(f"w{t} AS MATERIALIZED (SELECT {moved} FROM (SELECT {eased} FROM w{t - 1}, g{t}) a)")
+    return "WITH " + ", ".join(steps)
+
+
+def _weight_places() -> list[tuple[int, int, int]]:
+    n, h = len(_NET_INPUTS), _NET_HIDDEN
+    first = [(0, u, i) for u in range(h) for i in range(n)] + [(0, u, -1) for u in range(h)]
+    return first + [(1, 0, u) for u in range(h)] + [(1, 0, -1)]
+
+
+@query(
+    f"{_training_sql()} "
+    + " UNION ALL ".join(f"SELECT {layer} AS layer, {i} AS i, {j} AS j, ROUND(v{k}, 6) AS value FROM w{_NET_STEPS}" for k, (layer, i, j) in enumerate(_weight_places()))
+)
+def mlp_train(spark, sf):
+    """The weights of a net after three synchronous steps over the training points."""
+    table_ = kept(QUERIES["point_features"](spark, sf), "point-features")
+    options = {"hidden": (_NET_HIDDEN,), "epochs": _NET_STEPS, "batches": 1}
+    return points_plan.train_point_model(table_, _NET_INPUTS, **options)[0].withColumn("value", F.round("value", 6))
+
+
+@query(
+    f"{_training_sql()} " + " UNION ALL ".join(f"SELECT {i} AS position, ROUND(g{i}, 9) AS slope FROM g1" for i in range(len(_weight_places())))
+)
+def mlp_gradient(spark, sf):
+    """The first step's gradient over all training points."""
+    rows = kept(QUERIES["point_features"](spark, sf), "point-features")
+    rows = clean.dedup_rows(clean.fill_zero(rows.select(*LON_LAT, *_NET_INPUTS, "score")))
+    train, _ = layout.split_train_test(scale.minmax_scale(rows, _NET_INPUTS), list(LON_LAT))
+    sizes = [len(_NET_INPUTS), _NET_HIDDEN, 1]
+    found = step_gradient(training_blocks(train, _NET_INPUTS, "score"), train.count(), initial_vector(sizes, 0), sizes)
+    slopes = spark.createDataFrame([(i, float(g)) for i, g in enumerate(found)], "position int, slope double")
+    return slopes.withColumn("slope", F.round("slope", 9))
