@@ -3,32 +3,91 @@
 A rectangle is split into inner grid cells, which lie wholly inside it and are answered
 from pre-aggregated blocks of cells, and border cells, whose points are tested one by
 one. Cell indexes are monotone in the coordinate, so an inner cell can hold no point on
-or outside a bound: the result is exact for strict and for inclusive bounds.
+or outside a bound: the result is exact for strict and for inclusive bounds. By default
+the cells follow the points: both axes are cut at their quantiles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteplan.functions.geo import rect_to_wkt
 from siteplan.operators.aggregates import Agg, Partials
 from siteplan.operators.attach import attach
-from siteplan.operators.grid import HOT_PAIRS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located, with_cells
+from siteplan.operators.grid import HOT_PAIRS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located
 from siteplan.session import kept
 
 BOUNDS = ("lon1", "lat1", "lon2", "lat2")
 # Block levels of a narrow map; a wider one gets one more per doubling.
 LEVELS = 4
-# Cells are numbered up to here on both sides of zero, so that outlines stay short where a few
-# points lie far out. Those share the outermost cells and are tested one by one: none is lost.
+# With a fixed cell side, cells are numbered up to here on both sides of zero, so that outlines
+# stay short where a few points lie far out. Those share the outermost cells and are tested one
+# by one: none is lost.
 FAR_CELL = 2**16
+# Where both axes are cut: at quarters of the points, and near the ends, so that a few points
+# far out widen no cell of the others. More cuts would cost more per point than they save.
+SHARES = (0.001, 0.25, 0.5, 0.75, 0.999)
+# Points of a cell, about, and the most cells between two cuts.
+CELL_POINTS, MOST_PER_CUT = 16, 256
+
+
+@dataclass(frozen=True)
+class Grid:
+    """Cells of a plane: `per` equal ones between neighbouring cuts of an axis, one beyond either end."""
+
+    x: tuple[float, ...]
+    y: tuple[float, ...]
+    per: int
+
+    def index(self, axis: int, c: Column) -> Column:
+        """The cell of a coordinate; monotone, as cuts ascend and each piece is filled up to its own last cell.
+
+        The piece is found first and bound, so that the cell's formula stands in the plan once.
+        """
+        cuts = self.y if axis else self.x
+        if not cuts:
+            return F.lit(0).cast("long")
+        piece = F.when(c < F.lit(cuts[0]), -1)
+        for k, high in enumerate(cuts[1:]):
+            piece = piece.when(c < F.lit(high), k)
+        last = len(cuts) - 1
+        halves = [(low / 2, high / 2) for low, high in zip(cuts, cuts[1:])] or [(0.0, 1.0)]  # no width overflows
+        lows = F.array(*[F.lit(low) for low, _ in halves])
+        cells = F.array(*[F.lit(self.per / max(high - low, 5e-324)) for low, high in halves])
+
+        def cell(k: Column) -> Column:
+            own = F.least(F.floor((c / 2 - F.get(lows, k)) * F.get(cells, k)), F.lit(self.per - 1))
+            return F.when(k < 0, F.lit(-1)).when(k >= last, F.lit(last * self.per)).otherwise(k * self.per + own)
+
+        return F.get(F.transform(F.array(piece.otherwise(last)), cell), 0).cast("long")
+
 
+def data_grid(pts: DataFrame, xy: tuple[str, str]) -> Grid:
+    """A grid that follows the points: cuts at their quantiles, found by a sketch in one pass."""
+    finite = [F.when(F.abs(c) < F.lit(float("inf")), c.cast("double")) for c in map(F.col, xy)]
+    sketches = [F.percentile_approx(c, list(SHARES), 1000).alias(n) for c, n in zip(finite, "xy")]
+    found = located(pts, *xy).agg(F.count("*").alias("n"), *sketches).first()
+    cuts = [tuple(sorted(set(found[n] or ()))) for n in "xy"]
+    per = min(MOST_PER_CUT, max(1, round(math.sqrt(found["n"] / CELL_POINTS) / (len(SHARES) - 1))))
+    return Grid(*cuts, per)
 
-def cell_partials(pts: DataFrame, xy: tuple[str, str], aggs: dict[str, Agg], cell: float) -> DataFrame:
+
+def _index(cell: float | Grid, axis: int, c: Column) -> Column:
+    return cell.index(axis, c) if isinstance(cell, Grid) else cell_index(c, cell, FAR_CELL)
+
+
+def _placed(pts: DataFrame, xy: tuple[str, str], cell: float | Grid) -> DataFrame:
+    return located(pts, *xy).withColumns({"gx": _index(cell, 0, F.col(xy[0])), "gy": _index(cell, 1, F.col(xy[1]))})
+
+
+def cell_partials(pts: DataFrame, xy: tuple[str, str], aggs: dict[str, Agg], cell: float | Grid) -> DataFrame:
     """One row of partials per occupied grid cell; write it out to reuse it over several joins."""
     parts = Partials(aggs)
-    cells = with_cells(located(pts, *xy), *xy, cell, edge=FAR_CELL).select("gx", "gy", *parts.of_rows(pts))
+    cells = _placed(pts, xy, cell).select("gx", "gy", *parts.of_rows(pts))
     return cells.groupBy("gx", "gy").agg(*parts.merged(), F.count("*").alias("n_rows"))
 
 
@@ -45,6 +104,26 @@ def _border_cells(rects: DataFrame) -> DataFrame:
     return sides.unionByName(caps)
 
 
+def _outlines(rects: DataFrame, bounds: tuple[str, str, str, str], cell: float | Grid, edges: tuple[int, ...]) -> DataFrame:
+    """Distinct rectangles with the cells of their corners, none farther out than one beyond the occupied `edges`."""
+    x1, y1, x2, y2 = bounds
+    low_x, high_x, low_y, high_y = edges
+    shapes = (
+        located(located(rects.select(*bounds), x1, y1), x2, y2)
+        .where((F.col(x1) <= F.col(x2)) & (F.col(y1) <= F.col(y2)))
+        .distinct()
+        .repartition(fan_out(rects), *bounds)
+    )
+    shapes = shapes.select(
+        *bounds,
+        F.greatest(_index(cell, 0, F.col(x1)), F.lit(low_x - 1)).alias("gx1"),
+        F.greatest(_index(cell, 1, F.col(y1)), F.lit(low_y - 1)).alias("gy1"),
+        F.least(_index(cell, 0, F.col(x2)), F.lit(high_x + 1)).alias("gx2"),
+        F.least(_index(cell, 1, F.col(y2)), F.lit(high_y + 1)).alias("gy2"),
+    )
+    return shapes.where((F.col("gx1") <= F.col("gx2")) & (F.col("gy1") <= F.col("gy2")))
+
+
 def range_join(
     rects: DataFrame,
     pts: DataFrame,
@@ -52,7 +131,7 @@ def range_join(
     aggs: dict[str, Agg],
     strict: bool = True,
     how: str = "left",
-    cell: float = 0.2,
+    cell: float | Grid | None = None,
     bounds: tuple[str, str, str, str] = BOUNDS,
     cells: DataFrame | None = None,
     hot_pairs: int = HOT_PAIRS,
@@ -60,32 +139,24 @@ def range_join(
     """`rects` with the aggregates of the points inside each rectangle.
 
     `how="left"` keeps rectangles without points (counts 0, other aggregates NULL),
-    `how="inner"` drops them. `cell` sets the trade: smaller cells leave fewer points to
-    test but give each rectangle more border cells (about perimeter / cell).
+    `how="inner"` drops them. The grid follows the points (`data_grid`, one more pass over
+    the positions) unless `cell` gives one, or the side of square cells: smaller cells leave
+    fewer points to test but give each rectangle more border cells (about perimeter / side).
     A bound may lie anywhere, at infinity too: cells are listed only where points are.
     The cells are written to the scratch folder when called, unless given.
-    `cells` takes a stored `cell_partials` table of the same points, aggregates and cell.
+    `cells` takes a stored `cell_partials` table of the same points, aggregates and `cell`.
     """
+    if cell is None:
+        if cells is not None:
+            raise ValueError("stored cells need the grid they were made with")
+        cell = data_grid(pts, xy)
     x, y = xy
     parts = Partials(aggs)
     x1, y1, x2, y2 = bounds
-    shapes = (
-        located(located(rects.select(*bounds), x1, y1), x2, y2)
-        .where((F.col(x1) <= F.col(x2)) & (F.col(y1) <= F.col(y2)))
-        .distinct()
-        .repartition(fan_out(rects), *bounds)
-    )
     cells = kept(cell_partials(pts, xy, aggs, cell), "cells") if cells is None else cells
-    low_x, high_x, low_y, high_y = cells.agg(*[f(g) for g in ("gx", "gy") for f in (F.min, F.max)]).first()
-    shapes = shapes.select(
-        *bounds,
-        F.greatest(cell_index(x1, cell, FAR_CELL), F.lit((low_x or 0) - 1)).alias("gx1"),
-        F.greatest(cell_index(y1, cell, FAR_CELL), F.lit((low_y or 0) - 1)).alias("gy1"),
-        F.least(cell_index(x2, cell, FAR_CELL), F.lit((high_x or 0) + 1)).alias("gx2"),
-        F.least(cell_index(y2, cell, FAR_CELL), F.lit((high_y or 0) + 1)).alias("gy2"),
-    )
-    shapes = shapes.where((F.col("gx1") <= F.col("gx2")) & (F.col("gy1") <= F.col("gy2")))
-    span = max((high_x or 0) - (low_x or 0), (high_y or 0) - (low_y or 0))
+    edges = tuple(edge or 0 for edge in cells.agg(*[f(g) for g in ("gx", "gy") for f in (F.min, F.max)]).first())
+    shapes = kept(_outlines(rects, bounds, cell, edges), "outlines")  # read for the inside and for the border
+    span = max(edges[1] - edges[0], edges[3] - edges[2])
     levels = max(LEVELS, span.bit_length() - 4)
     blocks = cell_blocks(cells, levels, parts.merged())
     inner = (
@@ -103,7 +174,7 @@ def range_join(
         .select(*bounds, *parts.names)
     )
 
-    rows = with_cells(located(pts, x, y), x, y, cell, edge=FAR_CELL).select(
+    rows = _placed(pts, xy, cell).select(
         "gx", "gy", F.col(x).alias("pt_x"), F.col(y).alias("pt_y"), *parts.of_rows(pts)
     )
     px, py = F.col("pt_x"), F.col("pt_y")

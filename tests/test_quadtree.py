@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siteplan.operators import quadtree
 from siteplan.operators.aggregates import count, highest, lowest, total
 from siteplan.operators.radius import nearest, nearest_and_count, neighbour_percent_rank, radius_features
+from siteplan.operators.range_join import BOUNDS, _border_cells, _outlines, cell_partials, data_grid, range_join
 
 RADII = (0.05, 0.3, 1.0)
 
@@ -103,3 +104,46 @@ def test_towers_are_read_once_for_count_and_distance(spark, tmp_path):
     others = [line for line in scans if "gx" not in line]
     assert len(others) == 1
     assert out.count() == 2
+
+
+# --- grids of the range join -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_rectangles_in_metres_test_few_points(spark, strict):
+    """Default arguments, coordinates far from zero and in clusters: few points are tested one by one."""
+    draw = random.Random(6)
+    towns = [(500_000 + draw.uniform(-2e5, 2e5), 4_100_000 + draw.uniform(-3e5, 3e5)) for _ in range(12)]
+    spots = [(x + draw.gauss(0, 4e3), y + draw.gauss(0, 4e3)) for x, y in (draw.choice(towns) for _ in range(30_000))]
+    spots += [(9e9, 1.0), (1.0, -9e9), (float("inf"), 0.0), (None, 2.0)]
+    shapes = []
+    for _ in range(60):
+        x, y = draw.choice(towns)
+        a, b = x - draw.uniform(0, 3e4), y - draw.uniform(0, 3e4)
+        shapes.append((a, b, a + draw.uniform(1e3, 8e4), b + draw.uniform(1e3, 8e4)))
+    shapes += [(spots[0][0], spots[0][1], spots[1][0], spots[1][1]), (spots[5][0], spots[5][1], spots[5][0], spots[5][1])]
+    rects = spark.createDataFrame(shapes, list(BOUNDS))
+    pts = spark.createDataFrame(spots, "lon double, lat double").repartition(6)
+    inside = (lambda a, lo, hi: lo < a < hi) if strict else (lambda a, lo, hi: lo <= a <= hi)
+    hits = {}
+    for row in range_join(rects, pts, ("lon", "lat"), {"n": count("lon")}, strict=strict).collect():
+        want = sum(x is not None and inside(x, row[0], row[2]) and inside(y, row[1], row[3]) for x, y in spots)
+        assert row["n"] == want
+        hits[tuple(row[:4])] = want
+    grid = data_grid(pts, ("lon", "lat"))
+    cells = cell_partials(pts, ("lon", "lat"), {"n": count()}, grid).cache()
+    edges = tuple(cells.agg(F.min("gx"), F.max("gx"), F.min("gy"), F.max("gy")).first())
+    outline = _border_cells(_outlines(rects, BOUNDS, grid, edges)).join(cells, ["gx", "gy"])
+    # of all points for all rectangles, which are tested when the points share one cell
+    share = outline.agg(F.sum("n_rows")).first()[0] / (len(shapes) * len(spots))
+    assert share < 0.1, share
+
+
+def test_grid_index_is_monotone(spark):
+    values = sorted([0.0, -0.0, 1e-300, 5.0, 5.0, 5.0000001, 7.5, 1e308, -1e308, 3.3] + [random.Random(2).gauss(0, 1) for _ in range(500)])
+    frame = spark.createDataFrame([(v, v) for v in values], "x double, y double")
+    grid = data_grid(frame, ("x", "y"))
+    rows = frame.select("x", grid.index(0, F.col("x")).alias("g")).orderBy("x").collect()
+    assert [r["g"] for r in rows] == sorted(r["g"] for r in rows) and len({r["g"] for r in rows}) > 4
+    empty = data_grid(frame.limit(0), ("x", "y"))
+    assert frame.select(empty.index(1, F.col("y"))).distinct().count() == 1
