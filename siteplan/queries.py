@@ -627,20 +627,25 @@ def write_batches(spark, sf):
     return back.select(*BUILDINGS.names, (F.floor("area").cast("long") % 8).cast("string").alias("batch"))
 
 
-# 60 × 20 pixel grids over one-degree files; a pixel without orders is NaN
-_GRID = "SELECT fx, fy, c, r, MAX(v) AS v FROM (SELECT CAST(-125 + o_orderkey % 7 AS BIGINT) AS fx, CAST(33 + o_orderkey % 3 AS BIGINT) AS fy, CAST((o_orderkey * 31) % 60 AS BIGINT) AS c, CAST((o_custkey * 17) % 20 AS BIGINT) AS r, CAST(o_custkey AS DOUBLE) AS v FROM orders) g GROUP BY fx, fy, c, r"
+# 60 × 20 pixel grids over one-degree files: a pixel per order key and a file per 1,200 keys,
+# so both grow with orders; a pixel without an order is NaN
+_GRID = (
+    "SELECT fx, fy, c, r, MAX(v) AS v FROM (SELECT CAST(-125 + o_orderkey // 1200 % 60 AS BIGINT) AS fx, "
+    "CAST(33 + o_orderkey // 72000 AS BIGINT) AS fy, CAST(o_orderkey * 31 % 60 AS BIGINT) AS c, "
+    "CAST(o_orderkey % 1200 // 60 AS BIGINT) AS r, CAST(o_custkey AS DOUBLE) AS v FROM orders) g GROUP BY fx, fy, c, r"
+)
 
 
 def _tif_files(spark: SparkSession, sf: str, deflate: bool, bands: int = 1) -> str:
-    """A folder of raster files made from orders: one 60 × 20 file per square degree."""
+    """A folder of raster files made from orders: one 60 × 20 file per square degree and 1,200 order keys."""
     k = F.col("o_orderkey")
     pixels = (
         table(spark, sf, "orders")
         .select(
-            (k % 7 - 125).cast("long").alias("fx"),
-            (k % 3 + 33).cast("long").alias("fy"),
+            F.expr("o_orderkey div 1200 % 60 - 125").cast("long").alias("fx"),
+            F.expr("o_orderkey div 72000 + 33").cast("long").alias("fy"),
             ((k * 31) % 60).cast("int").alias("c"),
-            ((F.col("o_custkey") * 17) % 20).cast("int").alias("r"),
+            F.expr("o_orderkey % 1200 div 60").cast("int").alias("r"),
             F.col("o_custkey").cast("double").alias("v"),
         )
         .groupBy("fx", "fy", "c", "r")

@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from siteplan.functions.geo import rect_area, rect_to_wkt, ring_area_3395, ring_centroid, wkt_to_rect
 from siteplan.functions.scoring import inverse_square, point_score
@@ -231,3 +232,29 @@ def test_chunks_and_split(spark):
     assert [c for _, _, c in sorted((r["v"], r["id"], r["chunk"]) for r in chunks)] == [i // 2000 for i in range(len(want))]
     train, test = split_train_test(df, ["id"])
     assert train.count() + test.count() == 5000 and train.join(test, "id").isEmpty()
+
+
+def test_csv_folder_of_many_files(spark, tmp_path):
+    """A thousand files with two headers: the driver meets two header lines, not a thousand paths."""
+    for i in range(1000):
+        text = f"lon,lat,name\n{i}.5,1,a{i}\n" if i % 2 else f"name,lon\n\nb{i},{i}\n"
+        (tmp_path / f"{i}.csv").write_text(("﻿" if i == 1 else "") + text)
+    frame = read_csv_folder(spark, str(tmp_path))
+    assert dict(frame.dtypes) == {"lon": "double", "lat": "int", "name": "string"}
+    rows = {r["name"]: (r["lon"], r["lat"]) for r in frame.collect()}
+    assert len(rows) == 1000 and rows["a7"] == (7.5, 1) and rows["b8"] == (8.0, None)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(".csv") <= 2
+
+
+def test_csv_folder_types_and_schema(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('day,big,yes,odd name,text\n2024-01-02,5000000000,true,1,"x, y"\n,,,,\n')
+    (tmp_path / "b.csv").write_text("big,text\n1,7\n")
+    frame = read_csv_folder(spark, str(tmp_path))
+    assert dict(frame.dtypes) == {"day": "date", "big": "bigint", "yes": "boolean", "odd name": "int", "text": "string"}
+    assert sorted(str(r["text"]) for r in frame.collect()) == ["7", "None", "x, y"]
+    given = read_csv_folder(spark, str(tmp_path), StructType([StructField("big", DoubleType()), StructField("day", StringType())]))
+    assert sorted(given.columns) == ["big", "day"] and given.agg(F.sum("big")).first()[0] == 5000000001.0
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="no CSV file"):
+        read_csv_folder(spark, str(tmp_path / "empty"))
