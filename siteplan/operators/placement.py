@@ -8,7 +8,9 @@ same outcome as picking one by one. Each round:
 1. every tile keeps its best TOP rows; the next best row stands for all rows left out,
 2. each tile, seeing its neighbours' rows in reach, picks as long as some row of its own
    beats all rows in reach and all left-out rows around it,
-3. the new picks lower the stored scores of all points within the radius.
+3. the new picks lower the scores of all points within the radius. Only the tiles they
+   reach are written again, as the change table of the round; all others stay where they
+   were last written.
 
 Once n picks are known, points that cannot reach the n-th one are dropped; the rounds end
 when none is left.
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,7 +100,7 @@ def greedy_place(
 
     Equal scores go by the `order` columns. A site may be picked again once its score, one
     lower after each pick, is the highest once more. State is kept in the shared scratch
-    folder, one table per round, so a lost executor costs no more than the current round.
+    folder, a change table per round, so a lost executor costs no more than the current round.
     """
     spark = df.sparkSession
     base = scratch_dir(spark, "placement")
@@ -107,45 +109,51 @@ def greedy_place(
     side = TILE_RADII * radius
     keys = [f"o{i}" for i in range(len(order))]
     start = located(df, x, y).where(F.col(score).isNotNull() & ~F.isnan(score))
-    start.select(
+    first = start.select(
         *[F.col(c).alias(o) for c, o in zip(order, keys)],
         F.monotonically_increasing_id().alias("id"),
         F.col(x).cast("double").alias("x"),
         F.col(y).cast("double").alias("y"),
         F.col(score).cast("double").alias("score"),
-    ).write.parquet(f"{base}/state-0")
-    schema = spark.read.parquet(f"{base}/state-0").schema
-    pick_schema = T.StructType([schema[c] for c in [*keys, "id", "x", "y", "score"]])
+    )
+    state = _State(spark, f"{base}/state", first.schema, side)
+    state.restart(first)
+    pick_schema = first.schema
     picks_at: list[str] = []
     sequence = [(-F.col("score")).alias("neg"), *keys, "id"]
     neg = ["neg", *keys, "id"]
+    bound = None
 
     def best_picks(paths: list[str]) -> DataFrame:
         known = spark.read.schema(pick_schema).parquet(*paths)
         return known.withColumn("neg", -F.col("score")).orderBy(*neg).limit(n)
 
+    def within(rows: DataFrame) -> DataFrame:
+        """Rows that can still be among the n picks."""
+        if bound is None:
+            return rows
+        reach = rows.where(F.col("score") >= F.lit(-bound["neg"]))  # one the scan can push down
+        return reach.withColumn("neg", -F.col("score")).where(_before(neg, bound)).drop("neg")
+
     step = 0
     while True:
-        state = spark.read.schema(schema).parquet(f"{base}/state-{step}")
+        live = within(state.read())
         new_at = f"{base}/picks-{step}"
-        _round_picks(state, keys, radius, k, side, SHIFTS[step % len(SHIFTS)], top, pick_schema).write.parquet(new_at)
+        _round_picks(live, keys, radius, k, side, SHIFTS[step % len(SHIFTS)], top, pick_schema).write.parquet(new_at)
         new = spark.read.schema(pick_schema).parquet(new_at)
         picks_at.append(new_at)
         # one row to the driver: how many picks are known and where the n-th stands
         last = best_picks(picks_at).agg(F.count("*").alias("n"), F.max(F.struct(*neg)).alias("last")).first()
         if last["n"] == 0:
             break
-        live = state
         fresh = new.withColumn("neg", -F.col("score"))
         if last["n"] >= n:
             bound = last["last"]
             fresh = fresh.where(_before(neg, bound) | F.col("id").eqNullSafe(F.lit(bound["id"])))
-        live = _apply(live, fresh, radius, k, side, neg)
-        if last["n"] >= n:
-            live = live.withColumn("neg", -F.col("score")).where(_before(neg, bound)).drop("neg")
+        reached = _reached(fresh, radius, side, neg)
+        state.change(within, reached.select("gx", "gy"), lambda rows: _apply(rows, reached, radius, k))
         step += 1
-        live.write.parquet(f"{base}/state-{step}")
-        if spark.read.schema(schema).parquet(f"{base}/state-{step}").isEmpty():
+        if within(state.read()).isEmpty():
             break
 
     result = best_picks(picks_at)
@@ -154,6 +162,55 @@ def greedy_place(
     return numbered.select("pick", F.col("x").alias(x), F.col("y").alias(y), F.col("score").alias(score))
 
 
+class _State:
+    """The points by tile. A tile's rows are those of the last step that wrote it."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, side: float):
+        self.spark, self.path, self.columns, self.side = spark, path, schema.names, side
+        self.schema = T.StructType([*schema, T.StructField("gx", T.LongType()), T.StructField("gy", T.LongType())])
+        self.base, self.step, self.rows, self.changed = 0, -1, 0, 0
+
+    def _write(self, rows: DataFrame) -> int:
+        self.step += 1
+        at = f"{self.path}/step={self.step}"
+        rows.select(*self.columns, F.col("gx").cast("long"), F.col("gy").cast("long")).write.parquet(at)
+        return self.spark.read.schema(self.schema).parquet(at).count()
+
+    def restart(self, rows: DataFrame) -> None:
+        """Write all rows as the table that later changes refer to."""
+        self.rows = self._write(rows.withColumns({"gx": cell_index("x", self.side), "gy": cell_index("y", self.side)}))
+        self.base, self.changed = self.step, 0
+
+    def read(self) -> DataFrame:
+        """The rows as they are now, with their tile."""
+        every = T.StructType([*self.schema, T.StructField("step", T.IntegerType())])
+        rows = self.spark.read.schema(every).parquet(self.path).where(F.col("step") >= self.base)
+        if self.step == self.base:
+            return rows.drop("step")
+        # one row per tile written since; tables of the tiles themselves, so no data is read for it
+        last = self.spark.read.schema("gx long, gy long, step int").parquet(f"{self.path}-tiles").where(F.col("step") > self.base)
+        last = last.groupBy("gx", "gy").agg(F.max("step").alias("last"))
+        rows = rows.join(last, ["gx", "gy"], "left")
+        return rows.where(F.col("step") == F.coalesce("last", F.lit(self.base))).drop("step", "last")
+
+    def change(self, keep, tiles: DataFrame, lower) -> None:
+        """Write the rows of `tiles` as `lower` makes them, less those that `keep` leaves out.
+
+        Once the change tables hold more rows than the base, all is written as a new base:
+        what is read in a round stays within twice the rows, what is written within twice
+        the changes.
+        """
+        now = self.read()
+        if self.changed > self.rows:
+            rest = now.join(tiles, ["gx", "gy"], "left_anti")
+            self.rows = self._write(keep(rest.unionByName(lower(now))))
+            self.base, self.changed = self.step, 0
+        else:
+            # a tile all of whose rows fall out must be known as written, too
+            tiles.write.parquet(f"{self.path}-tiles/step={self.step + 1}")
+            self.changed += self._write(keep(lower(now)))
+
+
 def _round_picks(
     state: DataFrame,
     keys: list[str],
@@ -192,25 +249,25 @@ def _round_picks(
     return picks
 
 
-def _apply(
-    live: DataFrame, picks: DataFrame, radius: float, k: float, side: float, neg: list[str]
-) -> DataFrame:
-    """Live points after the penalties of the picks, taken off in pick order."""
+def _reached(picks: DataFrame, radius: float, side: float, neg: list[str]) -> DataFrame:
+    """The tiles in reach of picks, each with its picks in pick order."""
     margin = radius * 1e-9 + 1e-12
     reach = F.lit(radius + margin)
-    per_tile = (
+    return (
         picks.withColumn("gx", F.explode(F.sequence(cell_index(F.col("x") - reach, side), cell_index(F.col("x") + reach, side))))
         .withColumn("gy", F.explode(F.sequence(cell_index(F.col("y") - reach, side), cell_index(F.col("y") + reach, side))))
         .groupBy("gx", "gy")
         # bounded: the tiles around made at most PICKS_PER_ROUND picks each
         .agg(F.array_sort(F.collect_list(F.struct(*neg, F.col("x").alias("px"), F.col("y").alias("py")))).alias("near"))
     )
-    live = live.withColumns({"gx": cell_index("x", side), "gy": cell_index("y", side)})
-    joined = live.join(per_tile, ["gx", "gy"], "left")
+
+
+def _apply(live: DataFrame, reached: DataFrame, radius: float, k: float) -> DataFrame:
+    """The points of the tiles that picks reach, after their penalties, taken off in pick order."""
+    joined = live.join(reached, ["gx", "gy"])
 
     def lower(s: Column, p: Column) -> Column:
         d = dist("x", "y", p["px"], p["py"])
         return F.when(d < radius, s - decay_penalty(d, k)).otherwise(s)
 
-    score = F.when(F.col("near").isNull(), F.col("score")).otherwise(F.aggregate("near", F.col("score"), lower))
-    return joined.withColumn("score", score).drop("gx", "gy", "near")
+    return joined.withColumn("score", F.aggregate("near", F.col("score"), lower)).drop("near")

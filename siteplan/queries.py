@@ -28,7 +28,7 @@ from siteplan.plans import points as points_plan
 from siteplan.schemas import BUILDING_RADII, BUILDINGS, CELLS_RAW, FEATURE_RADII, PLACE_FEATURES, POINT_FEATURES, POPULATION, TOWERS, radius_suffix
 from siteplan.session import kept, scratch_dir
 from siteplan.raster_fixture import write_rasters
-from siteplan.sources.geotiff import read_raster_tiles
+from siteplan.sources.geotiff import read_raster_bands, read_raster_tiles
 from siteplan.sources.readers import read_cells_csv, read_csv_folder, read_geojson, read_points_csv
 from siteplan.sources.sinks import load_model, load_net, save_model, save_net, write_csv, write_table
 
@@ -704,14 +704,10 @@ def raster_to_points_corner(spark, sf):
 
 @query(f"SELECT {_UPPER_LEFT}, v AS elevation, -1 - v AS second FROM ({_GRID}) g")
 def src_raster_multi(spark, sf):
-    path = _tif_files(spark, sf, True, bands=2)
-    first, second = [
-        clean.clean_elevation(
-            raster.tiles_to_points(read_raster_tiles(spark, path, band=b), anchor="corner", width=1.0, names=_ELEV_NAMES)
-        ).withColumns({c: F.round(c, 6) for c in PIXEL})
-        for b in (0, 1)
-    ]
-    return first.join(second.withColumnRenamed("elevation", "second"), [*PIXEL])
+    tiles = read_raster_bands(spark, _tif_files(spark, sf, True, bands=2), (0, 1))
+    names = (*_ELEV_NAMES, "second")
+    pixels = raster.tiles_to_points(tiles, anchor="corner", width=1.0, names=names, bands=("band0", "band1"))
+    return clean.clean_elevation(pixels).withColumns({c: F.round(c, 6) for c in PIXEL})
 
 
 @query(f"SELECT {_UPPER_LEFT}, v AS elevation FROM ({_GRID}) g WHERE r % 5 = 0 AND c % 5 = 0")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siteplan.schemas import TILES
 
@@ -32,22 +33,17 @@ SAMPLES = {
 PLAIN, DEFLATE = 1, (8, 32946)
 
 _SEGMENTS = (
-    "path string, offset long, nbytes long, row0 long, col0 long, rows int, cols int, seg_cols int, samples int, "
+    "path string, offset array<long>, nbytes array<long>, row0 long, col0 long, rows int, cols int, seg_cols int, samples int, "
     "dtype string, deflate boolean, predictor int, file_xmin double, file_ymin double, file_xmax double, "
-    "file_ymax double, file_cols long, file_rows long, nodata double, band int"
+    "file_ymax double, file_cols long, file_rows long, nodata double, band array<int>"
 )
 
 
-_TILE_ARROW = pa.schema(
-    [
-        ("source", pa.string()), ("row0", pa.int64()), ("col0", pa.int64()),
-        ("xmin", pa.float64()), ("ymin", pa.float64()), ("xmax", pa.float64()), ("ymax", pa.float64()),
-        ("cols", pa.int32()), ("rows", pa.int32()), ("step", pa.int32()),
-        ("file_xmin", pa.float64()), ("file_ymin", pa.float64()), ("file_xmax", pa.float64()), ("file_ymax", pa.float64()),
-        ("file_cols", pa.int64()), ("file_rows", pa.int64()), ("nodata", pa.float64()),
-        ("band0", pa.list_(pa.field("element", pa.float64()))),
-    ]
-)
+def _tile_arrow(outs: tuple[str, ...]) -> pa.Schema:
+    """The columns of TILES with one list of pixels per name in `outs`."""
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    fixed = [(f.name, kinds[f.dataType.simpleString()]) for f in TILES if f.name != "band0"]
+    return pa.schema([*fixed, *[(o, pa.list_(pa.field("element", pa.float64()))) for o in outs]])
 
 
 def _open(path: str):
@@ -79,8 +75,10 @@ def _tags(file) -> tuple[str, dict]:
     return order, tags
 
 
-def _segments(path: str, band: int = 0) -> list[tuple]:
-    """One tuple per strip or tile that holds the band."""
+def _segments(path: str, wanted_bands: tuple[int, ...] = (0,)) -> list[tuple]:
+    """One tuple per strip or tile: its byte ranges and, per wanted band, the sample in them.
+
+    Interleaved bands share one range; separate planes have a range per band."""
     with _open(path) as file:
         order, tags = _tags(file)
     cols, rows = tags[256][0], tags[257][0]
@@ -100,17 +98,19 @@ def _segments(path: str, band: int = 0) -> list[tuple]:
         w, h, offsets, sizes = cols, min(tags.get(278, (rows,))[0], rows), tags[273], tags[279]
     across, down = -(-cols // w), -(-rows // h)
     samples = bands if planar == 1 else 1
-    if band >= bands:
+    if max(wanted_bands) >= bands:
         raise ValueError(f"{path} has {bands} bands")
-    skip = 0 if planar == 1 else band * across * down  # separate planes follow each other
+    # separate planes follow each other
+    planes = [0] if planar == 1 else [b * across * down for b in wanted_bands]
+    inside = list(wanted_bands) if planar == 1 else [0] * len(wanted_bands)
     out = []
     for i in range(across * down):
         row0, col0 = (i // across) * h, (i % across) * w
         out.append(
             (
-                path, offsets[skip + i], sizes[skip + i], row0, col0, min(h, rows - row0), min(w, cols - col0), w, samples, dtype,
+                path, [offsets[p + i] for p in planes], [sizes[p + i] for p in planes], row0, col0, min(h, rows - row0), min(w, cols - col0), w, samples, dtype,
                 compression != PLAIN, tags.get(317, (1,))[0], xmin, ymax - rows * sy, xmin + cols * sx, ymax, cols, rows,
-                nodata, band if planar == 1 else 0,
+                nodata, inside,
             )
         )
     return out
@@ -135,28 +135,39 @@ def _extent(s: dict) -> tuple[float, float, float, float]:
     )
 
 
-def _decode(batches, stride: int):
+def _samples(s: dict, raw: bytes) -> np.ndarray:
+    """(row, column, sample) of one byte range."""
+    if s["deflate"]:
+        raw = zlib.decompress(raw)
+    wide = s["seg_cols"] * s["samples"]
+    data = np.frombuffer(raw, dtype=s["dtype"], count=len(raw) // (np.dtype(s["dtype"]).itemsize * wide) * wide)
+    data = data.reshape(-1, s["seg_cols"], s["samples"])[: s["rows"]]
+    if s["predictor"] == 2:
+        return np.cumsum(data, axis=1, dtype=data.dtype)
+    if s["predictor"] != 1:
+        raise ValueError(f"unsupported predictor {s['predictor']} in {s['path']}")
+    return data
+
+
+def _decode(batches, stride: int, outs: tuple[str, ...]):
+    """A tile per segment; each byte range is read and decoded once for all its bands."""
+    schema = _tile_arrow(outs)
     # Arrow, not pandas: pandas would turn NaN pixels into NULL on the way back
     for batch in batches:
         for s in batch.to_pylist():
             with _open(s["path"]) as file:
-                raw = file.read_at(s["nbytes"], s["offset"])
-            if s["deflate"]:
-                raw = zlib.decompress(raw)
-            wide = s["seg_cols"] * s["samples"]
-            data = np.frombuffer(raw, dtype=s["dtype"], count=len(raw) // (np.dtype(s["dtype"]).itemsize * wide) * wide)
-            data = data.reshape(-1, s["seg_cols"], s["samples"])[: s["rows"]]
-            if s["predictor"] == 2:
-                data = np.cumsum(data, axis=1, dtype=data.dtype)
-            elif s["predictor"] != 1:
-                raise ValueError(f"unsupported predictor {s['predictor']} in {s['path']}")
+                ranges = [_samples(s, file.read_at(n, at)) for at, n in zip(s["offset"], s["nbytes"])]
             row1, col1 = -s["row0"] % stride, -s["col0"] % stride
-            band = data[row1::stride, col1 : s["cols"] : stride, s["band"]].astype(float)
-            if s["nodata"] is not None:
-                band[band == s["nodata"]] = np.nan
             dx = (s["file_xmax"] - s["file_xmin"]) / s["file_cols"]
             dy = (s["file_ymax"] - s["file_ymin"]) / s["file_rows"]
             xmin, ymin, xmax, ymax = _extent(s)
+            pixels = {}
+            for i, (out, sample) in enumerate(zip(outs, s["band"])):
+                data = ranges[min(i, len(ranges) - 1)]
+                band = data[row1::stride, col1 : s["cols"] : stride, sample].astype(float)
+                if s["nodata"] is not None:
+                    band[band == s["nodata"]] = np.nan
+                pixels[out] = band.ravel()
             row = {
                 **s,
                 "source": s["path"].rsplit("/", 1)[-1],
@@ -169,11 +180,9 @@ def _decode(batches, stride: int):
                 "ymin": ymin,
                 "xmax": xmax,
                 "ymax": ymax - row1 * dy,
-                "band0": band.ravel(),
+                **pixels,
             }
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[f.name]], type=f.type) for f in _TILE_ARROW], schema=_TILE_ARROW
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], type=f.type) for f in schema], schema=schema)
 
 
 def read_raster_tiles(
@@ -190,17 +199,38 @@ def read_raster_tiles(
     and tiles outside `box` (west, south, east, north), or without a row and a column that
     `stride` keeps, are never opened; the others leave the task thinned.
     """
+    return _read(spark, path, partitions, box, stride, (band,), ("band0",))
+
+
+def read_raster_bands(
+    spark: SparkSession,
+    path: str,
+    bands: tuple[int, ...],
+    partitions: int | None = None,
+    box: tuple[float, float, float, float] | None = None,
+    stride: int = 1,
+) -> DataFrame:
+    """Tile rows with the pixels of several bands, as columns band<number>.
+
+    Headers are read once, and so is each byte range, whether it holds one band or all.
+    """
+    return _read(spark, path, partitions, box, stride, bands, tuple(f"band{b}" for b in bands))
+
+
+def _read(spark: SparkSession, path: str, partitions, box, stride: int, bands: tuple[int, ...], outs: tuple[str, ...]) -> DataFrame:
     names = [c.split()[0] for c in _SEGMENTS.split(", ")]
 
     def listed(batches):
         for pdf in batches:
             for file in pdf["path"]:
-                found = [s for s in _segments(file, band) if wanted(dict(zip(names, s)), box, stride)]
+                found = [s for s in _segments(file, bands) if wanted(dict(zip(names, s)), box, stride)]
                 for i in range(0, len(found), 10_000):
                     yield pd.DataFrame(found[i : i + 10_000], columns=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path")
     spread = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     segments = files.mapInPandas(listed, _SEGMENTS).repartition(spread)
-    tiles = segments.mapInArrow(lambda batches: _decode(batches, stride), TILES)
+    pixels = [T.StructField(o, T.ArrayType(T.DoubleType())) for o in outs]
+    schema = T.StructType([*[f for f in TILES if f.name != "band0"], *pixels])
+    tiles = segments.mapInArrow(lambda batches: _decode(batches, stride, outs), schema)
     return tiles.withColumn("source", F.regexp_replace("source", r"\.tif$", ""))

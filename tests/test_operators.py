@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from siteplan.functions.geo import rect_area, rect_to_wkt, ring_area_3395, ring_centroid, wkt_to_rect
 from siteplan.functions.scoring import inverse_square, point_score
-from siteplan.operators import mlp
+from siteplan.operators import mlp, placement
 from siteplan.operators.clean import build_towers, clean_elevation
 from siteplan.operators.footprints import geojson_rings
 from siteplan.operators.generators import gen_lattice, gen_places
@@ -23,7 +23,7 @@ from siteplan.operators.scale import minmax_ranges, minmax_scale, normalise_by_m
 from siteplan.session import scratch_dir
 from siteplan.raster_fixture import encode_geotiff
 from siteplan.sources import geotiff
-from siteplan.sources.geotiff import read_raster_tiles
+from siteplan.sources.geotiff import read_raster_bands, read_raster_tiles
 from siteplan.sources.readers import read_csv_folder, read_geojson
 from siteplan.sources.sinks import load_model, save_model
 
@@ -59,6 +59,30 @@ def test_greedy_picks_one_site_again_and_takes_empty_input(spark):
     assert greedy_place(one.where("false"), 3).count() == 0
 
 
+def test_greedy_writes_only_the_tiles_that_picks_reach(spark, tmp_path, monkeypatch):
+    # forty places far apart; three picks touch three of them
+    far = pd.DataFrame({"lon": np.repeat(np.arange(40) * 5.0, 50) + np.tile(np.linspace(0, 0.3, 50), 40), "lat": 33.1})
+    far["score"] = np.random.default_rng(4).random(len(far))
+    monkeypatch.setattr(placement, "scratch_dir", lambda s, label: f"file://{tmp_path}/{label}")
+    got = greedy_place(spark.createDataFrame(far), 3).orderBy("pick").collect()
+    assert [(r["lon"], r["score"]) for r in got] == [(x, pytest.approx(s)) for x, _, s in one_by_one(far, 3)]
+    steps = {int(f.name[5:]): spark.read.parquet(str(f)).count() for f in (tmp_path / "placement" / "state").iterdir()}
+    assert steps.pop(0) == 2000
+    assert steps and sum(steps.values()) <= 2000 * 3 / 40
+
+
+def test_greedy_starts_a_new_base_when_changes_outgrow_it(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(placement, "scratch_dir", lambda s, label: f"file://{tmp_path}/{label}")
+    bases, change = [], placement._State.change
+    monkeypatch.setattr(placement._State, "change", lambda self, *a: (change(self, *a), bases.append(self.base))[0])
+    # one spot picked over and over: its one tile is written in each round
+    spot = pd.DataFrame({"lon": [0.0, 0.1, 9.0], "lat": 0.0, "score": [9.0, 0.2, 0.1]})
+    got = greedy_place(spark.createDataFrame(spot), 12, top=1).orderBy("pick").collect()
+    for row, (x, y, s) in zip(got, one_by_one(spot, 12), strict=True):
+        assert (row["lon"], row["score"]) == (x, pytest.approx(s, abs=1e-9))
+    assert bases[0] == 0 and max(bases) > 0
+
+
 def test_rings(spark):
     square = [[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]
     hole = [[0.5, 0.5], [1, 0.5], [1, 1]]
@@ -136,6 +160,48 @@ def test_raster(spark, tmp_path, deflate, bands):
     assert got == {(round(-120 + c / 8, 6), round(34 - r / 6, 6)): grid[r, c, 0] for r in range(0, 6, 2) for c in range(0, 8, 2)}
 
 
+def test_raster_bands_come_from_one_reading(spark, tmp_path, monkeypatch):
+    grid = np.arange(48.0).reshape(6, 8)
+    both = np.stack([grid, -1 - grid], axis=2)
+    both[2, 3] = [np.nan, 5.0]
+    (tmp_path / "n33.tif").write_bytes(encode_geotiff(both, -120.0, 34.0, 1 / 8, 1 / 6, 2, True, 2))
+    points = tiles_to_points(read_raster_bands(spark, str(tmp_path), (1, 0)), names=("x", "y", "second", "first"), bands=("band1", "band0"))
+    got = {(round(r["x"], 6), round(r["y"], 6)): (r["first"], r["second"]) for r in points.collect()}
+    assert len(got) == 48  # a pixel stays while one of its bands holds a value
+    for r in range(6):
+        for c in range(8):
+            first, second = got[(round(-120 + (c + 0.5) / 8, 6), round(34 - (r + 0.5) / 6, 6))]
+            assert second == both[r, c, 1]
+            assert first == both[r, c, 0] or (math.isnan(first) and (r, c) == (2, 3))
+    # a strip's bytes are read once for both bands
+    names = [c.split()[0] for c in geotiff._SEGMENTS.split(", ")]
+    strips = [dict(zip(names, s)) for s in geotiff._segments(str(tmp_path / "n33.tif"), (0, 1))]
+    reads, opened = [], geotiff._open
+
+    class Counted:
+        def __init__(self, path):
+            self.file = opened(path)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+        def read_at(self, n, at):
+            reads.append(at)
+            return self.file.read_at(n, at)
+
+    monkeypatch.setattr(geotiff, "_open", Counted)
+
+    class Batch:
+        def to_pylist(self):
+            return strips
+
+    assert len(list(geotiff._decode([Batch()], 1, ("band0", "band1")))) == 3
+    assert len(reads) == len(set(reads)) == 3
+
+
 def test_raster_skips_segments_and_reads_either_band(spark, tmp_path):
     grid = np.arange(96.0).reshape(6, 8, 2)
     (tmp_path / "n33.tif").write_bytes(encode_geotiff(grid, -120.0, 34.0, 1 / 8, 1 / 6, 2, True, 2))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siteplan.operators import quadtree
+from siteplan.operators import quadtree, radius
 from siteplan.operators.aggregates import count, highest, lowest, total
 from siteplan.operators.radius import nearest, nearest_and_count, neighbour_percent_rank, radius_features
 from siteplan.operators.range_join import BOUNDS, _border_cells, _outlines, cell_partials, data_grid, range_join
@@ -147,3 +147,21 @@ def test_grid_index_is_monotone(spark):
     assert [r["g"] for r in rows] == sorted(r["g"] for r in rows) and len({r["g"] for r in rows}) > 4
     empty = data_grid(frame.limit(0), ("x", "y"))
     assert frame.select(empty.index(1, F.col("y"))).distinct().count() == 1
+
+
+def test_neighbour_lists_come_in_pages(spark):
+    # a million neighbours around one point, a hundred thousand of them the same row, and a lonely point
+    near = spark.range(900_000).select(
+        (F.col("id") % 977 / 5000).alias("lon"), (F.col("id") % 991 / 5000).alias("lat"), F.col("id").cast("double").alias("area")
+    )
+    same = spark.range(100_000).select(F.lit(0.05).alias("lon"), F.lit(0.05).alias("lat"), F.lit(1.0).alias("area"))
+    points = spark.createDataFrame([(0.1, 0.1), (50.0, 50.0)], "lon double, lat double")
+    lists = radius.neighbour_list(points, near.union(same), "area", page=10_000)
+    got = lists.groupBy("lon").agg(
+        F.sum(F.size("neighbours")).alias("n"), F.max(F.size("neighbours")).alias("longest"), F.count("*").alias("rows"),
+        F.sum(F.aggregate("neighbours", F.lit(0.0), lambda s, p: s + p[1])).alias("area"),
+    ).orderBy("lon").collect()
+    assert [(r["n"], r["longest"]) for r in got] == [(1_000_000, 10_000), (0, 0)]
+    # whole pages, save one per task
+    assert got[0]["rows"] <= 100 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert got[0]["area"] == 899_999 * 900_000 / 2 + 100_000
