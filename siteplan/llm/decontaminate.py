@@ -111,7 +111,10 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     1. A window reaches the similarity only if enough of its positions hold shingles of items
        of its length: the count per length picks the windows and loses none.
     2. Windows and items get 64-bit SimHash fingerprints; blocks with up to two errors each
-       let every pair within RADIUS meet, and the full distance is checked.
+       let every pair within RADIUS meet, and the full distance is checked. A pair at the
+       least similarity lies beyond with a probability under 5e-4 (`test_fingerprint_radius`);
+       windows of four shingles that hang over a text's end against items of five, where
+       bits are tied most often, reach 6e-3.
     3. The similarity of the pairs left is computed on the full shingles.
     """
     words_of = words(F.lower(whole_text()))

@@ -13,12 +13,60 @@ TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
     "associated documentation files, to deal in the Software without restriction",
+    "MIT-body": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    'associated documentation files (the "Software"), to deal in the Software without restriction, including without '
+    "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+    "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    'the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+    "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+    "DEALINGS IN THE SOFTWARE.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0",
+    "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except '
+    "in compliance with the License. You may obtain a copy of the License at "
+    "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+    'distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+    "either express or implied. See the License for the specific language governing permissions and limitations under "
+    "the License.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+    "option) any later version.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+    "option) any later version.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+    "(at your option) any later version.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+    "(at your option) any later version.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+    "the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "EPL-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse "
+    "Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0",
+    "ISC-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Zlib-grant": "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+    "authors be held liable for any damages arising from the use of this software.",
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+    "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for "
+    "any purpose, commercial or non-commercial, and by any means.",
+    "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring "
+    "rights to this work.",
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+    "International License.",
     "BSD-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
     "provided that the following conditions are met",
+    "BSD-disclaimer": 'This software is provided by the copyright holders and contributors "as is" and any express or '
+    "implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a "
+    "particular purpose are disclaimed.",
 }
 MAX_TEMPLATES = 1000
 #: A window is up to four times its template and holds it whole, so their Jaccard similarity
@@ -59,19 +107,21 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, perce
     For templates of n shingles windows take 2 * step positions, every step positions, where
     step is the power of two from n on. A licence is found where a window holds percent / 100
     or more of the template's distinct shingles. The best window per document and licence is
-    given (ties: the first); start is the position of its first word.
+    given (ties: the first); start is the position of its first word. Licences whose wording
+    differs by a word or two, as versions do, may both be found; containment tells them apart.
 
     Null and empty texts and templates of fewer than five words match nothing; repeated
     documents give one row per distinct text; an empty table gives no row; other columns are
     not read. Only windows with at least one template shingle are looked at, as others hold
-    none. The number of templates is bounded, so they are broadcast.
+    none. What is broadcast is bounded: BANDS short rows for each of at most MAX_TEMPLATES
+    templates, and their shingles up to BROADCAST_SHINGLES rows; beyond they are shuffled.
     """
     spark = docs.sparkSession
     known = stored(template_table(spark, TEMPLATES if templates is None else templates), "templates")
     shingles = known.select("step", F.explode("license_hs").alias("h")).distinct()
     texts = docs.select("doc_id", F.xxhash64(whole_text()).alias("text_hash"), "text")
     words_of = license_words(whole_text())
-    hits = positions_of(texts, words_of, shingles, 0)
+    hits = positions_of(texts, words_of, shingles, shingles.count())
     turn = F.floor(F.col("pos") / F.col("step")).cast("int")
     places = hits.select("doc_id", "text_hash", "step", F.explode(F.array(turn, turn - 1)).alias("turn")).filter("turn >= 0")
     per_doc = stored(
@@ -88,10 +138,11 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, perce
         "doc_id", "text_hash", F.col("p.step").alias("step"), start.alias("start"),
         F.slice("hs", start + 1, F.col("p.step") * 2).alias("window"),
     ).distinct()
-    bands = known.select("license_id", "license_hs", "n", "step", F.explode(band_values(F.col("license_hs"))).alias("at"))
-    bands = bands.select("license_id", "license_hs", "n", "step", "at.band", "at.value")
+    bands = known.select("license_id", "step", F.explode(band_values(F.col("license_hs"))).alias("at"))
+    bands = bands.select("license_id", "step", "at.band", "at.value")
     near = windows.select("*", F.explode(band_values(F.col("window"))).alias("at")).select("*", "at.band", "at.value").drop("at")
     near = near.join(F.broadcast(bands), ["step", "band", "value"])
+    near = near.join(known.select("license_id", "license_hs", "n"), "license_id")
     near = near.select("doc_id", "text_hash", "start", "license_id", "n", F.size(F.array_intersect("window", "license_hs")).alias("common"))
     found = near.filter(F.col("common") * 100 >= F.col("n") * percent)
     best = F.max(F.struct((F.col("common") / F.col("n")).alias("containment"), (-F.col("start")).alias("before"))).alias("best")
