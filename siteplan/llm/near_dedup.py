@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .graph import connected_components
+from .ranges import split_join
 
 VALUES, CHUNKS = 65, 13
 WIDTH = VALUES // CHUNKS
@@ -29,6 +30,8 @@ RADIUS = 2 * CHUNKS - 1
 STAR_ROUNDS = 2
 #: Members of a bucket compared in one task.
 BLOCK = 4096
+#: A bucket's rows are cut into parts in the joins by key from so many rows on.
+HOT_BUCKET = 1000
 #: Hashes of a set's sketch, and how many standard deviations below the asked similarity an
 #: estimate may lie (a pair lies further below with a probability near 1e-4).
 SKETCH, SLACK = 192, 3.7
@@ -225,17 +228,18 @@ def _can_reach(n, m, c, d, least, percent: int):
     return most * 100 >= (n + m - most) * percent
 
 
-def block_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+def block_pairs(open_rows: DataFrame, percent: int, total: int) -> DataFrame:
     """All pairs (a, b) of different components in a bucket that are within RADIUS, may be
     similar enough by their sizes, their sketches and what they share with the bucket's
     center; each once.
 
     A bucket is cut into blocks of about BLOCK members, every two blocks meet in one task.
-    Of the keys two signatures share only the first gives the pair.
+    Of the keys two signatures share only the first gives the pair. `total` bounds the rows.
     """
-    sizes = open_rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    sizes = open_rows.groupBy("key").agg(F.count(F.lit(1)).alias("in_key"))
+    sizes = sizes.withColumn("n_blocks", F.ceil(F.col("in_key") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int")
-    dealt = open_rows.join(sizes, "key").withColumn("mine", mine)
+    dealt = split_join(open_rows, sizes, ["key"], "in_key", total, HOT_BUCKET).withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
         "key", "slot", "rep", "n", "common", "comp", "sig", "sketch", "mine",
         F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
@@ -303,7 +307,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         keys.groupBy("key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("members")).filter("members > 1"),
         "buckets",
     )
-    live = stored(keys.join(buckets.hint("shuffle_hash"), "key"), "live")
+    total = VALUES * classes.count()  # no later table has more rows by key
+    counted = buckets.withColumn("in_key", F.col("members")).hint("shuffle_hash")
+    live = stored(split_join(keys, counted, ["key"], "in_key", total, HOT_BUCKET), "live")
     center_size = classes.select(F.col("rep").alias("center"), F.col("n").alias("center_n"))
     pairs = live.filter("rep <> center").select("center", "rep", "n").distinct().join(center_size, "center")
     pairs = pairs.filter(_sizes_fit("n", "center_n", percent)).select(F.col("center").alias("a"), F.col("rep").alias("b"))
@@ -328,13 +334,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found = None
     for turn in range(STAR_ROUNDS):
         found = stored(connected_components(edges, "a", "b"), "components")
-        open_rows = stored(_still_open(open_rows, found), "open")
+        open_rows = stored(_still_open(open_rows, found, total), "open")
         if open_rows.isEmpty():
             break
         if turn + 1 < STAR_ROUNDS:
             order = F.struct(F.xxhash64("rep", F.lit(turn)), F.col("rep"), F.col("n"), F.col("common"), F.col("comp"))
-            centers = stored(open_rows.groupBy("key").agg(F.min(order).alias("c")), "centers")
-            across = open_rows.join(centers, "key").filter((F.col("comp") != F.col("c.comp")) & _sizes_fit("n", "c.n", percent))
+            centers = open_rows.groupBy("key").agg(F.min(order).alias("c"), F.count(F.lit(1)).alias("in_key"))
+            across = split_join(open_rows, stored(centers, "centers"), ["key"], "in_key", total, HOT_BUCKET)
+            across = across.filter((F.col("comp") != F.col("c.comp")) & _sizes_fit("n", "c.n", percent))
             reach = _can_reach(F.col("n"), F.col("c.n"), F.col("common"), F.col("c.common"), F.least, percent)
             unknown = F.col("common").isNull() | F.col("c.common").isNull()
             across = across.filter(unknown | reach)
@@ -342,7 +349,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             fresh = within_radius(fresh.join(tested, ["a", "b"], "left_anti"), classes)
         else:
             with_sig = open_rows.join(classes.select("rep", "sig", "sketch"), "rep")
-            fresh = block_pairs(with_sig, percent).join(tested, ["a", "b"], "left_anti")
+            fresh = block_pairs(with_sig, percent, total).join(tested, ["a", "b"], "left_anti")
         fresh = stored(measured(stored(fresh, "pairs"), texts, width, percent), "tested")
         tested = tested.union(fresh)
         edges = edges.union(fresh.filter("linked").select("a", "b"))
@@ -374,12 +381,13 @@ def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
-def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
+def _still_open(rows: DataFrame, found: DataFrame, total: int) -> DataFrame:
     """(key, slot, rep, n, common, comp) of the buckets that hold more than one component."""
     at = rows.select("key", "slot", "rep", "n", "common").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     at = at.withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    mixed = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    return at.join(mixed, "key")
+    at = stored(at, "placed-rows")
+    mixed = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("in_key"))
+    return split_join(at, mixed.filter("x <> y").select("key", "in_key"), ["key"], "in_key", total, HOT_BUCKET)
 
 
 def oracle(docs: str = "documents", width: int = 5, percent: int = 80) -> str:

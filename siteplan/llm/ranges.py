@@ -55,14 +55,17 @@ def running(ordered: DataFrame, sums: dict[str, str], *group: str) -> DataFrame:
     )
 
 
-def split_join(rows: DataFrame, keyed: DataFrame, on: list[str], count: str, total: int) -> DataFrame:
+def split_join(
+    rows: DataFrame, keyed: DataFrame, on: list[str], count: str, total: int, hot_rows: int | None = None
+) -> DataFrame:
     """Inner join of `rows` with `keyed`, one row per key, which says in `count` how many rows have the key.
 
-    `total` is the number of rows. Keys of very many rows are cut into parts of about
-    total / HOT_KEYS rows (HOT_ROWS at least); their list has at most HOT_KEYS rows and is
-    broadcast. Other keys are neither repeated nor salted.
+    `total` is the number of rows, or a bound above it. Keys of very many rows are cut into
+    parts of about total / HOT_KEYS rows (`hot_rows` at least, by default HOT_ROWS); their list
+    has at most total / `hot_rows` and never more than HOT_KEYS rows and is broadcast. Other
+    keys are neither repeated nor salted.
     """
-    most = max(HOT_ROWS, -(-total // HOT_KEYS))
+    most = max(hot_rows or HOT_ROWS, -(-total // HOT_KEYS))
     parts = F.ceil(F.col(count) / F.lit(most)).cast("int")
     hot = keyed.filter(F.col(count) > most).select(*on, parts.alias("hot_parts"))
     spread = keyed.withColumn("hot_part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))

@@ -296,9 +296,11 @@ def test_hash_of_kept_text(docs):
     assert row[0] == hashlib.sha256(LONG.encode()).hexdigest()
 
 
-def test_near_duplicates_against_all_pairs(spark, monkeypatch):
-    """Families of copies at every distance, in small blocks, with a poor first member."""
+@pytest.mark.parametrize("hot", [near_dedup.HOT_BUCKET, 4])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, hot):
+    """Families of copies at every distance, in small blocks, with a poor first member; buckets whole and cut into parts."""
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "HOT_BUCKET", hot)
     draw = random.Random(12)
     texts = []
     for family in range(4):
