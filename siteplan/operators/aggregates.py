@@ -80,6 +80,11 @@ class Partials:
     def names(self) -> list[str]:
         return [f"p{i}" for i in range(len(self.parts))]
 
+    @property
+    def exact(self) -> bool:
+        """Whether all partials are whole numbers or decimals that are summed up, so that sums may be subtracted."""
+        return all(op == "count" or (op in ("sum", "shifted", "square") and scale is not None) for op, _, scale in self.parts)
+
     def _type(self, op: str, scale: int | None) -> str | None:
         if scale is None or op not in ("sum", "shifted", "square"):
             return None

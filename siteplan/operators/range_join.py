@@ -5,12 +5,16 @@ from pre-aggregated blocks of cells, and border cells, whose points are tested o
 one. Cell indexes are monotone in the coordinate, so an inner cell can hold no point on
 or outside a bound: the result is exact for strict and for inclusive bounds. By default
 the cells follow the points: both axes are cut at their quantiles.
+
+Counts and decimal sums take wide cells (tiles): the points of a tile and the rectangles whose
+outline runs through it meet in one group, which adds up in n·log n (`tile_sums`). A
+rectangle so has few border cells, however many points there are.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +23,7 @@ from siteplan.functions.geo import rect_to_wkt
 from siteplan.operators.aggregates import Agg, Partials
 from siteplan.operators.attach import attach
 from siteplan.operators.grid import HOT_PAIRS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located
+from siteplan.operators.tile_sums import rectangle_sums
 from siteplan.session import kept
 
 BOUNDS = ("lon1", "lat1", "lon2", "lat2")
@@ -30,9 +35,11 @@ LEVELS = 4
 FAR_CELL = 2**16
 # Where both axes are cut: at quarters of the points, and near the ends, so that a few points
 # far out widen no cell of the others. More cuts would cost more per point than they save.
-SHARES = (0.001, 0.25, 0.5, 0.75, 0.999)
+SHARES = (0.001, 0.01, 0.25, 0.5, 0.75, 0.99, 0.999)
 # Points of a cell, about, and the most cells between two cuts.
 CELL_POINTS, MOST_PER_CUT = 16, 256
+# Points of a tile, about, and the most points or rectangles that meet in one group.
+TILE_POINTS, TILE_ROWS = 2**17, 2**18
 
 
 @dataclass(frozen=True)
@@ -66,13 +73,15 @@ class Grid:
         return F.get(F.transform(F.array(piece.otherwise(last)), cell), 0).cast("long")
 
 
-def data_grid(pts: DataFrame, xy: tuple[str, str]) -> Grid:
-    """A grid that follows the points: cuts at their quantiles, found by a sketch in one pass."""
+def data_grid(pts: DataFrame, xy: tuple[str, str], points: int = CELL_POINTS) -> Grid:
+    """A grid that follows the points, about `points` to a cell: cuts at their quantiles, found by a sketch in one pass."""
     finite = [F.when(F.abs(c) < F.lit(float("inf")), c.cast("double")) for c in map(F.col, xy)]
     sketches = [F.percentile_approx(c, list(SHARES), 1000).alias(n) for c, n in zip(finite, "xy")]
     found = located(pts, *xy).agg(F.count("*").alias("n"), *sketches).first()
     cuts = [tuple(sorted(set(found[n] or ()))) for n in "xy"]
-    per = min(MOST_PER_CUT, max(1, round(math.sqrt(found["n"] / CELL_POINTS) / (len(SHARES) - 1))))
+    # four pieces hold nearly all points, fewer where many points share a coordinate
+    pieces = min(4, *[max(1, len(c) - 1) for c in cuts])
+    per = min(MOST_PER_CUT, max(1, round(math.sqrt(found["n"] / points) / pieces)))
     return Grid(*cuts, per)
 
 
@@ -88,7 +97,17 @@ def cell_partials(pts: DataFrame, xy: tuple[str, str], aggs: dict[str, Agg], cel
     """One row of partials per occupied grid cell; write it out to reuse it over several joins."""
     parts = Partials(aggs)
     cells = _placed(pts, xy, cell).select("gx", "gy", *parts.of_rows(pts))
-    return cells.groupBy("gx", "gy").agg(*parts.merged(), F.count("*").alias("n_rows"))
+    found = cells.groupBy("gx", "gy").agg(*parts.merged(), F.count("*").alias("n_rows"))
+    # the grid goes with the table, also into files
+    return found.withMetadata("gx", {"grid": asdict(cell) if isinstance(cell, Grid) else {"side": float(cell)}})
+
+
+def _grid_of(cells: DataFrame) -> float | Grid:
+    """The grid that a `cell_partials` table was made with."""
+    made = cells.schema["gx"].metadata.get("grid")
+    if made is None:
+        raise ValueError("stored cells need the grid they were made with")
+    return made["side"] if "side" in made else Grid(tuple(made["x"]), tuple(made["y"]), made["per"])
 
 
 def _border_cells(rects: DataFrame) -> DataFrame:
@@ -124,6 +143,35 @@ def _outlines(rects: DataFrame, bounds: tuple[str, str, str, str], cell: float |
     return shapes.where((F.col("gx1") <= F.col("gx2")) & (F.col("gy1") <= F.col("gy2")))
 
 
+def _tested(outlines: DataFrame, rows: DataFrame, sizes: DataFrame, bounds, parts: Partials, strict: bool, hot_pairs: int) -> DataFrame:
+    """Partials of the points in the border cells, tested one by one."""
+    x1, y1, x2, y2 = map(F.col, bounds)
+    px, py = F.col("pt_x"), F.col("pt_y")
+    inside = (px > x1) & (px < x2) & (py > y1) & (py < y2) if strict else px.between(x1, x2) & py.between(y1, y2)
+    pairs = cell_join(outlines, rows, ["gx", "gy"], hot_pairs, sizes).where(inside)
+    return pairs.groupBy(*bounds).agg(*parts.merged())
+
+
+def _tile_sums(outlines: DataFrame, rows: DataFrame, sizes: DataFrame, bounds, parts: Partials, strict: bool, tile_rows: int) -> DataFrame:
+    """Partials of the points in the border tiles: per tile one group of its points and its rectangles.
+
+    A tile with more rows on a side than `tile_rows` is cut into parts, and each part meets all parts of the other side.
+    """
+    on = ["gx", "gy"]
+    counts = outlines.groupBy(*on).agg(F.count("*").alias("n_l")).join(sizes, on)
+    plan = kept(counts.select(*on, *[F.ceil(F.col(f"n_{s}") / tile_rows).cast("int").alias(f"parts_{s}") for s in "lr"]), "tiles")
+
+    def dealt(df: DataFrame, mine: str, other: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col(f"parts_{mine}")).cast("int")
+        each = F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))
+        return df.join(plan, on).select(*df.columns, own.alias(f"own_{mine}"), each.alias(f"own_{other}"))
+
+    names, keys = list(parts.names), [*on, "own_l", "own_r"]
+    kinds = [f"`{b}` double" for b in bounds] + [f"{p} {rows.schema[p].dataType.simpleString()}" for p in names]
+    both = dealt(outlines, "l", "r").groupBy(*keys).cogroup(dealt(rows, "r", "l").groupBy(*keys))
+    return both.applyInArrow(lambda a, b: rectangle_sums(b, a, ("pt_x", "pt_y"), tuple(bounds), names, strict), ", ".join(kinds))
+
+
 def range_join(
     rects: DataFrame,
     pts: DataFrame,
@@ -135,6 +183,7 @@ def range_join(
     bounds: tuple[str, str, str, str] = BOUNDS,
     cells: DataFrame | None = None,
     hot_pairs: int = HOT_PAIRS,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """`rects` with the aggregates of the points inside each rectangle.
 
@@ -144,14 +193,15 @@ def range_join(
     fewer points to test but give each rectangle more border cells (about perimeter / side).
     A bound may lie anywhere, at infinity too: cells are listed only where points are.
     The cells are written to the scratch folder when called, unless given.
-    `cells` takes a stored `cell_partials` table of the same points, aggregates and `cell`.
+    `cells` takes a stored `cell_partials` table of the same points and aggregates; it knows its grid.
+    Without `cell` and `cells`, counts and decimal sums go by tiles; a tile of more than
+    `tile_rows` points or rectangles is cut into parts.
     """
-    if cell is None:
-        if cells is not None:
-            raise ValueError("stored cells need the grid they were made with")
-        cell = data_grid(pts, xy)
     x, y = xy
     parts = Partials(aggs)
+    tiled = cell is None and cells is None and parts.exact
+    if cell is None:
+        cell = _grid_of(cells) if cells is not None else data_grid(pts, xy, TILE_POINTS if tiled else CELL_POINTS)
     x1, y1, x2, y2 = bounds
     cells = kept(cell_partials(pts, xy, aggs, cell), "cells") if cells is None else cells
     edges = tuple(edge or 0 for edge in cells.agg(*[f(g) for g in ("gx", "gy") for f in (F.min, F.max)]).first())
@@ -177,18 +227,13 @@ def range_join(
     rows = _placed(pts, xy, cell).select(
         "gx", "gy", F.col(x).alias("pt_x"), F.col(y).alias("pt_y"), *parts.of_rows(pts)
     )
-    px, py = F.col("pt_x"), F.col("pt_y")
-    if strict:
-        inside = (px > F.col(x1)) & (px < F.col(x2)) & (py > F.col(y1)) & (py < F.col(y2))
-    else:
-        inside = px.between(F.col(x1), F.col(x2)) & py.between(F.col(y1), F.col(y2))
+    outlines = _border_cells(shapes).select(*bounds, "gx", "gy")
     sizes = cells.select("gx", "gy", F.col("n_rows").alias("n_r"))
-    border = (
-        cell_join(_border_cells(shapes).select(*bounds, "gx", "gy"), rows, ["gx", "gy"], hot_pairs, sizes)
-        .where(inside)
-        .groupBy(*bounds)
-        .agg(*parts.merged())
-    )
+    if tiled:
+        rows = rows.withColumns({p: F.col(p).cast(cells.schema[p].dataType) for p in parts.names})
+        border = _tile_sums(outlines, rows, sizes, bounds, parts, strict, tile_rows)
+    else:
+        border = _tested(outlines, rows, sizes, bounds, parts, strict, hot_pairs)
 
     merged = inner.unionByName(border).groupBy(*bounds).agg(*parts.merged())
     found = merged.select(*bounds, *[parts.final(n).alias(n) for n in aggs])

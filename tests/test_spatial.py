@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from siteplan.operators.aggregates import count, deviation, highest, lowest, mean, total
 from siteplan.operators.grid import cell_join
@@ -163,3 +164,39 @@ def test_radius_operators_far_from_zero(spark, x0, y0, r):
         hits = near[row[:2]]
         assert (row["n"], row["d"]) == (len(hits), min((dist(row, b) for b in hits), default=None))
     assert radius_join(p, o, r, how="inner").count() == sum(map(len, (near[a] for a in points)))
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_tiles_cut_into_parts(spark, strict):
+    """Tiles with more points and rectangles than fit a group, sums beyond 64 bits, negative values, all-NULL rectangles."""
+    rng = random.Random(12)
+    value = lambda: rng.choice([None, rng.randrange(-(10**17), 10**17), 10**17])
+    pts = [(round(rng.uniform(0, 4), 1), round(rng.uniform(0, 4), 1), value()) for _ in range(400)] + [(9.0, 9.0, None)] * 3
+    rects = [tuple([a := round(rng.uniform(0, 3), 1), b := round(rng.uniform(0, 3), 1), a + rng.uniform(0, 2), b + 0.5]) for _ in range(60)]
+    rects += [(8.5, 8.5, 9.0, 9.5), (8.5, 8.5, 9.5, 9.5), (2.0, 2.0, 1.0, 1.0), (None, 0.0, 1.0, 1.0)]
+    p = spark.createDataFrame(pts, "lon double, lat double, v bigint").withColumn("v", F.expr("CAST(v AS DECIMAL(18,0))"))
+    r = spark.createDataFrame(rects, "lon1 double, lat1 double, lon2 double, lat2 double")
+    aggs = {"n": count(), "k": count("v"), "s": total("v", 0), "m": mean("v", 0), "d": deviation("v", 0)}
+    inside = (lambda a, lo, hi: lo < a < hi) if strict else (lambda a, lo, hi: lo <= a <= hi)
+    rows = range_join(r, p, ("lon", "lat"), aggs, strict=strict, tile_rows=50).collect()
+    assert len(rows) == len(rects)
+    for row in rows:
+        x1, y1, x2, y2 = row[:4]
+        vals = [v for x, y, v in pts if x1 is not None and inside(x, x1, x2) and inside(y, y1, y2)]
+        known = [v for v in vals if v is not None]
+        assert (row["n"], row["k"], row["s"]) == (len(vals), len(known), float(sum(known)) if known else None)
+        assert row["m"] == (float(sum(known)) / len(known) if known else None)
+        if len(known) > 1:
+            mean_ = sum(known) / len(known)
+            assert row["d"] == pytest.approx(math.sqrt(sum((v - mean_) ** 2 for v in known) / (len(known) - 1)))
+
+
+def test_rectangles_meet_few_tiles(spark):
+    """Ten times the points give a rectangle no more cells at its outline."""
+    rects = spark.createDataFrame([(0.1, 0.1, 0.6, 0.7)], list(BOUNDS))
+    for n in (4_000, 40_000):
+        pts = spark.range(n).selectExpr("pmod(id * 7919, 10007) / 10007 AS lon", "pmod(id * 104729, 9973) / 9973 AS lat", "id AS v")
+        joined = range_join(rects, pts, ("lon", "lat"), {"s": total("v", 0), "n": count()})
+        assert "FlatMapCoGroupsInArrow" in joined._jdf.queryExecution().executedPlan().toString()
+        want = pts.where("lon > 0.1 AND lon < 0.6 AND lat > 0.1 AND lat < 0.7").selectExpr("double(sum(v))", "count(*)").first()
+        assert tuple(joined.first()[-2:]) == tuple(want)
