@@ -324,3 +324,28 @@ def test_csv_folder_types_and_schema(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(ValueError, match="no CSV file"):
         read_csv_folder(spark, str(tmp_path / "empty"))
+
+
+def test_streamed_lists_equal_brute_force(spark, monkeypatch):
+    """No pair is shuffled; cut tiles, small buffers, NULL and NaN values, places without neighbours or position."""
+    from siteplan.operators import neighbour_pages, radius
+
+    nan = float("nan")
+    points = [(0.1 * i, 0.07 * j) for i in range(8) for j in range(5)] + [(0.0, 0.0), (70.0, 70.0), (None, 1.0), (nan, 1.0)]
+    others = [(0.013 * (i % 61), 0.017 * (i % 29), [None, nan, float(i)][min(i % 7, 2)]) for i in range(600)] + [(None, 0.0, 1.0)]
+    p = spark.createDataFrame(points, "lon double, lat double")
+    o = spark.createDataFrame(others, "lon double, lat double, v double")
+    plan = radius.neighbour_list(p, o, "v", r=0.1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "pairs-" not in plan and "MapInArrow" in plan
+    for hot, page in ((radius.LIST_PAIRS, 10_000), (500, 7)):
+        found = {}
+        for lon, lat, pairs in radius.neighbour_list(p, o, "v", r=0.1, page=page, hot_pairs=hot).collect():
+            assert len(pairs) <= page and [q[0] for q in pairs] == sorted(q[0] for q in pairs)
+            found.setdefault(str((lon, lat)), []).append(pairs)
+        assert set(found) == {str(q) for q in points}
+        for lon, lat in points:
+            near = [] if lon is None else [[math.sqrt((lon - x) * (lon - x) + (lat - y) * (lat - y)), v] for x, y, v in others if x is not None]
+            near = sorted(str(q) for q in near if q[0] < 0.1)
+            got = found[str((lon, lat))]
+            assert sorted(str(q) for pairs in got for q in pairs) == near
+            assert len(got) == 1 if page > 600 else all(got) or len(got) == 1
