@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteplan.operators.clean import TRAIN_BOX
+from siteplan.operators.grid import fan_out
 
 
 def gen_places(
@@ -34,19 +35,27 @@ def gen_places(
         low, high = (west, east) if axis % 2 == 0 else (south, north)
         return F.lit(low) + F.lit(high - low) * u
 
-    def fits(k: Column) -> Column:
-        w = F.abs(corner(k, 0) - corner(k, 2))
-        h = F.abs(corner(k, 1) - corner(k, 3))
+    def fits(sides: Column) -> Column:
+        w, h = sides["w"], sides["h"]
         return w.between(min_side, max_side) & h.between(min_side, max_side) & (w > 0) & (h > 0)
 
+    def drawn(low: int, high: int) -> Column:
+        """The first draw of a batch that fits; its four corners are computed once."""
+
+        def sides(k: Column) -> Column:
+            w, h = F.abs(corner(k, 0) - corner(k, 2)), F.abs(corner(k, 1) - corner(k, 3))
+            return F.struct(k.alias("k"), w.alias("w"), h.alias("h"))
+
+        return F.get(F.filter(F.transform(F.sequence(F.lit(low), F.lit(high)), sides), fits), F.lit(0))["k"]
+
     # draw in growing batches: most places fit within the first
-    first = F.get(F.filter(F.sequence(F.lit(0), F.lit(15)), fits), F.lit(0))
-    later = F.get(F.filter(F.sequence(F.lit(16), F.lit(tries - 1)), fits), F.lit(0))
+    ends = [0, *[e for e in (4, 16, 64) if e < tries], tries]
     none = F.raise_error(F.lit("no rectangle of this size fits the box")).cast("int")
-    attempt = F.coalesce(first, later, none)
+    attempt = F.coalesce(*[drawn(a, b - 1) for a, b in zip(ends, ends[1:])], none)
     k = F.col("k")
     return (
-        (spark.range(n) if ids is None else ids)
+        # a short table of ids may lie in one file; its rows cost much more than its bytes
+        (spark.range(n) if ids is None else ids.repartition(fan_out(ids)))
         .withColumn("k", attempt)
         .select(
             *([] if ids is None else ["id"]),
