@@ -651,12 +651,12 @@ def _tif_files(spark: SparkSession, sf: str, deflate: bool, bands: int = 1) -> s
         .groupBy("fx", "fy", "c", "r")
         .agg(F.max("v").alias("v"))
     )
-    # a file is 1,200 pixels whatever the table size
-    found = F.map_from_entries(F.collect_list(F.struct((F.col("r") * 60 + F.col("c")).alias("k"), "v")))
-    grid = F.transform(F.sequence(F.lit(0), F.lit(1199)), lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(float("nan"))))
+    # a file is 1,200 pixels whatever the table size; those without an order stay NaN
+    found = F.collect_list(F.struct((F.col("r") * 60 + F.col("c")).alias("k"), "v"))
     files = (
-        pixels.groupBy("fx", "fy")
-        .agg(found.alias("m"))
+        # spread by a fixed number: adaptive execution would merge the small pixel rows, and a task write most files
+        pixels.repartition(fan_out(pixels), "fx", "fy").groupBy("fx", "fy")
+        .agg(found.alias("found"))
         .select(
             F.concat_ws("_", F.lit("deg"), F.abs("fx").cast("string"), F.col("fy").cast("string")).alias("source"),
             F.col("fx").cast("double").alias("xmin"),
@@ -664,7 +664,9 @@ def _tif_files(spark: SparkSession, sf: str, deflate: bool, bands: int = 1) -> s
             F.lit(1 / 60).alias("dx"),
             F.lit(1 / 20).alias("dy"),
             F.lit(60).alias("cols"),
-            grid.alias("values"),
+            F.lit(20).alias("rows"),
+            F.col("found.k").alias("at"),
+            F.col("found.v").alias("values"),
         )
     )
     path = scratch_dir(spark, "tif")

@@ -290,3 +290,15 @@ def test_generators(spark):
     assert sorted(tuple(row)[1:] for row in places.collect()) == plain
     sides = [(x2 - x1, y2 - y1) for x1, y1, x2, y2 in plain]
     assert all(0.5 <= w <= 10 and 0.5 <= h <= 10 for w, h in sides)
+
+
+def test_raster_files_from_listed_pixels(spark, tmp_path):
+    """Pixels come as positions and values; no map is searched per pixel, and missing ones are NaN."""
+    from siteplan.raster_fixture import write_rasters
+
+    row = [("deg", 0.0, 1.0, 0.5, 0.5, 2, 2, [3, 0], [7.0, None])]
+    kinds = "source string, xmin double, ymax double, dx double, dy double, cols int, rows int, at array<int>, values array<double>"
+    path = f"file://{tmp_path}/tif"
+    assert write_rasters(spark.createDataFrame(row, kinds), path).count() == 1
+    (tile,) = read_raster_tiles(spark, path).collect()
+    assert [math.isnan(v) for v in tile["band0"][:3]] == [True] * 3 and tile["band0"][3] == 7.0
