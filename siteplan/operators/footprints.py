@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteplan.functions.geo import ring_area_3395, ring_centroid
+from siteplan.functions.geo import bind, ring_area_3395, ring_centroid
 
 _POINT = "array<double>"
 
@@ -30,20 +30,19 @@ def geojson_rings(df: DataFrame, outer_only: bool = False, keep: tuple[str, ...]
     holes everywhere. Other types and unreadable coordinates give no row.
     """
     kind = F.col("type")
-    line, polygon, multi = _parsed(1), _parsed(2), _parsed(3)
 
     def shown(rings: Column) -> Column:
         return F.slice(rings, 1, 1) if outer_only else rings
 
+    def of_parts(multi: Column) -> Column:
+        several = F.transform(multi, lambda part: F.get(part, F.lit(0)))
+        return F.when(F.size(multi) == 1, shown(F.get(multi, F.lit(0)))).otherwise(several)
+
+    # each text is parsed once, by its own type only
     rings = (
-        F.when(kind == "LineString", F.when(line.isNotNull(), F.array(line)))
-        .when(kind == "Polygon", shown(polygon))
-        .when(
-            kind == "MultiPolygon",
-            F.when(F.size(multi) == 1, shown(F.get(multi, F.lit(0)))).otherwise(
-                F.transform(multi, lambda part: F.get(part, F.lit(0)))
-            ),
-        )
+        F.when(kind == "LineString", F.filter(F.array(_parsed(1)), lambda line: line.isNotNull()))
+        .when(kind == "Polygon", shown(_parsed(2)))
+        .when(kind == "MultiPolygon", bind(_parsed(3), of_parts))
     )
     exploded = df.select(*keep, "type", F.explode(rings).alias("ring"))
     return exploded.where(~((F.size("ring") < 3) | (kind == "Point"))).withColumn("ring", _flat(F.col("ring")))
