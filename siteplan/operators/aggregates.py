@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, LongType
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,11 @@ class Partials:
             return None
         return f"decimal(38,{2 * scale if op == 'square' else scale})"
 
+    @property
+    def types(self) -> list[DataType]:
+        """The types of exact partials, as they are summed up."""
+        return [LongType() if op == "count" else DecimalType(38, 2 * scale if op == "square" else scale) for op, _, scale in self.parts]
+
     def _centre(self, df: DataFrame, col: str, scale: int | None) -> Column:
         """The middle of a column's finite values, as one value that deviations are measured from.
 

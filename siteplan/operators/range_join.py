@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from siteplan.functions.geo import rect_to_wkt
 from siteplan.operators.aggregates import Agg, Partials
 from siteplan.operators.attach import attach
-from siteplan.operators.grid import HOT_PAIRS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located
+from siteplan.operators.grid import HOT_PAIRS, cell_blocks, cell_index, cell_join, dyadic, fan_out, located, tile_groups
 from siteplan.operators.tile_sums import rectangle_sums
 from siteplan.session import kept
 
@@ -157,18 +157,9 @@ def _tile_sums(outlines: DataFrame, rows: DataFrame, sizes: DataFrame, bounds, p
 
     A tile with more rows on a side than `tile_rows` is cut into parts, and each part meets all parts of the other side.
     """
-    on = ["gx", "gy"]
-    counts = outlines.groupBy(*on).agg(F.count("*").alias("n_l")).join(sizes, on)
-    plan = kept(counts.select(*on, *[F.ceil(F.col(f"n_{s}") / tile_rows).cast("int").alias(f"parts_{s}") for s in "lr"]), "tiles")
-
-    def dealt(df: DataFrame, mine: str, other: str) -> DataFrame:
-        own = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col(f"parts_{mine}")).cast("int")
-        each = F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))
-        return df.join(plan, on).select(*df.columns, own.alias(f"own_{mine}"), each.alias(f"own_{other}"))
-
-    names, keys = list(parts.names), [*on, "own_l", "own_r"]
+    names = list(parts.names)
     kinds = [f"`{b}` double" for b in bounds] + [f"{p} {rows.schema[p].dataType.simpleString()}" for p in names]
-    both = dealt(outlines, "l", "r").groupBy(*keys).cogroup(dealt(rows, "r", "l").groupBy(*keys))
+    both = tile_groups(outlines, rows, ["gx", "gy"], sizes, tile_rows)
     return both.applyInArrow(lambda a, b: rectangle_sums(b, a, ("pt_x", "pt_y"), tuple(bounds), names, strict), ", ".join(kinds))
 
 
