@@ -106,15 +106,18 @@ def tile_groups(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFra
     """Both sides' rows of every key that both hold, as groups to be worked on together.
 
     `sizes` counts the right side's rows per key (n_r). A key with more rows on a side than
-    `tile_rows` is cut into parts, and each part meets all parts of the other side.
+    `tile_rows` is cut into parts, and each part meets all parts of the other side. The groups are
+    dealt to `fan_out` tasks: a tile takes far more work than its bytes suggest.
     """
+    keys = [*on, "own_l", "own_r"]
     counts = left.groupBy(*on).agg(F.count("*").alias("n_l")).join(sizes, on)
     plan = kept(counts.select(*on, *[F.ceil(F.col(f"n_{s}") / tile_rows).cast("int").alias(f"parts_{s}") for s in "lr"]), "tiles")
 
     def dealt(df: DataFrame, mine: str, other: str):
         own = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col(f"parts_{mine}")).cast("int")
         each = F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))
-        return df.join(plan, on).select(*df.columns, own.alias(f"own_{mine}"), each.alias(f"own_{other}")).groupBy(*on, "own_l", "own_r")
+        met = df.join(plan, on).select(*df.columns, own.alias(f"own_{mine}"), each.alias(f"own_{other}"))
+        return met.repartition(fan_out(left), *keys).groupBy(*keys)
 
     return dealt(left, "l", "r").cogroup(dealt(right, "r", "l"))
 

@@ -17,7 +17,9 @@ import pyarrow.compute as pc
 from siteplan.operators.tile_sums import LIMBS, _decimals, _limbs
 
 # Spots of a cell, about; strips of positions and spots tested that are held at a time.
-CELL_SPOTS, HELD = 2, 2**20
+CELL_SPOTS, HELD = 2, 2**17
+# Strips that positions are visited along at a time.
+WALK_STRIPS = 8
 # A disk of up to this many spots is searched for the nearest one by one; a larger one is narrowed first, in so many tries.
 FEW, TRIES = 64, 40
 
@@ -78,6 +80,10 @@ class Tile:
         at = np.flatnonzero(np.concatenate([[True], strip[1:] != strip[:-1]]))
         self.low, self.high = np.minimum.reduceat(self.y, at), np.maximum.reduceat(self.y, at)
 
+    def walk(self, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+        """The order that leads from neighbour to neighbour, along x in a few strips at a time: what their disks read is in the cache."""
+        return np.lexsort((px, np.searchsorted(self.low, py, "right") // WALK_STRIPS))
+
     def covers(self, px: np.ndarray, py: np.ndarray, r: np.ndarray) -> Iterator[tuple[slice, np.ndarray, list[np.ndarray]]]:
         """(positions, owner, [a, b, c, d]) by chunks of positions: per strip of a position's disk the spots b to c,
         which lie inside, and a to b and c to d, which may."""
@@ -207,8 +213,9 @@ def disk_sums(spots: pa.Table, rows: pa.Table, radii: tuple[float, ...], parts:
         return schema.empty_table()
     tile = Tile(_numbers(rows, "x"), _numbers(rows, "y"))
     running, of = _columns(rows, tile, parts)
-    # neighbours one after the other: their strips are in the cache
     px, py = _numbers(spots, "x"), _numbers(spots, "y")
+    at = tile.walk(px, py)
+    px, py = px[at], py[at]
     found = [tile.sums(px, py, r, running) for r in radii]
     hit = found[-1][:, 0] > 0
     out = [pa.array(px[hit]), pa.array(py[hit])]
@@ -246,6 +253,8 @@ def nearest_values(spots: pa.Table, rows: pa.Table, r: float, kind: pa.DataType)
         return schema.empty_table()
     tile = Tile(_numbers(rows, "x"), _numbers(rows, "y"), ordered(rows["v"]))
     px, py = _numbers(spots, "x"), _numbers(spots, "y")
+    order = tile.walk(px, py)
+    px, py = px[order], py[order]
     best, at = tile.nearest(px, py, r)
     hit = at >= 0
     at = at[hit]
@@ -293,6 +302,8 @@ def disk_ranks(spots: pa.Table, rows: pa.Table, radii: tuple[float, ...]) -> pa.
     rank = rank[tile.rows]
     ranks, starts = Ranks(rank), tile.starts
     px, py = _numbers(spots, "x"), _numbers(spots, "y")
+    at = tile.walk(px, py)
+    px, py, key = px[at], py[at], key[at]
     out = []
     for r in radii:
         total, reach = np.zeros((len(px), 2), dtype=np.int64), np.full(len(px), r)

@@ -8,8 +8,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
+from pyspark.sql import functions as F
 
 from siteplan.operators.aggregates import count, total
+from siteplan.operators.grid import tile_groups
 from siteplan.operators.radius import neighbour_percent_rank, radius_features
 from siteplan.operators.tile_disks import Ranks, Tile, disk_ranks, disk_sums, nearest_values, ordered
 
@@ -103,3 +106,31 @@ def test_cut_tiles_store_no_cover(spark, tmp_path, monkeypatch):
             assert (row[f"c_{name}"], row[f"s_{name}"]) == (len(inside), sum(known) if known else None)
             want = sum(order(n[3]) < order(near[0][3]) for n in inside) / (len(inside) - 1) if len(inside) > 1 else 0.0
             assert ranks[x, y][f"r_{name}"] == pytest.approx(want, abs=1e-12)
+
+
+def test_tiles_are_dealt_to_all_tasks(spark):
+    # 256 tiles of few bytes, which adaptive execution would merge for one task
+    keys = [(x, y) for x in range(16) for y in range(16)]
+    left, right = (spark.createDataFrame([(*k, float(i)) for i, k in enumerate(keys)], f"gx long, gy long, {c} double") for c in "ab")
+
+    def where(a, b):
+        return pa.table({"task": [TaskContext.get().partitionId()], "same": [int(a["a"].to_pylist() == b["b"].to_pylist())]})
+
+    met = tile_groups(left, right, ["gx", "gy"], right.groupBy("gx", "gy").agg(F.count("*").alias("n_r")), 100)
+    rows = met.applyInArrow(where, "task long, same long").collect()
+    assert len(rows) == len(keys) and all(r["same"] for r in rows)
+    assert len({r["task"] for r in rows}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_positions_are_visited_from_neighbour_to_neighbour():
+    draw = np.random.default_rng(9)
+    x, y, v = draw.uniform(0, 1, 20_000), draw.uniform(0, 1, 20_000), draw.integers(0, 99, 20_000).astype(float)
+    px, py = draw.uniform(0, 1, 3_000), draw.uniform(0, 1, 3_000)
+    spots, rows = pa.table({"x": px, "y": py}), pa.table({"x": x, "y": y, "v": v, "p": v.astype(np.int64)})
+    chosen = nearest_values(spots, rows, 0.2, pa.float64())
+    asked = chosen.select(["x", "y", "v"]).rename_columns(["x", "y", "v0"])
+    for found in (disk_sums(spots, rows, (0.05, 0.2), ["p"], [pa.int64()], True), chosen, disk_ranks(asked, rows, (0.05, 0.2))):
+        a, b = np.asarray(found["x"]), np.asarray(found["y"])
+        assert sorted(zip(a, b)) == sorted(zip(px, py))
+        # random positions of the unit square lie 0.52 apart on average
+        assert np.hypot(np.diff(a), np.diff(b)).mean() < 0.15
