@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siteplan.functions.geo import bind, ring_area_3395, ring_centroid
+from siteplan.functions.geo import bind
+from siteplan.functions.rings import Rings
+from siteplan.schemas import BUILDINGS
 
 _POINT = "array<double>"
 
@@ -49,13 +54,28 @@ def geojson_rings(df: DataFrame, outer_only: bool = False, keep: tuple[str, ...]
 
 
 def ring_buildings(rings: DataFrame, box=None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Buildings (center_longitude, center_latitude, area) of rings; the box is applied before the area."""
-    centred = rings.withColumn("centre", ring_centroid("ring")).select(
-        *keep, "ring", F.col("centre.x").alias("center_longitude"), F.col("centre.y").alias("center_latitude")
-    )
-    if box is not None:
-        west, south, east, north = box
-        centred = centred.where(
-            F.col("center_longitude").between(west, east) & F.col("center_latitude").between(south, north)
-        )
-    return centred.select(*keep, "center_longitude", "center_latitude", ring_area_3395("ring").alias("area"))
+    """Buildings (center_longitude, center_latitude, area) of rings; the box is applied before the area.
+
+    `box` is one (west, south, east, north), bounds included, or a list of several, any of which may hold the centre.
+    Centroids and areas are made for a whole batch of rings at once.
+    """
+    boxes = None if box is None else list(box) if isinstance(box[0], (tuple, list)) else [box]
+    read = rings.select(*keep, F.col("ring").cast("array<array<double>>").alias("ring"))
+    schema = StructType([*read.schema.fields[:-1], *BUILDINGS.fields])
+    return read.mapInArrow(lambda batches: _buildings(batches, boxes, schema.names), schema)
+
+
+def _buildings(batches, boxes: list | None, names: list[str]):
+    """The kept columns, centre and area of rings, the last column; those outside all boxes are left out."""
+    for batch in batches:
+        rings = Rings(batch.column(batch.num_columns - 1))
+        centre = rings.centroids()
+        (x, has_x), (y, has_y) = centre
+        inside = np.ones(len(x), bool)
+        if boxes is not None:
+            inside = np.zeros(len(x), bool)
+            for west, south, east, north in boxes:
+                inside |= has_x & has_y & (x >= west) & (x <= east) & (y >= south) & (y <= north)
+        found = [pa.array(v, mask=~known) for v, known in (*centre, rings.areas_3395(inside))]
+        out = pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=names)
+        yield out if boxes is None else out.filter(pa.array(inside))

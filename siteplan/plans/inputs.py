@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siteplan.operators.clean import TEST_BOX, TRAIN_BOX, build_towers, clean_buildings, clean_elevation
+from siteplan.operators.clean import TEST_BOX, TRAIN_BOX, bbox_split, build_towers, clean_buildings, clean_elevation
 from siteplan.operators.footprints import geojson_rings, ring_buildings
 from siteplan.operators.profile import building_profile
 from siteplan.operators.raster import tiles_to_points
@@ -24,9 +24,10 @@ def population_job(spark: SparkSession, raster: str, out: str, box=TRAIN_BOX) ->
 
 def buildings_job(spark: SparkSession, geojson: str, train_out: str, test_out: str, batch: str | None = None) -> None:
     """Footprints of both regions; with `batch`, a re-run replaces what that batch wrote before."""
-    rings = kept(geojson_rings(read_geojson(spark, geojson)), "rings")  # parsed once for both regions
-    for box, path in ((TRAIN_BOX, train_out), (TEST_BOX, test_out)):
-        write_table(ring_buildings(rings, box), path, batch=batch)
+    rings = geojson_rings(read_geojson(spark, geojson))
+    buildings = kept(ring_buildings(rings, [TRAIN_BOX, TEST_BOX]), "buildings")  # made once for both regions
+    for part, path in zip(bbox_split(buildings, "center_longitude", "center_latitude"), (train_out, test_out)):
+        write_table(part, path, batch=batch)
 
 
 def clean_buildings_job(spark: SparkSession, buildings: str, out: str, files: int = 96) -> DataFrame:

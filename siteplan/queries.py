@@ -489,9 +489,9 @@ _CORNER = f"{_X} / 1e3 AS x, {_Y} / 1e3 AS y"
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     """Outlines derived from lineitem, one GeoJSON line each, its type going by the line number."""
-    items = table(spark, sf, "lineitem")
-    # spread before the text is made: outlines come in many files
-    rows = items.select("l_orderkey", "l_linenumber", "l_partkey").repartition(fan_out(items)).selectExpr("l_orderkey", "l_linenumber", _X + " / 1e3 AS x", _Y + " / 1e3 AS y")
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.monotonically_increasing_id().alias("at"))
+    # spread before the text is made, by row numbers, which need no sort: outlines come in many files
+    rows = items.repartition(fan_out(items), "at").selectExpr("l_orderkey", "l_linenumber", _X + " / 1e3 AS x", _Y + " / 1e3 AS y")
 
     def ring(dx: float, dy: float, w: float, h: float, z: str = "") -> str:
         corners = [(0, 0), (w, 0), (w, h), (0, h), (0, 0)]
@@ -889,9 +889,10 @@ def job_buildings(spark, sf):
     path, train, test = (scratch_dir(spark, n) for n in ("geojson", "train", "test"))
     lines = _features(spark, sf).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
     for half in (0, 1):
-        lines.where(F.col("half") == half).select("value").write.text(f"{path}/{half}")
+        lines.limit(0).select("value").write.text(f"{path}/half={half}")  # a half may come without a line
+    lines.write.mode("append").partitionBy("half").text(path)
     for half in (0, 1, 1):
-        inputs.buildings_job(spark, f"{path}/{half}", train, test, batch=f"part{half}")
+        inputs.buildings_job(spark, f"{path}/half={half}", train, test, batch=f"part{half}")
     return spark.read.parquet(train).select(*[F.round(c, 6).alias(c) for c in CENTRE], F.round("area", 0).alias("area"))
 
 
